@@ -30,6 +30,9 @@ from ..operators.update import WIDE_AGG_MAX_DIMS, vector_sums, vector_sums_long
 
 DEFAULT_MAX_ITER = 100
 DEFAULT_TOL = 1e-6
+# Partial sums (tasks x clusters x dims) merged on the driver below this
+# count; above it they are merged by a Spark aggregate first.
+DIRECT_MERGE_MAX_VALUES = 1 << 20
 
 
 def _sql_step(points: DataFrame, cs: CentroidSet, d: int):
@@ -49,7 +52,7 @@ def _sql_step(points: DataFrame, cs: CentroidSet, d: int):
     return out
 
 
-def _arrow_step(points: DataFrame, cs: CentroidSet, d: int):
+def _arrow_step(points: DataFrame, cs: CentroidSet, d: int, n_parts: int):
     spark = points.sparkSession
     sc = spark.sparkContext
     labels = cs.label_values()
@@ -80,20 +83,27 @@ def _arrow_step(points: DataFrame, cs: CentroidSet, d: int):
 
     try:
         parts = points.select("dims").mapInArrow(run, "g bigint, pos int, s double, n bigint")
-        rows = parts.groupBy("g", "pos").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect()
+        if n_parts * g * d <= DIRECT_MERGE_MAX_VALUES:
+            # Few partials (tasks x clusters x dims, bounded): merge on the
+            # driver, saving the shuffle stage (what a tree aggregate does).
+            rows = parts.collect()
+        else:
+            rows = parts.groupBy("g", "pos").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect()
     finally:
         for _, bc in blocks:
             bc.destroy()
-    out: dict[int, tuple[np.ndarray, int]] = {}
+    sums = np.zeros((g, d))
+    counts = np.zeros(g, dtype=np.int64)
     for r in rows:
-        cid = int(groups[int(r["g"])])
-        if cid not in out:
-            out[cid] = (np.zeros(d), int(r["n"]))
-        out[cid][0][int(r["pos"])] = r["s"]
-    return out
+        gi = int(r["g"])
+        sums[gi, int(r["pos"])] += r["s"]
+        if r["pos"] == 0:
+            counts[gi] += int(r["n"])
+    return {int(groups[gi]): (sums[gi], int(counts[gi])) for gi in np.nonzero(counts)[0]}
 
 
-def lloyd_step(points: DataFrame, cs: CentroidSet, d: int, engine: str = "auto") -> dict[int, tuple[np.ndarray, int]]:
+def lloyd_step(points: DataFrame, cs: CentroidSet, d: int, engine: str = "auto",
+               n_parts: int | None = None) -> dict[int, tuple[np.ndarray, int]]:
     """One assignment + keyed sum: {cluster: (coordinate sums, count)}."""
     if cs.k == 0:
         # Every point is labelled -1 and forms one group (the reference's rule).
@@ -106,7 +116,9 @@ def lloyd_step(points: DataFrame, cs: CentroidSet, d: int, engine: str = "auto")
             s[int(r["pos"])] = r["s"]
         return {NO_CLUSTER: (s, n)}
     if choose_engine(cs, engine) == "arrow":
-        return _arrow_step(points, cs, d)
+        if n_parts is None:
+            n_parts = points.rdd.getNumPartitions()
+        return _arrow_step(points, cs, d, n_parts)
     return _sql_step(points, cs, d)
 
 
@@ -167,8 +179,9 @@ def kmeans(points: DataFrame, centroids, *, dims: str = "dims", keep=None, max_i
         raise DimensionError(f"Different number of dimensions: points {d}, centroids {cs.d}")
     d = d if d is not None else (cs.d or 0)
     steps, converged, sizes = 0, False, {}
+    n_parts = pts.rdd.getNumPartitions()
     for _ in range(max_iter):
-        sums = lloyd_step(pts, cs, d, engine)
+        sums = lloyd_step(pts, cs, d, engine, n_parts)
         new = means_of(sums)
         steps += 1
         moved = any_moved(new, zip(cs.ids.tolist(), cs.vectors), tol)
@@ -218,9 +231,10 @@ def kmeans_keyed(points: DataFrame, centroids, *, dims: str = "dims", id_col: st
     d = d if d is not None else (len(ws[0][1]) if ws else 0)
     steps = 0
     cs = CentroidSet.of([(i, v) for i, v, _ in ws], [c for _, _, c in ws])
+    n_parts = pts.rdd.getNumPartitions()
     while ws and steps < max_iter:
         cs = CentroidSet.of([(i, v) for i, v, _ in ws], [c for _, _, c in ws])
-        new = means_of(lloyd_step(pts, cs, d, engine))
+        new = means_of(lloyd_step(pts, cs, d, engine, n_parts))
         steps += 1
         nxt = [(i, new[c], c) for i, _, c in ws if c in new]
         changed = any_changed(new, [(c, v) for _, v, c in ws])
