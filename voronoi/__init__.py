@@ -1,5 +1,13 @@
 """voronoi: centroid clustering (K-Means, Lloyd iteration) on Spark DataFrames."""
 
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# The Arrow kernels run in executor Python workers. Pickle this package's
+# functions by value so workers need no installed copy (or --py-files) of it.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
 from .functions.vectors import (as_vector, check_dimensions, euclidean_distance, squared_distance,  # noqa: F401
                                 vector_add, vector_scale)
 from .operators.assign import assign_by_min, assign_nearest, distance_matrix  # noqa: F401
