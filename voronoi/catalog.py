@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .functions.vectors import (check_dimensions, dimension_summary, euclidean_distance, squared_distance,
                                 vector_add, vector_scale)
-from .operators.assign import assign_nearest, centroid_set, distance_matrix
+from .operators.assign import assign_by_min, assign_nearest, distance_matrix
 from .operators.centroids import CentroidSet
 from .operators.converge import changed_centroids, gate_on_any_change, moved_centroids, relocate_centroids
 from .operators.update import integer_mean, update_centroids, vector_mean
@@ -200,6 +200,16 @@ def q_assign_by_cross(spark, sf):
                     r6(F.sqrt("dist2")).alias("distance"))
 
 
+def q_assign_by_min(spark, sf):
+    """A2: the keyed draft's plan, arg-min per point over candidate rows
+    (distance matrix -> groupBy(id).min(struct)). The partial aggregate keeps
+    one candidate per point per task, so the shuffle carries n rows, not n x k;
+    ``assign_nearest`` gets the same labels with no shuffle at all."""
+    e = _e(spark, sf)
+    m = distance_matrix(e, first_points(e, "vec_id", E_SEEDS), keep=("vec_id",), euclidean=False)
+    return assign_by_min(m, key="vec_id")
+
+
 # ---- aggregation ------------------------------------------------------------------
 
 def q_update_centroids(spark, sf):
@@ -332,6 +342,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dimension_check": q_dimension_check,
     "assign_nearest": q_assign_nearest,
     "assign_by_cross": q_assign_by_cross,
+    "assign_by_min": q_assign_by_min,
     "update_centroids": q_update_centroids,
     "vector_mean_udaf": q_vector_mean_udaf,
     "cluster_sizes": q_cluster_sizes,

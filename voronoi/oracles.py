@@ -179,6 +179,12 @@ d AS (SELECT c.id, s.cl, s.id AS sid, (c.x1 - s.x1) * (c.x1 - s.x1) + (c.x2 - s.
       FROM c CROSS JOIN s)
 SELECT id, CAST(cl AS BIGINT) AS cluster_id, {R6('sqrt(d2)')} AS distance FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY d2, cl, sid) AS rn FROM d) WHERE rn = 1""",
+    "assign_by_min": f"""
+WITH e AS ({E_LONG}),
+d AS (SELECT p.id, c.id AS cid, sum((p.x - c.x) * (p.x - c.x)) AS d2 FROM e p JOIN e c ON c.pos = p.pos
+      WHERE c.id IN ({E_SEED_IDS}) GROUP BY p.id, c.id)
+SELECT id AS vec_id, cid AS cluster_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY d2, cid) AS rn FROM d) WHERE rn = 1""",
     "update_centroids": """
 SELECT CAST(label AS BIGINT) AS cluster_id, count(*) AS n_points, CAST(pos AS INTEGER) AS pos,
        (round(avg(x), 6) + 0.0) AS coord FROM (
