@@ -80,3 +80,11 @@ def test_write_read_files(spark, tmp_path):
     p = str(tmp_path / "pts")
     text.write_lines(text.format_point_lines(df), p)
     assert sorted(r.dims for r in text.read_points(spark, p).collect()) == [[1.5, 2.0], [3.0, -4.0]]
+
+
+def test_fixed_width_parse(spark):
+    r = text.parse_points(lines(spark, ["1 2 ", "   ", "3 4"]), d=2).collect()
+    assert [x.dims for x in r] == [[1.0, 2.0], [3.0, 4.0]]
+    with pytest.raises(ERRORS):
+        text.parse_points(lines(spark, ["1 2 3"]), d=2).collect()
+    assert [x.dims for x in text.parse_int_points(lines(spark, ["7 8"]), d=2).collect()] == [[7, 8]]

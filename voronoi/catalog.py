@@ -85,7 +85,7 @@ def _customer_lines(spark, sf) -> DataFrame:
 
 
 def q_parse_points(spark, sf):
-    p = text.parse_points(_customer_lines(spark, sf))
+    p = text.parse_points(_customer_lines(spark, sf), d=2)
     return p.select("c_custkey", *_flat2(p, rnd=False), F.size("dims").cast("bigint").alias("n_dims"))
 
 
@@ -238,7 +238,7 @@ def q_integer_centroid_mean(spark, sf):
     li = table(spark, sf, "lineitem")
     lines = li.select("l_returnflag", F.concat_ws(" ", F.col("l_quantity").cast("int").cast("string"),
                                                   F.col("l_linenumber").cast("string")).alias("value"))
-    pts = text.parse_int_points(lines)
+    pts = text.parse_int_points(lines, d=2)
     return integer_mean(pts, 2, label="l_returnflag")
 
 

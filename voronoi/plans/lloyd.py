@@ -116,6 +116,16 @@ def _arrow_step(points: DataFrame, cs: CentroidSet, d: int, n_parts: int):
     return {int(groups[gi]): (sums[gi], int(counts[gi])) for gi in np.nonzero(counts)[0]}
 
 
+def partition_count(df: DataFrame) -> int:
+    """Number of tasks a scan of ``df`` runs (planning only, no job). Unknown
+    (e.g. without a classic SparkContext) counts as large, which routes the
+    merge of partial sums through Spark."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001
+        return 1 << 30
+
+
 def lloyd_step(points: DataFrame, cs: CentroidSet, d: int, engine: str = "auto",
                n_parts: int | None = None) -> dict[int, tuple[np.ndarray, int]]:
     """One assignment + keyed sum: {cluster: (coordinate sums, count)}."""
@@ -134,7 +144,7 @@ def lloyd_step(points: DataFrame, cs: CentroidSet, d: int, engine: str = "auto",
     # points against 0.13 s for the Arrow kernel), so "auto" means Arrow here.
     if engine == "auto" or choose_engine(cs, engine) == "arrow":
         if n_parts is None:
-            n_parts = points.rdd.getNumPartitions()
+            n_parts = partition_count(points)
         return _arrow_step(points, cs, d, n_parts)
     return _sql_step(points, cs, d)
 
@@ -195,7 +205,7 @@ def kmeans(points: DataFrame, centroids, *, dims: str = "dims", keep=None, max_i
         raise DimensionError(f"Different number of dimensions: points {d}, centroids {cs.d}")
     d = d if d is not None else (cs.d or 0)
     steps, converged, sizes = 0, False, {}
-    n_parts = pts.rdd.getNumPartitions()
+    n_parts = partition_count(pts)
     for _ in range(max_iter):
         sums = lloyd_step(pts, cs, d, engine, n_parts)
         new = means_of(sums)
@@ -247,7 +257,7 @@ def kmeans_keyed(points: DataFrame, centroids, *, dims: str = "dims", id_col: st
     d = d if d is not None else (len(ws[0][1]) if ws else 0)
     steps = 0
     cs = CentroidSet.of([(i, v) for i, v, _ in ws], [c for _, _, c in ws])
-    n_parts = pts.rdd.getNumPartitions()
+    n_parts = partition_count(pts)
     while ws and steps < max_iter:
         cs = CentroidSet.of([(i, v) for i, v, _ in ws], [c for _, _, c in ws])
         new = means_of(lloyd_step(pts, cs, d, engine, n_parts))

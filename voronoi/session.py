@@ -33,7 +33,10 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; set a scratch one only when the
     session has none (local tests)."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no classic context (remote session)
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():

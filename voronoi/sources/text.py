@@ -49,16 +49,30 @@ def parse_int(tok: Column, what: str = "id") -> Column:
     return F.when(v.isNull(), F.raise_error(F.concat(F.lit(f"bad {what}: '"), F.coalesce(tok, F.lit("")), F.lit("'")))).otherwise(v)
 
 
-def to_doubles(toks: Column) -> Column:
-    """Token array -> array<double>."""
-    return F.transform(toks, lambda t: parse_double(t, "coordinate"))
+def to_doubles(toks: Column, d: int | None = None) -> Column:
+    """Token array -> array<double>.
 
+    With the width ``d`` known, the casts are unrolled over ``toks[i]`` (plain
+    codegen'd expressions) after a width check; otherwise a ``transform``
+    (interpreted higher-order function) handles any width."""
+    if d is None:
+        return F.transform(toks, lambda t: parse_double(t, "coordinate"))
+    return _fixed_width(toks, d, lambda t: parse_double(t, "coordinate"))
 
-def parse_points(lines: DataFrame, sep: str = " ", line: str = LINE, dims: str = "dims") -> DataFrame:
-    """``d1 d2 ...`` -> dims array<double>; other columns are kept."""
+
+def _fixed_width(toks: Column, d: int, conv) -> Column:
+    arr = F.array(*[conv(toks.getItem(i)) for i in range(d)])
+    bad = F.raise_error(F.concat(F.lit(f"expected {d} values, got "), F.size(toks).cast("string")))
+    return F.when(F.size(toks) == F.lit(d), arr).otherwise(bad)
+
+
+def parse_points(lines: DataFrame, sep: str = " ", line: str = LINE, dims: str = "dims",
+                 d: int | None = None) -> DataFrame:
+    """``d1 d2 ...`` -> dims array<double>; other columns are kept.
+    ``d`` (optional) fixes the width and keeps the parse in generated code."""
     rest = [c for c in lines.columns if c != line]
     ok = lines.where(has_tokens(F.col(line), sep))
-    return ok.select(*rest, to_doubles(tokens(F.col(line), sep)).alias(dims))
+    return ok.select(*rest, to_doubles(tokens(F.col(line), sep), d).alias(dims))
 
 
 def parse_centroids(lines: DataFrame, sep: str = " ", line: str = LINE, id_col: str = "cluster_id",
@@ -93,11 +107,14 @@ def keyed_rejects(lines: DataFrame, line: str = LINE) -> DataFrame:
     return lines.where(F.size(tokens(F.col(line), ",")) >= 4)
 
 
-def parse_int_points(lines: DataFrame, sep: str = " ", line: str = LINE, dims: str = "dims") -> DataFrame:
-    """``i1 i2 ...`` -> array<int>."""
+def parse_int_points(lines: DataFrame, sep: str = " ", line: str = LINE, dims: str = "dims",
+                     d: int | None = None) -> DataFrame:
+    """``i1 i2 ...`` -> array<int> (``d`` as in ``parse_points``)."""
     rest = [c for c in lines.columns if c != line]
     t = tokens(F.col(line), sep)
-    return lines.select(*rest, F.transform(t, lambda s: parse_int(s, "integer")).alias(dims))
+    conv = (lambda s: parse_int(s, "integer"))
+    arr = F.transform(t, conv) if d is None else _fixed_width(t, d, conv)
+    return lines.select(*rest, arr.alias(dims))
 
 
 # ---- formatting (Java's Double.toString is what Spark's cast prints) --------
