@@ -93,7 +93,7 @@ def q_parse_centroids(spark, sf):
     c = table(spark, sf, "customer")
     lines = c.select(F.concat_ws(" ", F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string"),
                                  F.col("c_acctbal").cast("string")).alias("value"))
-    p = text.parse_centroids(lines)
+    p = text.parse_centroids(lines, d=2)
     return p.select(F.col("cluster_id").cast("bigint").alias("cluster_id"), *_flat2(p, rnd=False))
 
 
@@ -108,7 +108,7 @@ def _keyed_lines(spark, sf) -> DataFrame:
 
 
 def q_parse_keyed(spark, sf):
-    p = text.parse_keyed(_keyed_lines(spark, sf))
+    p = text.parse_keyed(_keyed_lines(spark, sf), d=2)
     return p.select(F.col("id").cast("bigint").alias("id"), *_flat2(p, rnd=False),
                     F.col("cluster_id").cast("bigint").alias("cluster_id"))
 
@@ -133,7 +133,7 @@ def q_keyed_roundtrip(spark, sf):
     recs = c.select(F.col("c_custkey").alias("id"),
                     F.array(F.col("c_nationkey").cast("double"), F.col("c_acctbal")).alias("dims"),
                     F.col("c_nationkey").alias("cluster_id"))
-    back = text.parse_keyed(text.format_keyed(recs))
+    back = text.parse_keyed(text.format_keyed(recs), d=2)
     return back.select(F.col("id").cast("bigint").alias("id"), *_flat2(back, rnd=False),
                        F.col("cluster_id").cast("bigint").alias("cluster_id"))
 

@@ -76,17 +76,17 @@ def parse_points(lines: DataFrame, sep: str = " ", line: str = LINE, dims: str =
 
 
 def parse_centroids(lines: DataFrame, sep: str = " ", line: str = LINE, id_col: str = "cluster_id",
-                    dims: str = "dims") -> DataFrame:
-    """``id d1 d2 ...`` -> (int id, dims)."""
+                    dims: str = "dims", d: int | None = None) -> DataFrame:
+    """``id d1 d2 ...`` -> (int id, dims) (``d`` as in ``parse_points``)."""
     rest = [c for c in lines.columns if c != line]
     t = tokens(F.col(line), sep)
     ok = lines.where(has_tokens(F.col(line), sep)).select(*rest, t.alias("_t"))
-    return ok.select(*rest, parse_int(F.col("_t")[0]).alias(id_col),
-                     to_doubles(F.slice("_t", 2, F.greatest(F.size("_t") - 1, F.lit(0)))).alias(dims))
+    coords = F.slice("_t", 2, F.greatest(F.size("_t") - 1, F.lit(0)))
+    return ok.select(*rest, parse_int(F.col("_t")[0]).alias(id_col), to_doubles(coords, d).alias(dims))
 
 
 def parse_keyed(lines: DataFrame, line: str = LINE, id_col: str = "id", dims: str = "dims",
-                cluster_col: str = "cluster_id") -> DataFrame:
+                cluster_col: str = "cluster_id", d: int | None = None) -> DataFrame:
     """S3: ``id,d1 d2 ...`` (point, cluster -1) or ``id,d1 d2 ...,cluster``
     (centroid). A line with one field fails; four or more fields are dropped
     (see ``keyed_rejects`` for them)."""
@@ -98,7 +98,7 @@ def parse_keyed(lines: DataFrame, line: str = LINE, id_col: str = "id", dims: st
     x = x.where(F.col("_n") <= 3)
     cluster = F.when(F.col("_n") == 3, parse_int(F.col("_f")[2], "cluster")).otherwise(F.lit(-1))
     return x.select(*rest, parse_int(F.col("_f")[0]).alias(id_col),
-                    to_doubles(tokens(F.col("_f")[1], " ")).alias(dims),
+                    to_doubles(tokens(F.col("_f")[1], " "), d).alias(dims),
                     cluster.alias(cluster_col))
 
 
