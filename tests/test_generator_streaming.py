@@ -45,3 +45,27 @@ def test_streaming_labels(spark, tmp_path):
     q.stop()
     got = sorted((r.dims[0], r.cluster_id) for r in spark.sql("select * from labels_out").collect())
     assert got == [(0.0, 1), (1.0, 1), (9.0, 2), (10.0, 2)]
+
+
+def test_end_to_end_text_job(spark, tmp_path):
+    """generate -> text files (',' separated) -> run_kmeans(-p -c -s -o) -> labelled lines."""
+    from voronoi.plans.cli import run_kmeans
+    from voronoi.sources.text import format_centroid_lines, format_point_lines, write_lines
+
+    p, _ = generate_mixture(spark, 600, 3, seed=5)
+    write_lines(format_point_lines(p, sep=","), str(tmp_path / "data.csv"))
+    seeds = true_means(spark, 3, seed=5).withColumn("cluster_id", F.col("cluster_id") + 1)
+    write_lines(format_centroid_lines(seeds, sep=","), str(tmp_path / "centroids.csv"))
+    out = str(tmp_path / "Results")
+    labels, result = run_kmeans(spark, str(tmp_path / "data.csv"), str(tmp_path / "centroids.csv"),
+                                n=100, k="true", t=1e-6, s=",", o=out)
+    assert result.converged and result.centroids.ids.tolist() == [1, 2, 3]
+    lines = [r.value for r in spark.read.text(out).collect()]
+    assert len(lines) == 600
+    counts = {}
+    for line in lines:
+        cid, coords = line.split("\t")
+        assert len(coords.split(" ")) == 5
+        counts[cid] = counts.get(cid, 0) + 1
+    assert counts == {"1": 200, "2": 200, "3": 200}
+    result.release()
