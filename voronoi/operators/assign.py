@@ -153,13 +153,17 @@ def assign_nearest(points: DataFrame, centroids, *, dims: str = "dims", label: s
 
 
 def distance_matrix(points: DataFrame, centroids, *, dims: str = "dims", keep=("id",),
-                    euclidean: bool = True, label: str = "cluster_id") -> DataFrame:
+                    euclidean: bool = True, label: str = "cluster_id", engine: str = "auto") -> DataFrame:
     """One row per (point, centroid) with their distance, the cross product
-    of the keyed draft. The k distances are computed in one projection and
-    exploded; centroids never form a join side, so there is no nested-loop
-    join and no shuffle. Output grows as rows x k, with k size-checked."""
+    of the keyed draft. The k distances of a point are computed together (one
+    projection, or one NumPy pass per Arrow batch above the unroll bound) and
+    emitted as k rows; centroids never form a join side, so there is no
+    nested-loop join and no shuffle. Output grows as rows x k, k size-checked."""
     cs = centroid_set(centroids)
     labels = cs.label_values()
+    keep = list(keep)
+    if cs.k and choose_engine(cs, engine) == "arrow":
+        return _arrow_distance_matrix(points, cs, dims, keep, euclidean, label)
     typ = f"array<struct<{label}:bigint,d2:double>>"
     if cs.k == 0:
         pairs = F.array().cast(typ)
@@ -177,6 +181,41 @@ def distance_matrix(points: DataFrame, centroids, *, dims: str = "dims", keep=("
     return out.select(*keep, F.col(f"p.{label}").alias(label), dist.alias("distance"))
 
 
+def _arrow_distance_matrix(points: DataFrame, cs: CentroidSet, dims: str, keep: list[str],
+                           euclidean: bool, label: str) -> DataFrame:
+    d, k = cs.d or 0, cs.k
+    labels = cs.label_values().copy()
+    blocks = _arrow_blocks(points.sparkSession, cs)
+    fields = [points.schema[c] for c in keep]
+    schema = T.StructType(fields + [T.StructField(label, T.LongType(), False),
+                                    T.StructField("distance", T.DoubleType(), True)])
+
+    def run(batches):
+        local = [(off, bc.value) for off, bc in blocks]
+        for rb in batches:
+            n = rb.num_rows
+            if n == 0:
+                continue
+            xt = np.ascontiguousarray(batch_matrix(rb.column(rb.schema.get_field_index(dims)), d).T)
+            dist = np.empty((n, k))
+            for off, cb in local:
+                for j in range(cb.shape[0]):
+                    c = cb[j]
+                    acc = (xt[0] - c[0]) ** 2
+                    for i in range(1, d):
+                        t = xt[i] - c[i]
+                        acc += t * t
+                    dist[:, off + j] = acc
+            if euclidean:
+                dist = np.sqrt(dist)
+            rows = np.repeat(np.arange(n), k)
+            cols = [rb.column(rb.schema.get_field_index(c)).take(pa.array(rows)) for c in keep]
+            cols += [pa.array(np.tile(labels, n), pa.int64()), pa.array(dist.reshape(-1), pa.float64())]
+            yield pa.RecordBatch.from_arrays(cols, names=keep + [label, "distance"])
+
+    return points.select(*keep, dims).mapInArrow(run, schema)
+
+
 def assign_by_min(pairs: DataFrame, *, key: str = "id", label: str = "cluster_id",
                   dist: str = "distance") -> DataFrame:
     """A2 + M9: arg-min per point over candidate rows (the keyed draft's
