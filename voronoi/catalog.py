@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .functions.vectors import (check_dimensions, dimension_summary, euclidean_distance, squared_distance,
+from .functions.vectors import (dimension_summary, euclidean_distance, squared_distance,
                                 vector_add, vector_scale)
 from .operators.assign import assign_by_min, assign_nearest, distance_matrix
 from .operators.centroids import CentroidSet

@@ -13,8 +13,6 @@ is a number-format error. Numbers use Java's double syntax (``1d``, ``NaN``,
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
