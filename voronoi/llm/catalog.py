@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing
+from . import bpe, exact_dedup, mixing, url_filter
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.RULES)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -28,6 +32,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_url_filter": op4_url_filter,
     "op5_mixing": op5_mixing,
     "op10_bpe": op10_bpe,
 }
@@ -37,5 +42,6 @@ ORACLE_SQL: dict[str, str] = {
 SELECT doc_id, max(doc_id) OVER t AS keep_id, count(*) OVER t AS group_size, doc_id = max(doc_id) OVER t AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW t AS (PARTITION BY coalesce(text, ''))
 """,
+    "op4_url_filter": url_filter.SQL,
     "op5_mixing": mixing.SQL,
 }
