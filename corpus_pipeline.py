@@ -4,15 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voronoi.llm import bpe, exact_dedup, mixing
+from voronoi.llm import bpe, exact_dedup, importance, mixing, ngram_join
 from voronoi.llm.common import durable, table
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that importance resampling takes; those it rejects go."""
+    return importance.Resampled(docs, table(spark, sf_dir, "labels")).taken(docs)
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts the one with the largest id stays."""
     return exact_dedup.drop_copies(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked by five-word shingles with a similarity of 0.8 or more the one with the least id stays."""
+    return ngram_join.keep_one(docs, n=5, t=80)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as many times as the mix of their sources takes them."""
     return mixing.take(docs)
@@ -25,7 +35,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(docs, bpe.read_spec(public_tokenizers.path("byte_bpe_50k.json")), with_ids=True)
 
 
-STAGES = [("exact_dedup", exact_copies), ("mixing", mix_sources), ("bpe", encode)]
+STAGES = [("quality", quality), ("exact_dedup", exact_copies), ("ngram_join", near_copies), ("mixing", mix_sources), ("bpe", encode)]
 
 #: Encoding isn't expressible in SQL; the stages are tested against brute force instead.
 ORACLE_SQL = None

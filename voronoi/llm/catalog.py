@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, ngram_join, url_filter
+from . import bpe, exact_dedup, importance, mixing, ngram_join, url_filter
 from .common import table
 
 
@@ -24,6 +24,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_groups(table(spark, sf_dir, "documents"), n=3, t=90)
 
@@ -38,6 +42,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_mixing": op5_mixing,
+    "op7_importance": op7_importance,
     "op9_ngram_join": op9_ngram_join,
     "op10_bpe": op10_bpe,
 }

@@ -164,21 +164,25 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     fp = ["n_bytes", "f1", "f2"]
     pending, settled = rows, None
     while True:
-        groups = pending.groupBy(fp).agg(F.max(F.struct("id", "rid", "sha")).alias("k"), F.count("*").alias("n"))
-        marked = pending.join(groups, fp).select("rid", "id", "sha", *fp, F.col("k.rid").alias("gid"), F.col("k.id").alias("kid"), F.col("k.sha").alias("ksha"), "n")
-        several = durable(marked.where("n > 1"))
-        done = marked.where("n = 1")
-        checked = durable(_equal_to_kept(docs, several, id_col, text_col))
-        done = done.unionByName(checked.where("same").drop("same"))
-        settled = done if settled is None else settled.unionByName(done)
+        # the table of groups is written first, so that the join can split a group that holds many rows
+        groups = durable(pending.groupBy(fp).agg(F.max(F.struct("id", "rid", "sha")).alias("k"), F.count("*").alias("n")).where("n > 1"))
+        marked = pending.join(groups, fp, "left").select(
+            "rid", "id", "sha", *fp, F.coalesce("k.rid", "rid").alias("gid"), F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("k.id")).alias("kid"),
+            F.col("k.sha").alias("ksha"), F.coalesce("n", F.lit(1)).alias("n"),
+        )
+        marked = durable(marked)
+        checked = durable(_equal_to_kept(docs, marked.where("n > 1"), id_col, text_col))
         pending = checked.where("not same").select("rid", "id", "sha", *fp)
-        if pending.isEmpty():
+        done = checked.where("same").drop("same")
+        collided = not pending.isEmpty()
+        if collided:  # other texts with this fingerprint form groups of their own
+            others = durable(checked.where("not same").groupBy("gid").agg(F.count("*").alias("others")))
+            done = done.join(others, "gid", "left").withColumn("n", F.col("n") - F.coalesce("others", F.lit(0))).drop("others")
+        done = marked.where("n = 1").unionByName(done)
+        settled = done if settled is None else settled.unionByName(done)
+        if not collided:
             break
-    sizes = settled.groupBy("gid").agg(F.count("*").alias("group_size"))
-    return settled.join(sizes, "gid").select(
-        F.col("id").alias("doc_id"), F.col("kid").alias("keep_id"), "group_size",
-        (F.col("rid") == F.col("gid")).alias("kept"), F.col("sha").alias("text_sha256"), "n_bytes",
-    )
+    return settled.select(F.col("id").alias("doc_id"), F.col("kid").alias("keep_id"), F.col("n").alias("group_size"), (F.col("rid") == F.col("gid")).alias("kept"), F.col("sha").alias("text_sha256"), "n_bytes")
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
