@@ -38,7 +38,8 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     """From (source, size) one row per source: source, source_size, target, whole (copies of every document), rest (words), p.
 
     Sources in code point order, null last, weigh ``weights`` in turn. No target is above ``most`` times its source's size: with the
-    sources in order of the level at which they reach that bound, the level of the free ones follows from two running sums."""
+    sources in order of the level at which they reach that bound, the level of the free ones follows from two running sums at the first
+    source that stays below it; the later ones would give less."""
     cap = F.col("source_size") * most
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     order = F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))) - 1
@@ -48,7 +49,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     before = F.coalesce(F.sum(cap).over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     free = F.sum("w").over(by.rowsBetween(0, Window.unboundedFollowing))
     per = per.withColumn("at", (total - before) / free)
-    level = F.min(F.when(F.col("at") <= F.col("full_at"), F.col("at"))).over(Window.partitionBy())
+    level = F.max(F.when(F.col("at") <= F.col("full_at"), F.col("at"))).over(Window.partitionBy())
     per = per.withColumn("target", F.least(F.coalesce(F.col("w") * level, cap), cap))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     per = per.withColumn("whole", whole)
@@ -129,17 +130,21 @@ def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 
 
 SQL = rf"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size,
          (CAST(('0x' || substr(md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))), 1, 13)) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS w FROM s),
-f AS (SELECT *, source_size * 2.0::DOUBLE AS cap, source_size * 2.0::DOUBLE / w AS full_at FROM w),
-l AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER (ORDER BY full_at, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-             / sum(w) OVER (ORDER BY full_at, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev FROM f),
-m AS (SELECT min(lev) AS lev FROM l WHERE lev <= full_at),
-t AS (SELECT source, source_size, least(coalesce(w * m.lev, cap), cap) AS target FROM l, m),
+it AS (
+  SELECT 0 AS r, source, source_size, w, source_size * 2.0::DOUBLE AS cap, false AS capped FROM w
+  UNION ALL
+  SELECT r + 1, source, source_size, w, cap,
+         capped OR w * (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) FILTER (capped) OVER (), 0)) / (sum(w) FILTER (NOT capped) OVER ()) > cap
+  FROM it WHERE r < 60),
+t AS (SELECT source, source_size, CASE WHEN capped THEN cap
+             ELSE w * ((1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) FILTER (capped) OVER (), 0)) / (sum(w) FILTER (NOT capped) OVER ())) END AS target
+      FROM it WHERE r = 60),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM t),
 r AS (SELECT *, target - whole * source_size AS rest, CASE WHEN source_size > 0 THEN (target - whole * source_size) / source_size ELSE 0 END AS p FROM p),
 k AS (SELECT d.doc_id, d.size, r.*, CASE WHEN p > 0 AND p < 1 THEN ((u / (1 - u)) / (p / (1 - p))) / (1 + (u / (1 - u)) / (p / (1 - p))) ELSE 0 END AS k
