@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, importance, mixing, ngram_join, url_filter
+from . import bloom_lm, bpe, embedding_dedup, exact_dedup, importance, mixing, ngram_join, url_filter
 from .common import table
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return made.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -24,6 +28,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -39,9 +47,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_mixing": op5_mixing,
+    "op6_bloom_lm": op6_bloom_lm,
     "op7_importance": op7_importance,
     "op9_ngram_join": op9_ngram_join,
     "op10_bpe": op10_bpe,
