@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bloom_lm, bpe, embedding_dedup, exact_dedup, importance, mixing, ngram_join, url_filter
+from . import bloom_lm, bpe, embedding_dedup, exact_dedup, importance, mixing, ngram_join, suffix_dedup, url_filter
 from .common import table
 
 
@@ -36,6 +36,10 @@ def op7_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_groups(table(spark, sf_dir, "documents"), n=3, t=90)
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_bloom_lm": op6_bloom_lm,
     "op7_importance": op7_importance,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_ngram_join": op9_ngram_join,
     "op10_bpe": op10_bpe,
 }
