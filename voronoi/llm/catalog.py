@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import bloom_lm, bpe, embedding_dedup, exact_dedup, importance, mixing, ngram_join, suffix_dedup, url_filter
+from . import bloom_lm, bpe, embedding_dedup, exact_dedup, importance, licenses, mixing, ngram_join, suffix_dedup, url_filter
 from .common import table
 
 
@@ -15,6 +14,10 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_embeddings(table(spark, sf_dir, "embeddings"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return made.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -52,6 +55,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_licenses": op2_licenses,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_mixing": op5_mixing,
