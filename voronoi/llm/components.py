@@ -19,6 +19,8 @@ def components(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """(node, root) for every node of a link: root is the least node that links reach. Every step writes its links to the shared
     folder; self links and repeated links do no harm."""
     edges = durable(links.select(F.greatest(u, v).cast("long").alias("u"), F.least(u, v).cast("long").alias("v")).distinct())
+    if edges.isEmpty():
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -11,8 +11,8 @@ at least e + 1 agree, so a set with at most e empty ones shares one that isn't e
 partitioning of the domain, and so on.
 
 Equal sets are one node. Candidates never become all pairs of a group: each task and then each bucket links a signature's nodes to its
-least node. These links are checked exactly. A candidate group that the checked links leave in several parts is settled by comparing
-the sets of different parts, block by block.
+least node. These links are checked exactly. Where the checked links leave a candidate group in several parts, the nodes of different
+parts that share a signature are compared by sketches, block by block, and what these don't rule out is checked exactly too.
 """
 
 from __future__ import annotations
@@ -36,8 +36,8 @@ BAND = 1.5
 TURNS = 4
 #: Signatures held by a task before it sends them on, and in a bucket on the average.
 FLUSH = 2_000_000
-#: Sets in a block when parts of a group are compared.
-BLOCK = 256
+#: Sets in a block when parts of a group are compared, and bits of a set's sketch.
+BLOCK, SKETCH = 512, 2048
 
 
 @lru_cache(maxsize=8)
@@ -191,52 +191,102 @@ def _checked(n: int, t: int):
     return run
 
 
-def _block_links(n: int, t: int):
-    """Links between nodes of different parts in a pair of blocks (side 0: nodes to be settled, side 1: any of the group); one
-    link for each two parts that are found linked is enough."""
-
-    def run(table: pa.Table) -> pa.Table:
-        side, node, part = (table.column(c).to_numpy() for c in ("side", "node", "part"))
-        sets = list(sets_of(table.column("text").combine_chunks(), n))
-        left = np.flatnonzero(side == 0)
-        lens = np.array([len(sets[i]) for i in left])
-        feature = np.concatenate([sets[i] for i in left]) if len(left) else np.zeros(0, dtype=np.uint64)
-        owner = np.repeat(np.arange(len(left)), lens)
-        order = np.argsort(feature, kind="stable")
-        feature, owner = feature[order], owner[order]
-        done, u, v = set(), [], []
-        for i in np.flatnonzero(side == 1):
-            s = sets[i]
-            lo, hi = np.searchsorted(feature, s, "left"), np.searchsorted(feature, s, "right")
-            n_hits = hi - lo
-            hits = np.arange(n_hits.sum()) - np.repeat(np.cumsum(n_hits) - n_hits, n_hits) + np.repeat(lo, n_hits)
-            common = np.bincount(owner[hits], minlength=len(left))
-            for k in np.flatnonzero((100 * common >= t * (lens + len(s) - common)) & (part[left] != part[i])):
-                pair = (min(part[i], part[left[k]]), max(part[i], part[left[k]]))
-                if pair not in done:
-                    done.add(pair)
-                    u.append(int(node[left[k]]))
-                    v.append(int(node[i]))
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+def sketch(features: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of features in SKETCH cells, as 64-bit words. Two sketches differ in no more bits than their sets do in
+    features, so that a pair with too many differing bits can be ruled out."""
+    odd = np.bincount((mix(features ^ U(0x5851F42D4C957F2D)) % U(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(bool)).view(np.uint64)
+
+
+def may_be_similar(x: np.ndarray, x_size: np.ndarray, y: np.ndarray, y_size: np.ndarray, t: int) -> np.ndarray:
+    """Row by row: False only for sets that can't be linked, by their sizes and sketches."""
+    differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+    return (differ * (100 + t) <= (100 - t) * (x_size + y_size)) & (100 * np.minimum(x_size, y_size) >= t * np.maximum(x_size, y_size))
+
+
+def _marks(n: int):
+    def run(batches):
+        for batch in batches:
+            sets = list(sets_of(batch.column(1), n))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([sketch(x).tobytes() for x in sets], pa.binary())], names=["node", "size", "sketch"])
+
+    return run
+
+
+def _words(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(len(column), SKETCH // 64)
+
+
+def _ruled_out(t: int):
+    """Pairs (u, v) with whether they may be linked."""
+
+    def run(batches):
+        for batch in batches:
+            may = may_be_similar(_words(batch.column("sketch_u")), batch.column("size_u").to_numpy(), _words(batch.column("sketch_v")), batch.column("size_v").to_numpy(), t)
+            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), pa.array(may, pa.bool_())], names=["u", "v", "may"])
+
+    return run
+
+
+def _signed(n: int, t: int):
+    """(sig, node, part) for every signature of the rows (node, part, text)."""
+
+    def run(batches):
+        for batch in batches:
+            node, part = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            made = [signatures(x, t).view(np.int64) for x in sets_of(batch.column(2), n)]
+            lens = [len(x) for x in made]
+            if sum(lens):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(made)), pa.array(np.repeat(node, lens)), pa.array(np.repeat(part, lens))], names=["sig", "node", "part"])
+
+    return run
+
+
+def _open_pairs(t: int):
+    """Pairs of different parts that may be linked, from rows sorted by (sig, x, y); side 0 is compared with side 1, side 2 with itself."""
+
+    def compare(rows: list, out: set) -> None:
+        node, part, size = (np.array([r[k] for r in rows]) for k in (1, 2, 3))
+        bits = np.frombuffer(b"".join(r[4] for r in rows), dtype=np.uint64).reshape(len(rows), -1)
+        side = np.array([r[0] for r in rows])
+        right = np.flatnonzero(side != 0)
+        for i in np.flatnonzero(side != 1):
+            j = right[part[right] != part[i]]
+            j = j[may_be_similar(bits[j], size[j], bits[i], size[i], t)]
+            out.update((min(int(node[i]), k), max(int(node[i]), k)) for k in node[j].tolist())
+
+    def run(batches):
+        out, piece, rows = set(), None, []
+        batch_of = lambda: pa.RecordBatch.from_pydict({"u": pa.array([p[0] for p in out], pa.int64()), "v": pa.array([p[1] for p in out], pa.int64())})
+        for batch in batches:
+            for sig, x, y, *row in zip(*[c.to_pylist() for c in batch.columns]):
+                if (sig, x, y) != piece:
+                    if len(rows) > 1:
+                        compare(rows, out)
+                    piece, rows = (sig, x, y), []
+                    if len(out) > 100_000:
+                        yield batch_of()
+                        out.clear()
+                rows.append(row)
+        if len(rows) > 1:
+            compare(rows, out)
+        yield batch_of()
 
     return run
 
 
-def _settle(checked: DataFrame, texts: DataFrame, n: int, t: int) -> DataFrame:
-    """Links that the star of a group can miss: those between the parts in which the checked links leave a candidate group."""
-    group = components(checked).select("node", F.col("root").alias("group"))
-    linked = components(checked.where("ok")).select("node", F.col("root").alias("part"))
-    nodes = durable(group.join(linked, "node", "left").withColumn("part", F.coalesce("part", "node")))
-    parts = nodes.groupBy("group", "part").agg(F.count("*").alias("n"))
-    groups = durable(parts.groupBy("group").agg(F.max(F.struct("n", "part")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("size")).where("parts > 1"))
-    open_nodes = nodes.join(groups, "group").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
-    open_nodes = open_nodes.withColumn("block", block).withColumn("lone", F.col("part") != F.col("main.part"))
-    # every pair of different parts has a node outside the largest part: those nodes' blocks against all blocks of the group
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    lone = open_nodes.where("lone").select("group", "node", "part", F.lit(0).alias("side"), F.col("block").alias("x"), every.alias("y"))
-    any_ = open_nodes.select("group", "node", "part", F.lit(1).alias("side"), every.alias("x"), F.col("block").alias("y"))
-    return lone.unionByName(any_).join(texts, "node").select("group", "x", "y", "side", "node", "part", "text").groupBy("group", "x", "y").applyInArrow(_block_links(n, t), "u long, v long")
+def _settle(checked: DataFrame, linked: DataFrame, texts: DataFrame, marks: DataFrame, n: int, t: int) -> DataFrame:
+    """Pairs that the star of a signature can miss: those that share one, lie in different parts (components of the checked links), and
+    may be linked by their sketches. Only signatures that lie in several parts are looked at, block by block."""
+    nodes = durable(marks.select("node").join(linked.select("node", F.col("root").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node")))
+    signed = nodes.join(texts, "node").select("node", "part", "text").mapInArrow(_signed(n, t), "sig long, node long, part long")
+    shared = durable(signed.groupBy("sig").agg(F.min("part").alias("a"), F.max("part").alias("b"), F.count("*").alias("n")).where("a <> b").select("sig", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    members = signed.join(shared, "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
+    # a block meets itself and every later one
+    each = F.explode(F.expr("transform(sequence(0, blocks - 1), o -> struct(least(block, o) as x, greatest(block, o) as y, if(o = block, 2, if(block < o, 0, 1)) as side))"))
+    work = members.select("sig", "node", "part", each.alias("w")).select("sig", "w.x", "w.y", "w.side", "node", "part").join(marks, "node")
+    work = work.select("sig", "x", "y", "side", "node", "part", "size", "sketch").repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y")
+    return work.mapInArrow(_open_pairs(t), "u long, v long").distinct().join(checked.select("u", "v"), ["u", "v"], "left_anti")
 
 
 def jaccard_groups(docs: DataFrame, n: int = 3, t: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -266,13 +316,28 @@ def jaccard_groups(docs: DataFrame, n: int = 3, t: int = 90, id_col: str = "doc_
 
     texts = own.mapInArrow(with_node, "id long, text string, node long").alias("o").join(names.alias("m"), (F.col("o.node") == F.col("m.node")) & F.col("o.id").eqNullSafe(F.col("m.id")))
     texts = durable(texts.select("o.node", "o.text").dropDuplicates(["node"]))
-    side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
-    pairs = found.join(side("v"), "v").join(side("u"), "u").select("u", "v", "text_u", "text_v")
-    checked = durable(pairs.mapInArrow(_checked(n, t), "u long, v long, ok boolean"))
-    links = checked.where("ok").select("u", "v")
-    if not checked.where("not ok").isEmpty():
-        links = links.unionByName(durable(_settle(checked, texts, n, t)))
-    roots = durable(components(links))
+    marks = durable(texts.mapInArrow(_marks(n), "node long, size long, sketch binary"))
+
+    def check(pairs: DataFrame) -> DataFrame:
+        """(u, v, ok): by sizes and sketches, then by the texts of the pairs that are left."""
+        side = lambda df, c, cols: df.select(F.col("node").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in cols])
+        sized = pairs.join(side(marks, "v", ("size", "sketch")), "v").join(side(marks, "u", ("size", "sketch")), "u")
+        may = durable(sized.mapInArrow(_ruled_out(t), "u long, v long, may boolean"))
+        left = may.where("may").join(side(texts, "v", ("text",)), "v").join(side(texts, "u", ("text",)), "u").select("u", "v", "text_u", "text_v")
+        return durable(left.mapInArrow(_checked(n, t), "u long, v long, ok boolean").unionByName(may.where("not may").select("u", "v", F.lit(False).alias("ok"))))
+
+    checked = check(found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    linked = durable(components(checked.where("ok").select("u", "v")))
+    if checked.where("not ok").isEmpty():
+        roots = linked
+    else:
+        more = check(_settle(checked, linked, texts, marks, n, t)).where("ok")
+        part = lambda c: linked.select(F.col("node").alias(c), F.col("root").alias(f"part_{c}"))
+        parts = more.join(part("u"), "u", "left").join(part("v"), "v", "left").select(F.coalesce("part_u", "u").alias("u"), F.coalesce("part_v", "v").alias("v"))
+        joined = durable(components(parts).select(F.col("node").alias("part"), F.col("root").alias("joined")))
+        # nodes without a checked link are parts of their own
+        parts = linked.select("node", F.col("root").alias("part")).unionByName(joined.select(F.col("part").alias("node"), "part").join(linked, "node", "left_anti").select("node", "part"))
+        roots = durable(parts.join(joined, "part", "left").select("node", F.coalesce("joined", "part").alias("root")))
     rooted = durable(nodes.join(roots, "node", "left").select("id", "n_shingles", F.coalesce("root", "node").alias("root")))
     least = durable(rooted.where("root is not null").groupBy("root").agg(F.min("id").alias("least"), F.count("*").alias("n")).where("n > 1"))
     return rooted.join(least, "root", "left").select(F.col("id").alias("doc_id"), "n_shingles", F.when(F.col("least").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
