@@ -3,7 +3,7 @@ import pytest
 
 from conftest import SF_SMALL, cents, pts
 from voronoi.operators import centroids as centroids_mod
-from voronoi.operators.assign import assign_by_min, assign_nearest, distance_matrix
+from voronoi.operators.assign import _arrow_blocks, assign_by_min, assign_nearest, distance_matrix
 from voronoi.operators.centroids import CentroidSet
 from voronoi.sources.tables import embedding_points, first_points
 
@@ -32,6 +32,33 @@ def test_nan_centroid_loses(spark):
         assert assign_nearest(p, c, engine=engine).collect()[0].cluster_id == 2
 
 
+
+@pytest.mark.parametrize("size", [2, 300])
+@pytest.mark.parametrize("engine", ["auto", "sql", "arrow"])
+@pytest.mark.parametrize("bad", [[1.0], [1.0, 2.0, 3.0], [1.0, None], None])
+def test_bad_vectors_raise_at_every_size(spark, size, engine, bad):
+    p = spark.createDataFrame([(1, [0.0, 0.0]), (2, bad)], "id bigint, dims array<double>")
+    cs = CentroidSet.of([(j, [float(j), 0.0]) for j in range(size)])
+    for made in (assign_nearest(p, cs, engine=engine), distance_matrix(p, cs, engine=engine)):
+        with pytest.raises(Exception, match="DimensionError|coordinates|NULL vector|INVALID_ARRAY_INDEX"):
+            made.collect()
+
+
+def test_sql_is_obeyed_or_refused(spark):
+    p = spark.createDataFrame([(1, [0.0, 0.0])], "id bigint, dims array<double>")
+    with pytest.raises(ValueError):
+        assign_nearest(p, CentroidSet.of([(j, [float(j), 0.0]) for j in range(3000)]), engine="sql")
+
+
+def test_keep_leaves_the_vector_out(spark):
+    p = spark.createDataFrame([(1, [0.0, 0.0]), (2, [9.0, 0.0])], "id bigint, dims array<double>")
+    cs = CentroidSet.of([(0, [0.0, 0.0]), (1, [8.0, 0.0])])
+    for engine in ("sql", "arrow"):
+        got = assign_nearest(p, cs, engine=engine, keep=["id"])
+        assert got.columns == ["id", "cluster_id"]
+        assert sorted(map(tuple, got.collect())) == [(1, 0), (2, 1)]
+
+
 def _brute(x, ids, vecs):
     d = ((x[:, None, :] - vecs[None, :, :]) ** 2).sum(-1)
     return ids[np.argmin(d, axis=1)]
@@ -54,7 +81,7 @@ def test_blocked_broadcast(spark, monkeypatch):
     monkeypatch.setattr(centroids_mod, "BROADCAST_BLOCK_BYTES", 64 * 8 * 3)
     e = embedding_points(spark, SF_SMALL)
     cs = CentroidSet.from_frame(first_points(e, "vec_id", 10))
-    assert len(cs.blocks(centroids_mod.BROADCAST_BLOCK_BYTES)) == 4
+    assert len(_arrow_blocks(spark, cs)) == 4
     a = {r.vec_id: r.cluster_id for r in assign_nearest(e, cs, engine="arrow").collect()}
     b = {r.vec_id: r.cluster_id for r in assign_nearest(e, cs, engine="sql").collect()}
     assert a == b

@@ -140,26 +140,26 @@ def q_keyed_roundtrip(spark, sf):
 
 # ---- per-row vector functions ---------------------------------------------
 
-def _consecutive(spark, sf) -> DataFrame:
-    """Each embedding paired with the next id (an equi-join on vec_id + 1)."""
-    e = _e(spark, sf)
-    nxt = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("dims").alias("next_dims"))
-    return e.join(nxt, "vec_id")
+def _with_first(spark, sf) -> DataFrame:
+    """Each embedding paired with its label's first vector (one row per label, so no shuffle of the points once that side is small)."""
+    e = table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("dims"))
+    first = e.groupBy("label").agg(F.min_by("dims", "vec_id").alias("first_dims")).withColumnRenamed("label", "of")
+    return e.join(first, e["label"].eqNullSafe(first["of"]))
 
 
 def q_squared_distance(spark, sf):
-    p = _consecutive(spark, sf)
-    return p.select("vec_id", r6(squared_distance("dims", "next_dims")).alias("dist2"))
+    p = _with_first(spark, sf)
+    return p.select("vec_id", r6(squared_distance("dims", "first_dims")).alias("dist2"))
 
 
 def q_euclidean_distance(spark, sf):
-    p = _consecutive(spark, sf)
-    return p.select("vec_id", r6(euclidean_distance("dims", "next_dims")).alias("dist"))
+    p = _with_first(spark, sf)
+    return p.select("vec_id", r6(euclidean_distance("dims", "first_dims")).alias("dist"))
 
 
 def q_vector_add(spark, sf):
-    p = _consecutive(spark, sf)
-    return _long(p.select("vec_id", vector_add("dims", "next_dims").alias("v")), ["vec_id"], "v", "value")
+    p = _with_first(spark, sf)
+    return _long(p.select("vec_id", vector_add("dims", "first_dims").alias("v")), ["vec_id"], "v", "value")
 
 
 def q_vector_scale(spark, sf):
@@ -310,14 +310,14 @@ def q_kmeans_converged(spark, sf):
 def q_kmeans_labels(spark, sf):
     r = _kmeans_e(spark, sf)
     r.release()
-    return r.labels().select("vec_id", "cluster_id")
+    return r.labels(keep=["vec_id"])
 
 
 def q_kmeans_sizes(spark, sf):
     """Flagship: converged K-Means on the embeddings, points per cluster."""
     r = _kmeans_e(spark, sf)
     r.release()
-    return r.labels().groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n_points"))
+    return r.labels(keep=[]).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n_points"))
 
 
 def q_kmeans_keyed(spark, sf):

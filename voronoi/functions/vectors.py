@@ -32,10 +32,16 @@ def as_vector(c) -> Column:
     return _col(c).cast(DOUBLE_VECTOR)
 
 
+def _bad_vector(kind: str) -> Column:
+    """Raise inside the plan (M14); ``kind`` is the type the expression stands in for."""
+    return F.raise_error(F.lit("DimensionError: vectors of different lengths, or NULL coordinates")).cast(kind)
+
+
 def squared_distance(a, b) -> Column:
-    """M1: sum_i (a_i - b_i)^2 for two vector columns."""
+    """M1: sum_i (a_i - b_i)^2 for two vector columns. Vectors of different
+    lengths, NULL vectors and NULL coordinates (all of which give a NULL sum) raise."""
     terms = F.zip_with(_col(a), _col(b), lambda x, y: (x - y) * (x - y))
-    return F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
+    return F.coalesce(F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t), _bad_vector("double"))
 
 
 def euclidean_distance(a, b) -> Column:
@@ -44,19 +50,22 @@ def euclidean_distance(a, b) -> Column:
 
 
 def squared_distance_to(a, vector: Sequence[float]) -> Column:
-    """M1 against a constant vector, unrolled so it stays inside codegen."""
+    """M1 against a constant vector, unrolled so it stays inside codegen. Another
+    length, a NULL vector and a NULL coordinate raise."""
     a = _col(a)
     total = None
     for i, v in enumerate(vector):
         diff = a.getItem(i) - F.lit(float(v))
         term = diff * diff
         total = term if total is None else total + term
-    return F.lit(0.0) if total is None else total
+    total = F.lit(0.0) if total is None else total
+    return F.coalesce(F.when(F.size(a) == len(vector), total), _bad_vector("double"))
 
 
 def vector_add(a, b) -> Column:
-    """M3: element-wise sum."""
-    return F.zip_with(_col(a), _col(b), lambda x, y: x + y)
+    """M3: element-wise sum; different lengths, NULL vectors and NULL coordinates raise."""
+    total = F.zip_with(_col(a), _col(b), lambda x, y: x + y)
+    return F.when(F.coalesce(~F.exists(total, lambda x: x.isNull()), F.lit(False)), total).otherwise(_bad_vector("array<double>"))
 
 
 def vector_scale(a, n) -> Column:
@@ -65,12 +74,6 @@ def vector_scale(a, n) -> Column:
     return F.transform(_col(a), lambda x: x / n)
 
 
-def vector_to_columns(df: DataFrame, c: str, d: int, prefix: str = "d") -> DataFrame:
-    """Flatten a vector column into ``d1..dN`` columns (for flat outputs)."""
-    cols = [F.col(c).getItem(i).alias(f"{prefix}{i + 1}") for i in range(d)]
-    return df.select(*[x for x in df.columns if x != c], *cols)
-
-
 class DimensionError(ValueError):
     """Vectors of different lengths, or NULL coordinates."""
 
@@ -100,7 +103,7 @@ def check_dimensions(df: DataFrame, c: str = "dims", expected: int | None = None
     if nulls:
         raise DimensionError(f"{nulls} vectors in '{c}' are NULL or hold NULL coordinates")
     if lo != hi:
-        raise DimensionError(f"Different number of dimensions in '{c}': {lo} to {hi}")
+        raise DimensionError(f"Vectors in '{c}' have {lo} to {hi} coordinates")
     if expected is not None and lo != expected:
-        raise DimensionError(f"Different number of dimensions: {lo} against {expected}")
+        raise DimensionError(f"Vectors in '{c}' have {lo} coordinates, not {expected}")
     return n, lo

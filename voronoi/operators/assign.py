@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.vectors import as_vector, squared_distance, squared_distance_to
+from ..functions.vectors import squared_distance, squared_distance_to
 from .centroids import SQL_INLINE_MAX_VALUES, CentroidSet
 from .nearest import batch_matrix, nearest
 
@@ -47,15 +47,15 @@ def centroid_set(centroids, id_col="cluster_id", dims="dims", label_col=None) ->
 def choose_engine(cs: CentroidSet, engine: str = "auto") -> str:
     """``auto``: the codegen'd SQL form while k x d is small enough to unroll,
     else the Arrow kernel (measured 6x faster per Lloyd step than the
-    interpreted higher-order SQL form at 10 x 64). ``sql`` is honoured up to
-    ``SQL_INLINE_MAX_VALUES`` constants in the plan."""
+    interpreted higher-order SQL form at 10 x 64). ``sql`` is refused beyond
+    ``SQL_INLINE_MAX_VALUES`` constants in the plan, never swapped."""
     if engine not in ("auto", "sql", "arrow"):
         raise ValueError(f"unknown engine {engine!r}")
     size = cs.k * max(cs.d or 0, 1)
     if engine == "auto":
         return "sql" if size <= UNROLL_MAX_VALUES else "arrow"
     if engine == "sql" and size > SQL_INLINE_MAX_VALUES:
-        return "arrow"
+        raise ValueError(f"{size} centroid values are too many for engine='sql', which takes {SQL_INLINE_MAX_VALUES}")
     return engine
 
 
@@ -104,20 +104,19 @@ def _arrow_blocks(spark, cs: CentroidSet):
 
 
 def _arrow_assign(points: DataFrame, cs: CentroidSet, dims: str, label: str,
-                  distance: str | None) -> DataFrame:
+                  distance: str | None, keep: list[str]) -> DataFrame:
     spark = points.sparkSession
-    d = cs.d or 0
+    d, k = cs.d or 0, cs.k  # read here, so that the task closure doesn't carry the centroids
     labels = cs.label_values().copy()
     blocks = _arrow_blocks(spark, cs)
-    out_fields = [f for f in points.schema.fields if f.name not in (label, distance)]
+    out_fields = [points.schema[c] for c in keep]
     schema = T.StructType(out_fields + [T.StructField(label, T.LongType(), False)]
                           + ([T.StructField(distance, T.DoubleType(), True)] if distance else []))
-    keep = [f.name for f in out_fields]
 
     def run(batches):
         local = [(off, bc.value) for off, bc in blocks]
         for rb in batches:
-            if cs.k:
+            if k:
                 x = batch_matrix(rb.column(rb.schema.get_field_index(dims)), d)
                 j, dist = nearest(np.ascontiguousarray(x.T), local)
                 lab = labels[j]
@@ -127,25 +126,27 @@ def _arrow_assign(points: DataFrame, cs: CentroidSet, dims: str, label: str,
             cols = [rb.column(rb.schema.get_field_index(c)) for c in keep]
             cols.append(pa.array(lab, pa.int64()))
             if distance:
-                cols.append(pa.array(dist, pa.float64(), mask=None if cs.k else np.ones(rb.num_rows, bool)))
+                cols.append(pa.array(dist, pa.float64(), mask=None if k else np.ones(rb.num_rows, bool)))
             yield pa.RecordBatch.from_arrays(cols, names=keep + [label] + ([distance] if distance else []))
 
-    return points.select(*keep).mapInArrow(run, schema)
+    return points.select(*dict.fromkeys([*keep, dims])).mapInArrow(run, schema)
 
 
 def assign_nearest(points: DataFrame, centroids, *, dims: str = "dims", label: str = "cluster_id",
                    distance: str | None = None, engine: str = "auto",
-                   centroid_label: str | None = None) -> DataFrame:
+                   centroid_label: str | None = None, keep=None) -> DataFrame:
     """M5: add ``label`` (nearest centroid's id, or its ``centroid_label`` in the
     keyed layout) and optionally the squared ``distance`` to every point row.
 
-    Points keep all their columns; nothing is shuffled.
+    Points keep all their columns, or those in ``keep`` (leave out the vector where
+    only labels are wanted: it then never returns from Python). Nothing is shuffled.
+    A vector of another length, a NULL vector or a NULL coordinate raises in every form.
     """
     cs = centroid_set(centroids, label_col=centroid_label)
+    rest = [c for c in (points.columns if keep is None else keep) if c not in (label, distance)]
     if choose_engine(cs, engine) == "arrow":
-        return _arrow_assign(points, cs, dims, label, distance)
+        return _arrow_assign(points, cs, dims, label, distance, rest)
     best = nearest_struct(F.col(dims), cs)
-    rest = [c for c in points.columns if c not in (label, distance)]
     cols = [F.col(c) for c in rest] + [best["label"].alias(label)]
     if distance:
         cols.append(best["dist"].alias(distance))
@@ -223,8 +224,3 @@ def assign_by_min(pairs: DataFrame, *, key: str = "id", label: str = "cluster_id
     aggregation keeps one candidate per key per task before the shuffle."""
     best = F.min(F.struct(F.col(dist).alias("d"), F.col(label).alias("l")))
     return pairs.groupBy(key).agg(best.alias("m")).select(key, F.col("m.l").alias(label))
-
-
-def prepare_points(df: DataFrame, dims: str = "dims", keep=()) -> DataFrame:
-    """Project to the vector column (+ kept columns) as array<double>."""
-    return df.select(*keep, as_vector(dims).alias("dims"))

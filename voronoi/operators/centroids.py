@@ -65,7 +65,7 @@ class CentroidSet:
         if vecs:
             lens = {len(v) for v in vecs}
             if len(lens) != 1:
-                raise DimensionError(f"Different number of dimensions among centroids: {sorted(lens)}")
+                raise DimensionError(f"Centroids of different lengths: {sorted(lens)}")
             if any(x is None for v in vecs for x in v):
                 raise DimensionError("centroid with a NULL coordinate")
             arr = np.array(vecs, dtype=np.float64).reshape(len(vecs), lens.pop())
@@ -94,11 +94,9 @@ class CentroidSet:
         rows = [(int(i), [float(x) for x in v]) for i, v in zip(self.ids, self.vectors)]
         return spark.createDataFrame(rows, f"{id_col} bigint, {dims} array<double>")
 
-    def as_dict(self) -> dict[int, np.ndarray]:
-        return {int(i): v for i, v in zip(self.ids, self.vectors)}
-
-    def blocks(self, block_bytes: int = BROADCAST_BLOCK_BYTES) -> list[tuple[int, int]]:
-        """Row ranges of at most ``block_bytes`` each."""
+    def blocks(self, block_bytes: int | None = None) -> list[tuple[int, int]]:
+        """Row ranges of at most ``block_bytes`` (BROADCAST_BLOCK_BYTES) each."""
+        block_bytes = BROADCAST_BLOCK_BYTES if block_bytes is None else block_bytes
         if self.k == 0:
             return []
         per_row = max(1, (self.d or 1) * 8)

@@ -6,6 +6,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
+from ..functions.vectors import DimensionError
+
 
 def batch_matrix(arr: pa.Array, d: int) -> np.ndarray:
     """list<double|float> Arrow column -> (n, d) float64, without Python rows."""
@@ -15,14 +17,14 @@ def batch_matrix(arr: pa.Array, d: int) -> np.ndarray:
     if n == 0:
         return np.zeros((0, d))
     if arr.null_count:
-        raise ValueError("NULL vector in input")
+        raise DimensionError("NULL vector in input")
     offsets = arr.offsets.to_numpy(zero_copy_only=False)
     lens = np.diff(offsets)
     if (lens != d).any():
-        raise ValueError(f"Different number of dimensions: expected {d}, got {int(lens.min())}..{int(lens.max())}")
+        raise DimensionError(f"Vectors of {int(lens.min())} to {int(lens.max())} coordinates, not {d}")
     flat = arr.values.slice(int(offsets[0]), n * d)
     if flat.null_count:
-        raise ValueError("NULL coordinate in input")
+        raise DimensionError("NULL coordinate in input")
     return flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(n, d)
 
 

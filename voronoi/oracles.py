@@ -142,21 +142,27 @@ SELECT CAST(c_custkey AS VARCHAR) || ' ' || CAST(CAST(c_nationkey AS DOUBLE) AS
 SELECT c_custkey AS id, CAST(c_nationkey AS DOUBLE) AS d1, c_acctbal AS d2, CAST(c_nationkey AS BIGINT) AS cluster_id
 FROM customer""",
     "squared_distance": f"""
-WITH e AS ({E_LONG})
+WITH e AS ({E_LONG}),
+f AS (SELECT v.vec_id AS id, m.first_id FROM embeddings v JOIN (SELECT label, min(vec_id) AS first_id FROM embeddings GROUP BY label) m
+      ON v.label IS NOT DISTINCT FROM m.label)
 SELECT a.id AS vec_id, {R6('sum((a.x - b.x) * (a.x - b.x))')} AS dist2
-FROM e a JOIN e b ON b.id = a.id + 1 AND b.pos = a.pos GROUP BY a.id""",
+FROM e a JOIN f ON f.id = a.id JOIN e b ON b.id = f.first_id AND b.pos = a.pos GROUP BY a.id""",
     "euclidean_distance": f"""
-WITH e AS ({E_LONG})
+WITH e AS ({E_LONG}),
+f AS (SELECT v.vec_id AS id, m.first_id FROM embeddings v JOIN (SELECT label, min(vec_id) AS first_id FROM embeddings GROUP BY label) m
+      ON v.label IS NOT DISTINCT FROM m.label)
 SELECT a.id AS vec_id, {R6('sqrt(sum((a.x - b.x) * (a.x - b.x)))')} AS dist
-FROM e a JOIN e b ON b.id = a.id + 1 AND b.pos = a.pos GROUP BY a.id""",
+FROM e a JOIN f ON f.id = a.id JOIN e b ON b.id = f.first_id AND b.pos = a.pos GROUP BY a.id""",
     "distance_matrix": f"""
 WITH e AS ({E_LONG})
 SELECT p.id AS vec_id, c.id AS cluster_id, {R6('sqrt(sum((p.x - c.x) * (p.x - c.x)))')} AS distance
 FROM e p JOIN e c ON c.pos = p.pos WHERE c.id IN ({E_SEED_IDS}) GROUP BY p.id, c.id""",
     "vector_add": f"""
-WITH e AS ({E_LONG})
+WITH e AS ({E_LONG}),
+f AS (SELECT v.vec_id AS id, m.first_id FROM embeddings v JOIN (SELECT label, min(vec_id) AS first_id FROM embeddings GROUP BY label) m
+      ON v.label IS NOT DISTINCT FROM m.label)
 SELECT a.id AS vec_id, CAST(a.pos AS INTEGER) AS pos, {R6('a.x + b.x')} AS value
-FROM e a JOIN e b ON b.id = a.id + 1 AND b.pos = a.pos""",
+FROM e a JOIN f ON f.id = a.id JOIN e b ON b.id = f.first_id AND b.pos = a.pos""",
     "vector_scale": f"""
 SELECT vec_id, CAST(pos AS INTEGER) AS pos, {R6('x / (label + 1)')} AS value FROM (
   SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) - 1 AS pos

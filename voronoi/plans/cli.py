@@ -16,7 +16,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.defaults import default_centroids, default_points
-from ..sources.text import read_centroids, read_points, write_labelled
+from ..sources.text import format_labelled, read_centroids, read_points, write_labelled
 from .lloyd import DEFAULT_MAX_ITER, DEFAULT_TOL, KMeansResult, kmeans
 
 
@@ -45,10 +45,11 @@ def main(argv=None) -> None:
     ap.add_argument("-t", type=float, default=DEFAULT_TOL)
     ap.add_argument("-s", default=" ")
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("K Clustering").getOrCreate()
+    spark = SparkSession.builder.appName("voronoi-kmeans").getOrCreate()
     labels, result = run_kmeans(spark, a.points, a.centroids, a.n, a.k, a.t, a.s, a.out)
     if not a.out:
-        labels.show(truncate=False)
+        for line in format_labelled(labels).toLocalIterator():  # all lines, one partition at a time
+            print(line[0])
     print(f"steps={result.steps} converged={result.converged} k={result.centroids.k}", file=sys.stderr)
     result.release()
 

@@ -166,10 +166,10 @@ class KMeansResult:
     def centroid_frame(self, id_col: str = "cluster_id", dims: str = "dims") -> DataFrame:
         return self.centroids.to_frame(self.points.sparkSession, id_col, dims)
 
-    def labels(self, label: str = "cluster_id", distance: str | None = None) -> DataFrame:
-        """I4: assign every point once more to the final centroids (lazy)."""
+    def labels(self, label: str = "cluster_id", distance: str | None = None, keep=None) -> DataFrame:
+        """I4: assign every point once more to the final centroids (lazy); ``keep`` names the point columns to return (all)."""
         return assign_nearest(self.points, self.centroids, dims="dims", label=label,
-                              distance=distance, engine=self.engine)
+                              distance=distance, engine=self.engine, keep=keep)
 
     def release(self) -> None:
         self.points.unpersist()

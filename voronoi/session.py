@@ -3,9 +3,6 @@ shared checkpoint folder the cluster names in ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -26,22 +23,4 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; set a scratch one only when the
-    session has none (local tests)."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - no classic context (remote session)
-        return spark.conf.get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="voronoi-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
-    return path

@@ -13,7 +13,7 @@ is a number-format error. Numbers use Java's double syntax (``1d``, ``NaN``,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 LINE = "value"
@@ -84,15 +84,19 @@ def parse_centroids(lines: DataFrame, sep: str = " ", line: str = LINE, id_col:
 
 
 def parse_keyed(lines: DataFrame, line: str = LINE, id_col: str = "id", dims: str = "dims",
-                cluster_col: str = "cluster_id", d: int | None = None) -> DataFrame:
+                cluster_col: str = "cluster_id", d: int | None = None,
+                rejected: Observation | None = None) -> DataFrame:
     """S3: ``id,d1 d2 ...`` (point, cluster -1) or ``id,d1 d2 ...,cluster``
     (centroid). A line with one field fails; four or more fields are dropped
-    (see ``keyed_rejects`` for them)."""
+    (see ``keyed_rejects`` for them) and counted: ``rejected.get["rejected"]`` has
+    their number after the first action, from the same pass."""
     rest = [c for c in lines.columns if c != line]
     f = tokens(F.col(line), ",")
     x = lines.select(*rest, f.alias("_f"))
     x = x.withColumn("_n", F.when(F.size("_f") < 2, F.raise_error(
         F.concat(F.lit("missing coordinates in keyed line: '"), F.array_join("_f", ","), F.lit("'")))).otherwise(F.size("_f")))
+    if rejected is not None:
+        x = x.observe(rejected, F.count(F.when(F.col("_n") > 3, 1)).alias("rejected"))
     x = x.where(F.col("_n") <= 3)
     cluster = F.when(F.col("_n") == 3, parse_int(F.col("_f")[2], "cluster")).otherwise(F.lit(-1))
     return x.select(*rest, parse_int(F.col("_f")[0]).alias(id_col),
@@ -157,8 +161,12 @@ def read_centroids(spark: SparkSession, path: str, sep: str = " ") -> DataFrame:
     return parse_centroids(read_lines(spark, path), sep)
 
 
-def read_keyed(spark: SparkSession, path: str) -> DataFrame:
-    return parse_keyed(read_lines(spark, path))
+def read_keyed(spark: SparkSession, path: str, rejected: Observation | None = None) -> DataFrame:
+    return parse_keyed(read_lines(spark, path), rejected=rejected)
+
+
+def write_keyed(df: DataFrame, path: str, id_col: str = "id", dims: str = "dims", cluster_col: str | None = "cluster_id") -> None:
+    write_lines(format_keyed(df, id_col, dims, cluster_col), path)
 
 
 def write_lines(lines: DataFrame, path: str) -> None:
