@@ -35,7 +35,7 @@ BAND = 1.5
 #: Partitionings of the domain after which an empty partition makes a signature all the same.
 TURNS = 4
 #: Signatures held by a task before it sends them on, and in a bucket on the average.
-FLUSH = 2_000_000
+FLUSH = 500_000
 #: Sets in a block when parts of a group are compared, and bits of a set's sketch.
 BLOCK, SKETCH = 512, 2048
 
@@ -104,7 +104,7 @@ def signatures(features: np.ndarray, t: int) -> np.ndarray:
 def sets_of(column: pa.Array, n: int):
     """The shingle sets of a column of texts, some rows at a time."""
     data, offsets = utf8(column)
-    for i, j in row_slices(offsets, 4 << 20):
+    for i, j in row_slices(offsets, 2 << 20):
         part, own = lower(data[offsets[i]:offsets[j]]), offsets[i:j + 1] - offsets[i]
         starts, ends, firsts = word_spans(part, own)
         yield from shingles(word_hashes(part, starts, ends), firsts, n)
@@ -207,8 +207,8 @@ def may_be_similar(x: np.ndarray, x_size: np.ndarray, y: np.ndarray, y_size: np.
 def _marks(n: int):
     def run(batches):
         for batch in batches:
-            sets = list(sets_of(batch.column(1), n))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([sketch(x).tobytes() for x in sets], pa.binary())], names=["node", "size", "sketch"])
+            sets = [(len(x), sketch(x).tobytes()) for x in sets_of(batch.column(1), n)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s[0] for s in sets], pa.int64()), pa.array([s[1] for s in sets], pa.binary())], names=["node", "size", "sketch"])
 
     return run
 
