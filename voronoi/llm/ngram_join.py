@@ -277,11 +277,21 @@ def _open_pairs(t: int):
 
 def _settle(checked: DataFrame, linked: DataFrame, texts: DataFrame, marks: DataFrame, n: int, t: int) -> DataFrame:
     """Pairs that the star of a signature can miss: those that share one, lie in different parts (components of the checked links), and
-    may be linked by their sketches. Only signatures that lie in several parts are looked at, block by block."""
+    may be linked by their sketches. Only signatures that lie in several parts are looked at, block by block.
+
+    Such a signature holds a refused link between two parts: its nodes reach its least node by links of the tasks and of the bucket, and
+    these can't all stay in one part. So the signatures of the nodes on such links tell which ones lie in several parts."""
     nodes = durable(marks.select("node").join(linked.select("node", F.col("root").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node")))
-    signed = nodes.join(texts, "node").select("node", "part", "text").mapInArrow(_signed(n, t), "sig long, node long, part long")
-    shared = durable(signed.groupBy("sig").agg(F.min("part").alias("a"), F.max("part").alias("b"), F.count("*").alias("n")).where("a <> b").select("sig", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    members = signed.join(shared, "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
+    end = lambda c: nodes.select(F.col("node").alias(c), F.col("part").alias(f"part_{c}"))
+    across = checked.where("not ok").join(end("u"), "u").join(end("v"), "v").where("part_u <> part_v")
+    ends = durable(across.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+    signed = lambda some: some.join(texts, "node").select("node", "part", "text").mapInArrow(_signed(n, t), "sig long, node long, part long")
+    shared = signed(nodes.join(ends, "node")).groupBy("sig").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("sig")
+    shared = durable(shared)
+    # the bitmap is only a first sieve, so that few signatures are shuffled; the join decides
+    sieved = durable(maybe_in(signed(nodes), F.col("sig"), shared, F.col("sig"), 1 << 26).join(shared, "sig"))
+    sizes = durable(sieved.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
+    members = sieved.join(sizes, "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
     # a block meets itself and every later one
     each = F.explode(F.expr("transform(sequence(0, blocks - 1), o -> struct(least(block, o) as x, greatest(block, o) as y, if(o = block, 2, if(block < o, 0, 1)) as side))"))
     work = members.select("sig", "node", "part", each.alias("w")).select("sig", "w.x", "w.y", "w.side", "node", "part").join(marks, "node")
