@@ -12,7 +12,9 @@ partitioning of the domain, and so on.
 
 Equal sets are one node. Candidates never become all pairs of a group: each task and then each bucket links a signature's nodes to its
 least node. These links are checked exactly. Where the checked links leave a candidate group in several parts, the nodes of different
-parts that share a signature are compared by sketches, block by block, and what these don't rule out is checked exactly too.
+parts that share a signature are compared by sketches, block by block. Of what these don't rule out each node sends a few pairs, which
+are checked exactly; their links join parts, and the next round asks for more pairs of the parts that are left, until a round has none
+that it held back. So the pairs sent grow with the nodes, not with their square, and none that could join two parts is left out.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ TURNS = 4
 FLUSH = 500_000
 #: Sets in a block when parts of a group are compared, and bits of a set's sketch.
 BLOCK, SKETCH = 512, 2048
+#: Pairs of a node that the first round sends from a block, and how many times as many the next one does.
+FIRST, MORE = 2, 8
 
 
 @lru_cache(maxsize=8)
@@ -242,46 +246,57 @@ def _signed(n: int, t: int):
     return run
 
 
-def _open_pairs(t: int):
-    """Pairs of different parts that may be linked, from rows sorted by (sig, x, y); side 0 is compared with side 1, side 2 with itself."""
+def _open_pairs(t: int, most: int):
+    """Pairs (u, v) of different parts that may be linked, from rows sorted by (sig, x, y); side 0 is compared with side 1, side 2 with
+    itself. A node sends ``most`` pairs of a block, half of them those most alike, half those of the least nodes; where it had others, a
+    row has the signature as ``more``."""
 
-    def compare(rows: list, out: set) -> None:
+    def compare(rows: list, out: set) -> bool:
         node, part, size = (np.array([r[k] for r in rows]) for k in (1, 2, 3))
         bits = np.frombuffer(b"".join(r[4] for r in rows), dtype=np.uint64).reshape(len(rows), -1)
         side = np.array([r[0] for r in rows])
-        right = np.flatnonzero(side != 0)
+        right, more = np.flatnonzero(side != 0), False
         for i in np.flatnonzero(side != 1):
             j = right[part[right] != part[i]]
             j = j[may_be_similar(bits[j], size[j], bits[i], size[i], t)]
+            if len(j) > most:
+                differ = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                alike = np.lexsort((node[j], differ / (size[j] + size[i])))[: most // 2]
+                j, more = j[np.union1d(alike, np.argsort(node[j])[: most // 2])], True
             out.update((min(int(node[i]), k), max(int(node[i]), k)) for k in node[j].tolist())
+        return more
 
     def run(batches):
-        out, piece, rows = set(), None, []
-        batch_of = lambda: pa.RecordBatch.from_pydict({"u": pa.array([p[0] for p in out], pa.int64()), "v": pa.array([p[1] for p in out], pa.int64())})
+        out, held, piece, rows = set(), set(), None, []
+
+        def batch_of() -> pa.RecordBatch:
+            made = [(u, v, None) for u, v in out] + [(None, None, x) for x in held]
+            return pa.RecordBatch.from_pydict({c: pa.array([m[k] for m in made], pa.int64()) for k, c in enumerate(("u", "v", "more"))})
+
         for batch in batches:
             for sig, x, y, *row in zip(*[c.to_pylist() for c in batch.columns]):
                 if (sig, x, y) != piece:
-                    if len(rows) > 1:
-                        compare(rows, out)
+                    if len(rows) > 1 and compare(rows, out):
+                        held.add(piece[0])
                     piece, rows = (sig, x, y), []
-                    if len(out) > 100_000:
+                    if len(out) + len(held) > 100_000:
                         yield batch_of()
                         out.clear()
+                        held.clear()
                 rows.append(row)
-        if len(rows) > 1:
-            compare(rows, out)
+        if len(rows) > 1 and compare(rows, out):
+            held.add(piece[0])
         yield batch_of()
 
     return run
 
 
-def _settle(checked: DataFrame, linked: DataFrame, texts: DataFrame, marks: DataFrame, n: int, t: int) -> DataFrame:
-    """Pairs that the star of a signature can miss: those that share one, lie in different parts (components of the checked links), and
-    may be linked by their sketches. Only signatures that lie in several parts are looked at, block by block.
+def _open_signatures(checked: DataFrame, linked: DataFrame, texts: DataFrame, marks: DataFrame, n: int, t: int) -> DataFrame:
+    """(sig, node) of the signatures that lie in several parts (components of the checked links).
 
     Such a signature holds a refused link between two parts: its nodes reach its least node by links of the tasks and of the bucket, and
     these can't all stay in one part. So the signatures of the nodes on such links tell which ones lie in several parts."""
-    nodes = durable(marks.select("node").join(linked.select("node", F.col("root").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node")))
+    nodes = durable(_parted(marks.select("node"), linked))
     end = lambda c: nodes.select(F.col("node").alias(c), F.col("part").alias(f"part_{c}"))
     across = checked.where("not ok").join(end("u"), "u").join(end("v"), "v").where("part_u <> part_v")
     ends = durable(across.select(F.explode(F.array("u", "v")).alias("node")).distinct())
@@ -289,14 +304,34 @@ def _settle(checked: DataFrame, linked: DataFrame, texts: DataFrame, marks: Data
     shared = signed(nodes.join(ends, "node")).groupBy("sig").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("sig")
     shared = durable(shared)
     # the bitmap is only a first sieve, so that few signatures are shuffled; the join decides
-    sieved = durable(maybe_in(signed(nodes), F.col("sig"), shared, F.col("sig"), 1 << 26).join(shared, "sig"))
-    sizes = durable(sieved.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
-    members = sieved.join(sizes, "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
+    return durable(maybe_in(signed(nodes), F.col("sig"), shared, F.col("sig"), 1 << 26).join(shared, "sig").select("sig", "node"))
+
+
+def _parted(nodes: DataFrame, linked: DataFrame) -> DataFrame:
+    """``nodes`` with their part: the root of their links, or themselves."""
+    return nodes.join(linked.select("node", F.col("root").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node"))
+
+
+def _open_links(signed: DataFrame, linked: DataFrame, marks: DataFrame, t: int, most: int) -> DataFrame:
+    """(u, v, more) of the nodes that share a signature and lie in different parts, block by block (see ``_open_pairs``)."""
+    parted = durable(_parted(signed, linked))
+    sizes = durable(parted.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("sig", "blocks"))
+    members = parted.join(sizes, "sig").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
     # a block meets itself and every later one
     each = F.explode(F.expr("transform(sequence(0, blocks - 1), o -> struct(least(block, o) as x, greatest(block, o) as y, if(o = block, 2, if(block < o, 0, 1)) as side))"))
     work = members.select("sig", "node", "part", each.alias("w")).select("sig", "w.x", "w.y", "w.side", "node", "part").join(marks, "node")
     work = work.select("sig", "x", "y", "side", "node", "part", "size", "sketch").repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y")
-    return work.mapInArrow(_open_pairs(t), "u long, v long").distinct().join(checked.select("u", "v"), ["u", "v"], "left_anti")
+    return work.mapInArrow(_open_pairs(t, most), "u long, v long, more long")
+
+
+def _merged(linked: DataFrame, more: DataFrame) -> DataFrame:
+    """(node, root) after the links ``more`` have joined parts of ``linked``."""
+    part = lambda c: linked.select(F.col("node").alias(c), F.col("root").alias(f"part_{c}"))
+    parts = more.join(part("u"), "u", "left").join(part("v"), "v", "left").select(F.coalesce("part_u", "u").alias("u"), F.coalesce("part_v", "v").alias("v"))
+    joined = durable(components(parts).select(F.col("node").alias("part"), F.col("root").alias("joined")))
+    # nodes without a checked link are parts of their own
+    parts = linked.select("node", F.col("root").alias("part")).unionByName(joined.select(F.col("part").alias("node"), "part").join(linked, "node", "left_anti").select("node", "part"))
+    return parts.join(joined, "part", "left").select("node", F.coalesce("joined", "part").alias("root"))
 
 
 def jaccard_groups(docs: DataFrame, n: int = 3, t: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -333,21 +368,23 @@ def jaccard_groups(docs: DataFrame, n: int = 3, t: int = 90, id_col: str = "doc_
         side = lambda df, c, cols: df.select(F.col("node").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in cols])
         sized = pairs.join(side(marks, "v", ("size", "sketch")), "v").join(side(marks, "u", ("size", "sketch")), "u")
         may = durable(sized.mapInArrow(_ruled_out(t), "u long, v long, may boolean"))
-        left = may.where("may").join(side(texts, "v", ("text",)), "v").join(side(texts, "u", ("text",)), "u").select("u", "v", "text_u", "text_v")
+        asked = may.where("may")
+        own = maybe_in(texts, F.col("node"), asked.select(F.explode(F.array("u", "v")).alias("node")).distinct(), F.col("node"))
+        left = asked.join(side(own, "v", ("text",)), "v").join(side(own, "u", ("text",)), "u").select("u", "v", "text_u", "text_v")
         return durable(left.mapInArrow(_checked(n, t), "u long, v long, ok boolean").unionByName(may.where("not may").select("u", "v", F.lit(False).alias("ok"))))
 
     checked = check(found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-    linked = durable(components(checked.where("ok").select("u", "v")))
-    if checked.where("not ok").isEmpty():
-        roots = linked
-    else:
-        more = check(_settle(checked, linked, texts, marks, n, t)).where("ok")
-        part = lambda c: linked.select(F.col("node").alias(c), F.col("root").alias(f"part_{c}"))
-        parts = more.join(part("u"), "u", "left").join(part("v"), "v", "left").select(F.coalesce("part_u", "u").alias("u"), F.coalesce("part_v", "v").alias("v"))
-        joined = durable(components(parts).select(F.col("node").alias("part"), F.col("root").alias("joined")))
-        # nodes without a checked link are parts of their own
-        parts = linked.select("node", F.col("root").alias("part")).unionByName(joined.select(F.col("part").alias("node"), "part").join(linked, "node", "left_anti").select("node", "part"))
-        roots = durable(parts.join(joined, "part", "left").select("node", F.coalesce("joined", "part").alias("root")))
+    roots, most = durable(components(checked.where("ok").select("u", "v"))), FIRST
+    signed = None if checked.where("not ok").isEmpty() else _open_signatures(checked, roots, texts, marks, n, t)
+    while signed is not None:
+        pairs = durable(_open_links(signed, roots, marks, t, most))
+        new = check(pairs.where("more is null").select("u", "v").distinct().join(checked.select("u", "v"), ["u", "v"], "left_anti"))
+        roots = durable(_merged(roots, new.where("ok")))
+        held = durable(pairs.where("more is not null").select(F.col("more").alias("sig")).distinct())
+        if held.isEmpty():
+            break
+        # the other signatures have sent all their pairs
+        signed, checked, most = durable(signed.join(held, "sig")), durable(checked.unionByName(new)), most * MORE
     rooted = durable(nodes.join(roots, "node", "left").select("id", "n_shingles", F.coalesce("root", "node").alias("root")))
     least = durable(rooted.where("root is not null").groupBy("root").agg(F.min("id").alias("least"), F.count("*").alias("n")).where("n > 1"))
     return rooted.join(least, "root", "left").select(F.col("id").alias("doc_id"), "n_shingles", F.when(F.col("least").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
