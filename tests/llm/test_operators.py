@@ -378,6 +378,50 @@ def test_licenses(spark, docs, none):
     assert licenses.scan(none).count() == 0 and licenses.scan(docs).count() == docs.count()
 
 
+def test_licenses_every_notice(spark, monkeypatch):
+    """Several notices of a block, repeats, long texts without line breaks and templates beyond the first of the ranking."""
+    monkeypatch.setattr(licenses, "WINDOW", 1)  # windows as short as templates allow
+    notices = {name: licenses.TEMPLATES[name] for name in ("Apache-2.0", "MIT", "MIT-text", "GPL-2.0", "BSD-3-Clause", "CC0-1.0")}
+    pair = "Licensed under the Apache License, Version 2.0, or Released under the MIT License"
+    every = "; ".join(licenses.TEMPLATES.values())
+    parts, want = [], []
+    rng = np.random.default_rng(7)
+    for k in range(400):
+        name = str(rng.choice(list(notices)))
+        parts += [prose(k, int(rng.integers(1, 60))), "license", notices[name]]
+        want.append(name)
+    long = " ".join(parts)
+    spaced = {name: " ".join(["word"] * 20) + " " + text for name, text in licenses.TEMPLATES.items()}
+    frame = spark.createDataFrame(list(enumerate([pair, every, long, " ".join(spaced.values()), "Released under the MIT License. " * 3000])), "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(frame).collect()}
+    assert [f.name for f in got[0].found] == ["Apache-2.0", "MIT"] and got[0].licenses == ["Apache-2.0", "MIT"]
+    assert [pair[f.notice_begin:f.notice_end] for f in got[0].found] == ["Licensed under the Apache License, Version 2.0", "Released under the MIT License"]
+    assert [f.name for f in got[1].found] == list(licenses.TEMPLATES) == [f.name for f in got[3].found]
+    assert got[2].n_blocks == 1 and [f.name for f in got[2].found] == want and all(f.n_different == 0 for f in got[2].found)
+    assert [long[f.notice_begin:f.notice_end] for f in got[2].found] == [notices[n] for n in want]
+    assert got[4].n_found == 3000 and got[4].licenses == ["MIT"]
+
+
+def test_license_search_agrees_with_taking_one_by_one():
+    """Random mixtures of two templates' words: the same ends as the word table's, and nothing left beside what is taken."""
+    rng = np.random.default_rng(5)
+    templates = {"a": "one two three four five six seven", "b": "six seven eight nine ten one two", "c": "two three four"}
+    scanner = licenses.Scanner(templates)
+    some = "one two three four five six seven eight nine ten x".split()
+    for _ in range(300):
+        own = [w for _ in range(6) for w in (templates[str(rng.choice(list(templates)))].split() if rng.random() < 0.5 else rng.choice(some, 3).tolist())]
+        own = [w for w in own if rng.random() > 0.05]
+        text, spans = " ".join(own), []
+        for name, _, n, _, begin, end in scanner.confirm(text):
+            spans.append((begin, end))
+            assert licenses.wording(scanner.words[name], text[begin:end].split())[0] == n <= licenses.MAX_DIFFERENT * len(scanner.words[name])
+        assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+        borders = [0, *[x for s in spans for x in s], len(text)]
+        for a, b in zip(borders[::2], borders[1::2]):
+            rest = text[a:b].split()
+            assert all(licenses.wording(t, rest)[0] > licenses.MAX_DIFFERENT * len(t) for t in scanner.words.values())
+
+
 # ---- BPE ----------------------------------------------------------------------
 
 def test_bpe_agrees_with_the_library(spark, docs, rows, none):

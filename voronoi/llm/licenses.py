@@ -1,15 +1,21 @@
 """License scans by conditional compression.
 
-A block of text that speaks of a license is compressed with zstandard once plainly and once with each template as a raw-content
-dictionary. The more of the block a template explains, the more bytes it saves, so templates are ranked by the size reduction. The
-first of that ranking are confirmed by exact wording: the least number of words that must be inserted, dropped or changed to find
-the template somewhere in the block, and which words these are.
+A block of text that speaks of a license is searched for every template by exact wording: the least number of words that must be
+inserted, dropped or changed to find the template somewhere in the block, and which words these are. Only templates of whose words
+the block lacks more than may differ are left out beforehand, as they can't be found. Every notice is reported: the nearest wording
+is taken first, and what lies before and after it is searched again until nothing is left. Long blocks are searched in overlapping
+windows.
+
+The text of a notice is compressed with zstandard once plainly and once with the template as a raw-content dictionary. The more of
+it a template explains, the more bytes it saves: among templates whose wording is equally near the largest size reduction wins.
 """
 
 from __future__ import annotations
 
 import re
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +43,10 @@ TEMPLATES = {
 TRIGGER = r"licen[sc]e|copyright|public domain|permission (?:is|to)|redistribution|mozilla public|waived all"
 #: Bytes around a trigger that a block takes, up to the ends of its line.
 REACH = 400
-#: Templates of the ranking whose wording is compared, and the share of a template's words that may differ.
-RANKED, MAX_DIFFERENT = 4, 0.15
+#: Share of a template's words that may differ.
+MAX_DIFFERENT = 0.15
+#: Words of a block that are searched at a time; more if templates are so long that windows would hardly move on.
+WINDOW = 4096
 LEVEL = 3
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
@@ -61,16 +69,17 @@ def blocks(text: str, trigger: re.Pattern) -> list[tuple[int, int]]:
     return out
 
 
-def wording(template: list[str], block: list[str]) -> tuple[int, str]:
-    """(least number of differing words of the template found anywhere in the block, the differences as -word and +word)."""
+def _align(template: list[str], block: list[str], end: int | None = None) -> tuple[int, str, int, int]:
+    """(least number of differing words of the template found anywhere in the block, the differences as -word and +word, first word of
+    the place, word after it); with ``end``, of the places that end there."""
     rows = [[0] * (len(block) + 1)]
     for i, t in enumerate(template, 1):
         above, row = rows[-1], [i]
         for j, b in enumerate(block, 1):
             row.append(min(above[j - 1] + (t != b), above[j] + 1, row[-1] + 1))
         rows.append(row)
-    j = min(range(len(block) + 1), key=lambda k: rows[-1][k])
-    least, i, said = rows[-1][j], len(template), []
+    end = min(range(len(block) + 1), key=lambda k: rows[-1][k]) if end is None else end
+    j, i, said = end, len(template), []
     while i:
         if j and rows[i][j] == rows[i - 1][j - 1] + (template[i - 1] != block[j - 1]):
             i, j = i - 1, j - 1
@@ -82,11 +91,28 @@ def wording(template: list[str], block: list[str]) -> tuple[int, str]:
         else:
             j -= 1
             said.append(f"+{block[j]}")
-    return least, " ".join(reversed(said))
+    return rows[-1][end], " ".join(reversed(said)), j, end
+
+
+def wording(template: list[str], block: list[str]) -> tuple[int, str]:
+    """(least number of differing words of the template found anywhere in the block, the differences as -word and +word)."""
+    return _align(template, block)[:2]
+
+
+def _least(template: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """For each end of a place in the block, 0 to its length, the least number of differing words."""
+    at = np.arange(len(block) + 1)
+    row = np.zeros(len(block) + 1, dtype=np.int64)
+    for i, t in enumerate(template, 1):
+        made = np.empty_like(row)
+        made[0] = i
+        made[1:] = np.minimum(row[:-1] + (block != t), row[1:] + 1)
+        row = np.minimum.accumulate(made - at) + at
+    return row
 
 
 class Scanner:
-    """Compressors for each template, kept for a task."""
+    """Compressors and words of each template, kept for a task."""
 
     def __init__(self, templates: dict[str, str]):
         import zstandard
@@ -96,35 +122,80 @@ class Scanner:
         for name, text in templates.items():
             raw = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.trained[name] = zstandard.ZstdCompressor(level=LEVEL, dict_data=raw)
-        self.words = {name: words(text) for name, text in templates.items()}
-
-    def ranking(self, block: str) -> list[tuple[float, str]]:
-        """(size reduction, name) of all templates, the largest first."""
-        raw = block.encode("utf-8", "replace")
-        full = len(self.plain.compress(raw))
-        return sorted(((1 - len(c.compress(raw)) / full, name) for name, c in self.trained.items()), key=lambda x: (-x[0], x[1]))
-
-    def confirm(self, block: str) -> tuple[str, float, int, str] | None:
-        """(name, reduction, differing words, differences) of the template whose wording is nearest among the first of the ranking."""
-        own, best = words(block), None
-        for reduction, name in self.ranking(block)[:RANKED]:
-            t = self.words[name]
-            n, said = wording(t, own)
-            if t and n <= MAX_DIFFERENT * len(t) and (best is None or (n, -len(t)) < (best[2], -len(self.words[best[0]]))):
-                best = (name, reduction, n, said)
-        return best
+        self.words = {name: own for name, text in templates.items() if (own := words(text))}
+        self.ids = {w: k for k, w in enumerate(sorted({w for own in self.words.values() for w in own}))}
+        self.coded = {name: np.array([self.ids[w] for w in own]) for name, own in self.words.items()}
+        self.limit = {name: int(MAX_DIFFERENT * len(own)) for name, own in self.words.items()}
+        self.needs = np.array([np.bincount(x, minlength=len(self.ids)) for x in self.coded.values()])
+        self.spare = np.array(list(self.limit.values()))
+        #: Words of the longest place that a template can be found in.
+        self.longest = max((len(own) + self.limit[name] for name, own in self.words.items()), default=0)
+
+    def reduction(self, name: str, text: str) -> float:
+        raw = text.encode("utf-8", "replace")
+        return 1 - len(self.trained[name].compress(raw)) / len(self.plain.compress(raw))
+
+    def _nearest(self, text: str, own: list[str], spans: list[tuple[int, int]], coded: np.ndarray) -> list[tuple]:
+        """Places (first word, word after it, name, reduction, differing words, differences) that don't overlap, the nearest taken first."""
+        has = np.bincount(coded[coded >= 0], minlength=len(self.ids))
+        lacks = np.maximum(self.needs - has, 0).sum(axis=1)  # words of a template that can't be found differ
+        places = []
+        for name in [name for name, may in zip(self.words, lacks <= self.spare) if may]:
+            t, limit = self.words[name], self.limit[name]
+            n = _least(self.coded[name], coded)
+            around = np.concatenate(([n.max() + 1], n, [n.max() + 1]))
+            for end in np.flatnonzero((n <= limit) & (n <= around[:-2]) & (n <= around[2:])).tolist():
+                low = max(0, end - len(t) - limit)
+                least, said, first, _ = _align(t, own[low:end], end - low)
+                first += low
+                places.append((least, -len(t), -self.reduction(name, text[spans[first][0]:spans[end - 1][1]]), name, first, end, said))
+        taken, out = np.zeros(len(own), dtype=bool), []
+        for least, _, reduction, name, first, end, said in sorted(places):
+            if not taken[first:end].any():
+                taken[first:end] = True
+                out.append((first, end, name, -reduction, least, said))
+        return out
+
+    def _window(self, text: str, own: list[str], spans: list[tuple[int, int]]) -> list[tuple]:
+        """All places of a window in order: what the nearest ones leave is searched again."""
+        coded = np.array([self.ids.get(w, -1) for w in own], dtype=np.int64)
+        left, out = [(0, len(own))], []
+        while left:
+            i, j = left.pop()
+            got = sorted(self._nearest(text, own[i:j], spans[i:j], coded[i:j]))
+            out += [(i + first, i + end, *rest) for first, end, *rest in got]
+            if got:
+                borders = [i, *[i + b for first, end, *_ in got for b in (first, end)], j]
+                left += [(a, b) for a, b in zip(borders[::2], borders[1::2]) if a < b]
+        return sorted(out)
+
+    def confirm(self, text: str) -> list[tuple[str, float, int, str, int, int]]:
+        """(name, reduction, differing words, differences, begin, end) of every notice in a block, in order; begin and end in characters."""
+        size, at, out = max(WINDOW, 4 * self.longest), 0, []
+        while self.words:
+            spans = [m.span() for m in islice(_WORD.finditer(text, at), size)]
+            found = self._window(text, [text[a:b].lower() for a, b in spans], spans)
+            last = len(spans) < size
+            # places that end in the last words may be cut: the next window has them whole
+            found = found if last else [f for f in found if f[1] <= size - self.longest]
+            out += [(*f[2:], spans[f[0]][0], spans[f[1] - 1][1]) for f in found]
+            if last:
+                break
+            at = spans[max(size - 2 * self.longest, found[-1][1] if found else 0)][0]
+        return out
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text", trigger: str = TRIGGER) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_blocks (candidates), n_found, licenses (distinct names, in order), found (array of: name, begin, end,
-    reduction, n_different, differences; begin and end are characters of the text).
+    reduction, n_different, differences, notice_begin, notice_end; all begins and ends are characters of the text, the first two those of the
+    block, the last two those of the notice itself). A block has as many entries as it has notices.
 
     Null and empty texts have no candidates; rows that repeat are scanned one by one; other columns aren't read; an empty table gives no rows."""
     templates = TEMPLATES if templates is None else templates
 
     def run(batches):
         scanner, pattern = Scanner(templates), re.compile(trigger, re.IGNORECASE)
-        kind = pa.list_(pa.struct([("name", pa.string()), ("begin", pa.int64()), ("end", pa.int64()), ("reduction", pa.float64()), ("n_different", pa.int32()), ("differences", pa.string())]))
+        kind = pa.list_(pa.struct([("name", pa.string()), ("begin", pa.int64()), ("end", pa.int64()), ("reduction", pa.float64()), ("n_different", pa.int32()), ("differences", pa.string()), ("notice_begin", pa.int64()), ("notice_end", pa.int64())]))
         for batch in batches:
             n, found = [], []
             for i in range(batch.num_rows):
@@ -133,9 +204,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str =
                 n.append(len(spans))
                 out = []
                 for begin, end in spans:
-                    got = scanner.confirm(text[begin:end])
-                    if got:
-                        out.append(dict(zip(("name", "begin", "end", "reduction", "n_different", "differences"), (got[0], begin, end, *got[1:]))))
+                    for name, reduction, n_different, said, first, last in scanner.confirm(text[begin:end]):
+                        out.append({"name": name, "begin": begin, "end": end, "reduction": reduction, "n_different": n_different, "differences": said, "notice_begin": begin + first, "notice_end": begin + last})
                 found.append(out)
             names = [sorted({f["name"] for f in x}) for x in found]
             yield pa.RecordBatch.from_arrays(
@@ -143,5 +213,5 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str =
                 names=["doc_id", "n_blocks", "n_found", "licenses", "found"],
             )
 
-    schema = "doc_id long, n_blocks long, n_found long, licenses array<string>, found array<struct<name string, begin long, end long, reduction double, n_different int, differences string>>"
+    schema = "doc_id long, n_blocks long, n_found long, licenses array<string>, found array<struct<name string, begin long, end long, reduction double, n_different int, differences string, notice_begin long, notice_end long>>"
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, schema)
