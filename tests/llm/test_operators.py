@@ -388,7 +388,7 @@ def test_licenses_every_notice(spark, monkeypatch):
     rng = np.random.default_rng(7)
     for k in range(400):
         name = str(rng.choice(list(notices)))
-        parts += [prose(k, int(rng.integers(1, 60))), "license", notices[name]]
+        parts += [prose(k, int(rng.integers(1, 30))), "license", notices[name]]
         want.append(name)
     long = " ".join(parts)
     spaced = {name: " ".join(["word"] * 20) + " " + text for name, text in licenses.TEMPLATES.items()}
@@ -422,6 +422,39 @@ def test_license_search_agrees_with_taking_one_by_one():
             assert all(licenses.wording(t, rest)[0] > licenses.MAX_DIFFERENT * len(t) for t in scanner.words.values())
 
 
+def test_licenses_wrapped(spark):
+    """Every template wrapped at several widths, with comment signs and indents, and the GNU headers as they are usually written."""
+    import textwrap
+
+    def gnu(kind, version, what="program"):
+        return (
+            f"This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License as published by the "
+            f"Free Software Foundation, either version {version} of the License, or (at your option) any later version.\n\nThis {what} is distributed in the hope that it will "
+            f"be useful, but WITHOUT ANY WARRANTY; see the GNU {kind}General Public License for more details."
+        )
+
+    texts, want = [], []
+    for name, text in licenses.TEMPLATES.items():
+        for width, sign in ((72, "# "), (30, " " * 90 + "* "), (12, "// "), (50, "")):
+            texts.append(prose(1, 200) + "\n" + "\n".join(textwrap.wrap(text, len(sign) + width, initial_indent=sign, subsequent_indent=sign, break_on_hyphens=False, break_long_words=False)) + "\n" + prose(2, 200))
+            want.append([name])
+    for kind, version, name in (("", "2", "GPL-2.0"), ("", "3", "GPL-3.0"), ("Lesser ", "2.1", "LGPL-2.1"), ("Lesser ", "3", "LGPL-3.0"), ("Library ", "2", "LGPL-2.0"), ("Affero ", "3", "AGPL-3.0")):
+        texts += ["\n".join(" * " + line for line in textwrap.wrap(gnu(kind, version), 70)), gnu(kind, version).replace(" of the License", ""), f"under the terms of the GNU {kind}General\nPublic License as published by the Free\nSoftware Foundation; version {version}."]
+        want += [[name + "-or-later"], [name + "-or-later-short"], [name + "-header"]]
+    texts.append("This program is free software; you can redistribute it\n * and/or modify it under the terms of the GNU General Public License\n * version 2 as published by the Free Software Foundation.")
+    want.append(["GPL-2.0-header-version-first"])
+    texts.append("The usual\nGNU General Public License as published by the Free Software Foundation, either version 3")
+    want.append(["GPL-3.0-header"])
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights"
+    texts.append(mit)
+    want.append(["MIT-text"])
+    texts.append(("x" * 500 + "\n") * 40 + mit + ("\n" + "y" * 500) * 40)
+    want.append(["MIT-text"])
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[k].licenses for k in range(len(texts))] == want
+    assert all(r.n_found == 1 for r in got.values())
+
+
 # ---- BPE ----------------------------------------------------------------------
 
 def test_bpe_agrees_with_the_library(spark, docs, rows, none):

@@ -39,10 +39,18 @@ TEMPLATES = {
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related rights to this work, CC0 1.0",
     "Unlicense": "This is free and unencumbered software released into the public domain",
 }
+#: The usual headers of the GNU licenses: with a later version allowed (two wordings), without saying so, and with the version named first.
+for _name, _kind, _version in (
+    ("GPL-1.0", "General", "1"), ("GPL-2.0", "General", "2"), ("GPL-3.0", "General", "3"), ("LGPL-2.0", "Library General", "2"),
+    ("LGPL-2.1", "Lesser General", "2.1"), ("LGPL-3.0", "Lesser General", "3"), ("AGPL-3.0", "Affero General", "3"),
+):
+    _by = "as published by the Free Software Foundation"
+    TEMPLATES[f"{_name}-or-later"] = f"GNU {_kind} Public License {_by}, either version {_version} of the License, or (at your option) any later version"
+    TEMPLATES[f"{_name}-or-later-short"] = f"GNU {_kind} Public License {_by}, either version {_version}, or (at your option) any later version"
+    TEMPLATES[f"{_name}-header"] = f"GNU {_kind} Public License {_by}, version {_version}"
+    TEMPLATES[f"{_name}-header-version-first"] = f"GNU {_kind} Public License version {_version} {_by}"
 #: Words that make a place a candidate.
-TRIGGER = r"licen[sc]e|copyright|public domain|permission (?:is|to)|redistribution|mozilla public|waived all"
-#: Bytes around a trigger that a block takes, up to the ends of its line.
-REACH = 400
+TRIGGER = r"licen[sc]e|copyright|public[\W_]+domain|permission[\W_]+(?:is|to)|redistribution|mozilla[\W_]+public|waived[\W_]+all"
 #: Share of a template's words that may differ.
 MAX_DIFFERENT = 0.15
 #: Words of a block that are searched at a time; more if templates are so long that windows would hardly move on.
@@ -55,15 +63,41 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def blocks(text: str, trigger: re.Pattern) -> list[tuple[int, int]]:
-    """Spans of candidate blocks: what lies around each trigger within its line, overlapping ones joined."""
+def reach(templates: dict[str, str]) -> int:
+    """Words of the longest place that one of the templates can be found in."""
+    return max((n + int(MAX_DIFFERENT * n) for n in (len(words(t)) for t in templates.values())), default=0)
+
+
+#: Words before and after a trigger that a block takes, across the ends of lines: no notice around the trigger is longer.
+REACH = reach(TEMPLATES)
+
+
+def _before(text: str, at: int, n: int, least: int) -> int:
+    """Where the n-th last word before ``at`` begins; not before ``least``."""
+    size = 16 * n
+    while True:
+        low = max(least, at - size)
+        starts = [m.start() for m in _WORD.finditer(text, low, at)]
+        if len(starts) > n:  # the first one may be cut
+            return starts[-n] if n else at
+        if low == least:
+            return least
+        size *= 4
+
+
+def blocks(text: str, trigger: re.Pattern, around: int = REACH) -> list[tuple[int, int]]:
+    """Spans of candidate blocks: each trigger with the words around it, whatever signs and ends of lines are between; overlapping ones joined."""
     out: list[tuple[int, int]] = []
     for m in trigger.finditer(text):
-        begin = max(text.rfind("\n", max(0, m.start() - REACH), m.start()) + 1, m.start() - REACH, 0)
-        end = text.find("\n", m.end(), m.end() + REACH)
-        end = min(len(text), m.end() + REACH) if end < 0 else end
-        if out and begin <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], end))
+        least = out[-1][1] if out else 0
+        begin = min(m.start(), _before(text, m.start(), around, least)) if m.start() > least else least
+        end = len(text)
+        for k, w in enumerate(_WORD.finditer(text, m.end())):
+            if k == around:
+                end = w.start()
+                break
+        if out and begin <= least:
+            out[-1] = (out[-1][0], max(least, end))
         else:
             out.append((begin, end))
     return out
@@ -128,8 +162,7 @@ class Scanner:
         self.limit = {name: int(MAX_DIFFERENT * len(own)) for name, own in self.words.items()}
         self.needs = np.array([np.bincount(x, minlength=len(self.ids)) for x in self.coded.values()])
         self.spare = np.array(list(self.limit.values()))
-        #: Words of the longest place that a template can be found in.
-        self.longest = max((len(own) + self.limit[name] for name, own in self.words.items()), default=0)
+        self.longest = reach(templates)
 
     def reduction(self, name: str, text: str) -> float:
         raw = text.encode("utf-8", "replace")
@@ -200,7 +233,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str =
             n, found = [], []
             for i in range(batch.num_rows):
                 text = batch.column(1)[i].as_py() or ""
-                spans = blocks(text, pattern)
+                spans = blocks(text, pattern, scanner.longest)
                 n.append(len(spans))
                 out = []
                 for begin, end in spans:
