@@ -251,6 +251,33 @@ def test_bloom_lm(docs, rows, none):
     assert bloom_lm.score_documents(none).count() == 0
 
 
+def test_bloom_lm_scores_do_not_depend_on_the_bound(spark, docs, rows):
+    """Plain Python's scores (pairs seen once included) from filters of every size, down to one that holds nothing."""
+    rng = np.random.default_rng(9)
+    more = [(100 + k, " ".join(f"w{int(x)}" for x in rng.zipf(1.4, 60) % 300), "a", 1, True) for k in range(60)]
+    frame, both = docs.unionByName(spark.createDataFrame(more, SCHEMA)), [*rows, *more]
+    tokens = lambda t: [*WORD.findall(lowered(t)), "\0"]
+    train = [tokens(t) for i, t, *_ in both if zlib.crc32(str(i if i is not None else "").encode()) % 5 != 1]
+    one, two = collections.Counter(w for t in train for w in t), collections.Counter(p for t in train for p in zip([None, *t], t))
+    n, once = sum(one.values()), sum(c == 1 for c in two.values())
+    weight, below = 1 - once / n, n + 0.5 * (len(one) + 1)
+    low, high = bloom_lm.level_bounds()
+    level = lambda c: int(np.searchsorted(bloom_lm.LEVELS, c, "right"))
+
+    def score(t):
+        after = lambda w: len(train) if w is None else max(1, high[level(one[w])])
+        return sum(math.log10((1 - weight) * (low[level(one[w])] + 0.5) / below + weight * min(1.0, low[level(two[b, w])] / after(b))) for b, w in zip([None, *t], t))
+
+    want = sorted((i if i is not None else -1, score(tokens(t))) for i, t, *_ in both)
+    for how in ({}, {"max_bytes": 2000}, {"max_bytes": 600, "top_words": 8}, {"max_bytes": 0, "top_words": 0}, {"max_bytes": 0}):
+        got = sorted((r.doc_id if r.doc_id is not None else -1, r.score) for r in bloom_lm.score_documents(frame, **how).collect())
+        assert [i for i, _ in got] == [i for i, _ in want]
+        off = [abs(g - w) for (_, g), (_, w) in zip(got, want)]
+        if how.get("max_bytes") == 0:  # no false positives
+            assert max(off) < 1e-6
+        assert sum(off) < 0.02 * sum(-w for _, w in want) and np.median(off) < 0.5, (how, max(off))
+
+
 def test_log_frequency_filter():
     """Every level is read back at least as high as it was written, and few absent keys are found."""
     import pyarrow as pa

@@ -7,6 +7,10 @@ one is absent. The filter consists of shards by the n-gram's hash, each built by
 A word's probability after another interpolates the pair's relative frequency with the smoothed frequency of the word. The weight of
 the pairs is the Good-Turing estimate of the share of pairs that were seen before, 1 - (pairs seen once) / (all pairs).
 
+The filter is bounded. Where it can't hold all levels, n-grams of the lowest counts are left out of it; a token of which the filter lacks
+a word or the pair is scored after a join with the written counts, to the same level, so that scores don't depend on the bound (but for
+the filter's false positives).
+
 The exact base score needs every word's exact count. The most frequent words' counts (a bounded table) are broadcast; the other words of a
 document are joined with the table of all counts.
 """
@@ -30,10 +34,8 @@ END, START = U(0x9D39247E33776D41), U(0x2AF7398005AAA5C7)
 STEP = 1.3
 #: Probes for each entry, and bits: 1.6 % of absent entries are found.
 PROBES, ENTRY_BITS = 6, 8.7
-#: Bound of the filter; pairs and words of low counts are left out of it as far as it would grow beyond.
+#: Bound of the filter; pairs and words of low counts are looked up in the written counts as far as it would grow beyond.
 MAX_BYTES = 256 << 20
-#: Pairs seen once are always left out: their share is what the interpolation leaves to the words.
-MIN_PAIR = 2
 #: Words whose exact counts are broadcast.
 TOP_WORDS = 1 << 19
 #: Tokens that a task counts before it sends the counts on, and distinct n-grams of a bucket on the average.
@@ -50,6 +52,11 @@ def level_counts(most: int) -> np.ndarray:
 LEVELS = level_counts(1 << 50)
 
 
+def level_bounds() -> tuple[np.ndarray, np.ndarray]:
+    """(least count, greatest count) of each level from 0."""
+    return np.concatenate(([0], LEVELS)), np.concatenate(([0], LEVELS[1:] - 1, LEVELS[-1:]))
+
+
 def tokens(column: pa.Array):
     """(rows i to j of the column, hashes of their words and ends, index of each row's first token) for some rows at a time."""
     data, offsets = utf8(column)
@@ -113,7 +120,7 @@ def _count(buckets: int):
 
 
 def _merge_bucket(table: pa.Table) -> pa.Table:
-    """One bucket's exact word counts and its repeated pairs, with what is known of all of them."""
+    """One bucket's exact counts of words and pairs, with what is known of all of them."""
     order = table.column("n").to_numpy()
     keys, counts = table.column("keys").to_pylist(), table.column("counts").to_pylist()
 
@@ -123,14 +130,13 @@ def _merge_bucket(table: pa.Table) -> pa.Table:
         return _merged(k, np.frombuffer(b"".join(counts[i] for i in at), dtype=np.int32).astype(np.int64))
 
     (words, n_words), (pairs, n_pairs) = of(1), of(2)
-    again = n_pairs >= MIN_PAIR
     by_level = lambda n: np.bincount(np.searchsorted(LEVELS, n, "right"), minlength=len(LEVELS) + 1).tolist()
     return pa.table(
         {
             "bucket": pa.array([table.column("bucket")[0].as_py()], pa.int32()), "words": pa.array([words.tobytes()], pa.binary()), "word_counts": pa.array([n_words.tobytes()], pa.binary()),
-            "pairs": pa.array([pairs[again].tobytes()], pa.binary()), "pair_counts": pa.array([n_pairs[again].tobytes()], pa.binary()),
+            "pairs": pa.array([pairs.tobytes()], pa.binary()), "pair_counts": pa.array([n_pairs.tobytes()], pa.binary()),
             "n_tokens": pa.array([int(n_words.sum())], pa.int64()), "n_words": pa.array([len(words)], pa.int64()), "once": pa.array([int((n_pairs == 1).sum())], pa.int64()),
-            "word_levels": pa.array([by_level(n_words)], pa.list_(pa.int64())), "pair_levels": pa.array([by_level(n_pairs[again])], pa.list_(pa.int64())),
+            "word_levels": pa.array([by_level(n_words)], pa.list_(pa.int64())), "pair_levels": pa.array([by_level(n_pairs)], pa.list_(pa.int64())),
         }
     )
 
@@ -207,6 +213,7 @@ class BloomLm:
         totals = self.table.agg(F.sum("n_tokens"), F.sum("n_words"), F.sum("once")).first()
         self.n_tokens, self.n_words, once = (int(x or 0) for x in totals)
         self.pair_weight = 1 - once / self.n_tokens if self.n_tokens else 0.0
+        self.below = float(self.n_tokens + 0.5 * (self.n_words + 1))
         # how many n-grams there are of each level: the filter's size and the table of frequent words for any least count
         levels = self.table.select(F.posexplode(F.arrays_zip("word_levels", "pair_levels")).alias("level", "n")).groupBy("level").agg(F.sum("n.word_levels"), F.sum("n.pair_levels")).collect()
         words, pairs = np.zeros(len(LEVELS) + 1, dtype=np.int64), np.zeros(len(LEVELS) + 1, dtype=np.int64)
@@ -244,21 +251,71 @@ class BloomLm:
 
         return self.table.select("words", "word_counts").mapInArrow(run, "word long, count long")
 
-    def score(self, docs: DataFrame, text_col: str, out_names: tuple[str, ...] = ("_n", "_known", "_base", "_score", "_rare")) -> DataFrame:
+    def below_filter(self) -> DataFrame:
+        """(order 1 or 2, hash, level) of the training words and pairs that the filter doesn't hold."""
+        least = self.least
+
+        def run(batches):
+            for batch in batches:
+                for order, keys, counts in ((1, 0, 1), (2, 2, 3)):
+                    for k, n in zip(batch.column(keys).to_pylist(), batch.column(counts).to_pylist()):
+                        n = np.frombuffer(n, dtype=np.int64)
+                        k, n = np.frombuffer(k, dtype=np.int64)[n < least], n[n < least]
+                        level = np.searchsorted(LEVELS, n, "right").astype(np.int32)
+                        for i in range(0, len(k), 100_000):
+                            part = k[i:i + 100_000]
+                            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), order, np.int32)), pa.array(part), pa.array(level[i:i + 100_000])], names=["order", "key", "found"])
+
+        return self.table.select("words", "word_counts", "pairs", "pair_counts").mapInArrow(run, "order int, key long, found int")
+
+    def rest(self, scored: DataFrame, rid: str, open_col: str = "_open") -> DataFrame:
+        """(rid, rest): the score of the tokens that ``score`` left open, by a join of their words and pairs with the counts below the filter."""
+        t = scored.where(F.size(open_col) > 0).select(rid, F.posexplode(open_col).alias("at", "t")).select(rid, "at", "t.*")
+        # what is to be looked up: the pair, the word and the word before it, each only if the filter and the frequent words lack it
+        asked = F.filter(
+            F.array(*[F.struct(F.lit(part).alias("part"), F.lit(order).alias("order"), F.col(key).alias("key"), F.col(level).alias("known")) for part, order, key, level in ((0, 2, "pair", "pair_level"), (1, 1, "word", "word_level"), (2, 1, "before", "before_level"))]),
+            lambda x: (x.part == 0) | (x.known == -1),
+        )
+        asked = t.select(rid, "at", "tf", "pair_level", "word_level", "before_level", F.explode(asked).alias("q")).select(rid, "at", "tf", "pair_level", "word_level", "before_level", "q.part", "q.order", "q.key")
+        found = asked.join(self.below_filter(), ["order", "key"], "left").withColumn("found", F.coalesce("found", F.lit(0)))
+        of = lambda part, name: F.when(F.max(name) >= 0, F.max(name)).otherwise(F.coalesce(F.max(F.when(F.col("part") == part, F.col("found"))), F.lit(0))).alias(name)
+        one = found.groupBy(rid, "at").agg(F.max("tf").alias("tf"), of(0, "pair_level"), of(1, "word_level"), F.max("before_level").alias("before_known"), F.max(F.when(F.col("part") == 2, F.col("found"))).alias("before_found"))
+        low, high = (F.array(*[F.lit(float(x)) for x in of_level]) for of_level in level_bounds())
+        at = lambda table, level: F.element_at(table, level + 1)
+        before = F.when(F.col("before_known") >= 0, F.col("before_known")).otherwise(F.coalesce("before_found", F.lit(0)))
+        after = F.when(F.col("before_known") == -2, F.lit(float(max(1, self.n_docs)))).otherwise(F.greatest(at(high, before), F.lit(1.0)))
+        alone = (at(low, F.col("word_level")) + 0.5) / self.below
+        pair = F.least(at(low, F.col("pair_level")) / after, F.lit(1.0))
+        return one.select(rid, (F.col("tf") * F.log10((1 - self.pair_weight) * alone + self.pair_weight * pair)).alias("s")).groupBy(rid).agg(F.sum("s").alias("rest"))
+
+    def score(self, docs: DataFrame, text_col: str, out_names: tuple[str, ...] = ("_n", "_known", "_base", "_score", "_rare", "_open")) -> DataFrame:
         """``docs`` (whose other columns must be few and small) with the number of tokens; of the words whose counts are broadcast the
-        known tokens and their base score; the model's score; and the other words' hashes."""
+        known tokens and their base score; the model's score of the tokens whose words and pair the filter holds; the other words' hashes;
+        and the tokens that are still to be scored by ``rest``: none if the filter holds all n-grams. Their levels are -1 where they are
+        to be looked up, that of the word before the first one is -2."""
         from pyspark.sql import types as T
 
-        shared, n_tokens, n_words, n_docs, weight = self.shared, self.n_tokens, self.n_words, self.n_docs, self.pair_weight
+        shared, below, n_docs, weight, least = self.shared, self.below, self.n_docs, self.pair_weight, self.least
         at, keep = docs.columns.index(text_col), [c for c in docs.columns if c != text_col]
-        below = n_tokens + 0.5 * (n_words + 1)
+        whole = least <= 1
+        open_kind = pa.struct([("pair", pa.int64()), ("word", pa.int64()), ("before", pa.int64()), ("pair_level", pa.int32()), ("word_level", pa.int32()), ("before_level", pa.int32()), ("tf", pa.int64())])
+
+        def open_tokens(row, n, is_open, pairs, words, before, *levels):
+            """Lists of n rows: each distinct open pair of a row once, with its number."""
+            at = np.flatnonzero(is_open)
+            at = at[np.lexsort((pairs[at], row[at]))]
+            first = np.flatnonzero(np.concatenate(([True], (pairs[at][1:] != pairs[at][:-1]) | (row[at][1:] != row[at][:-1])))) if len(at) else np.zeros(0, np.int64)
+            tf, at = np.diff(np.append(first, len(at))), at[first]
+            fields = [pa.array(x[at].astype(np.int64)) for x in (pairs, words, before)] + [pa.array(x[at].astype(np.int32)) for x in levels] + [pa.array(tf.astype(np.int64))]
+            ends = np.concatenate(([0], np.cumsum(np.bincount(row[at], minlength=n)))).astype(np.int32)
+            return pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(fields, fields=list(open_kind)))
 
         def run(batches):
             s = shared.value
             lm, top, top_counts = Filter(s["bits"], s["starts"], s["sizes"]), s["top"], s["top_counts"]
-            low, high = np.concatenate(([0], LEVELS)), np.concatenate(([0], LEVELS[1:] - 1, LEVELS[-1:]))
+            low, high = level_bounds()
             for batch in batches:
-                cols: tuple[list, ...] = ([], [], [], [], [])
+                cols: tuple[list, ...] = ([], [], [], [], [], [])
                 for i, j, words, firsts in tokens(batch.column(at)):
                     row = np.repeat(np.arange(j - i), np.diff(firsts))
                     each, back = np.unique(words, return_inverse=True)
@@ -266,6 +323,8 @@ class BloomLm:
                     is_top = top[place] == each if len(top) else np.zeros(len(each), dtype=bool)
                     exact = np.log10((np.where(is_top, top_counts[place] if len(top) else 0, 0) + 0.5) / below)
                     level = lm.level(each)
+                    if len(top) and not whole:
+                        level = np.where(is_top & (level == 0), np.searchsorted(LEVELS, top_counts[place], "right"), level)
                     before, pairs = pair_hashes(words, firsts)
                     alone = (low[level][back] + 0.5) / below
                     # relative frequency of the pair: least count of its level over the greatest of its first word's
@@ -273,10 +332,17 @@ class BloomLm:
                     first_level[1:] = level[back][:-1]
                     after = np.maximum(high[first_level], 1).astype(float)
                     after[firsts[:-1]] = max(1, n_docs)
-                    pair = np.minimum(low[lm.level(pairs)] / after, 1.0)
+                    pair_level = lm.level(pairs)
+                    pair = np.minimum(low[pair_level] / after, 1.0)
                     score = np.log10((1 - weight) * alone + weight * pair)
                     known = is_top[back]
                     n = j - i
+                    # with n-grams below the filter, level 0 means that the count is still to be looked up
+                    asked = [np.where((x == 0) & (not whole), -1, x) for x in (pair_level, level[back], first_level)]
+                    asked[2][firsts[:-1]] = -2
+                    is_open = (asked[0] == -1) | (asked[1] == -1) | (asked[2] == -1)
+                    score[is_open] = 0
+                    cols[5].append(open_tokens(row, n, is_open, pairs, words, before, *asked))
                     cols[0].append(np.diff(firsts))
                     cols[1].append(np.bincount(row[known], minlength=n))
                     cols[2].append(np.bincount(row[known], weights=exact[back][known], minlength=n))
@@ -285,10 +351,12 @@ class BloomLm:
                     cols[4].append(pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(np.bincount(row[~known], minlength=n)))).astype(np.int32), pa.array(rare)))
                 made = [pa.array(np.concatenate(c).astype(t)) if c else pa.array([], pa.from_numpy_dtype(t)) for c, t in zip(cols[:4], (np.int64, np.int64, float, float))]
                 made.append(pa.concat_arrays(cols[4]) if cols[4] else pa.array([], pa.list_(pa.int64())))
+                made.append(pa.concat_arrays(cols[5]) if cols[5] else pa.array([], pa.list_(open_kind)))
                 yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + made, names=[*keep, *out_names])
 
         fields = [f for f in docs.schema.fields if f.name != text_col]
-        kinds = (T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType(), T.ArrayType(T.LongType()))
+        open_tokens_type = T.StructType([T.StructField(f.name, T.LongType() if f.type == pa.int64() else T.IntegerType()) for f in open_kind])
+        kinds = (T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType(), T.ArrayType(T.LongType()), T.ArrayType(open_tokens_type))
         return docs.mapInArrow(run, T.StructType([*fields, *[T.StructField(n, k) for n, k in zip(out_names, kinds)]]))
 
 
@@ -305,12 +373,13 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), (fold(F.col(id_col), folds) == held).alias("held_out"))
     lm = BloomLm(rows.where("not held_out").select("text"), "text", **how)
     scored = durable(lm.score(rows, "text").withColumn("rid", F.monotonically_increasing_id()))
-    below = float(lm.n_tokens + 0.5 * (lm.n_words + 1))
     rare = scored.where("size(_rare) > 0").select("rid", F.explode("_rare").alias("word")).groupBy("rid", "word").agg(F.count("*").alias("tf"))
     counts = lm.words()
     joined = rare.join(counts, "word", "left").withColumn("c", F.coalesce("count", F.lit(0)))
-    rest = joined.groupBy("rid").agg(F.sum(F.col("tf") * F.log10((F.col("c") + 0.5) / below)).alias("base"), F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("known"))
-    out = scored.drop("_rare").join(rest, "rid", "left")
+    rest = joined.groupBy("rid").agg(F.sum(F.col("tf") * F.log10((F.col("c") + 0.5) / lm.below)).alias("base"), F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("known"))
+    out = scored.drop("_rare", "_open").join(rest, "rid", "left")
+    if lm.least > 1:
+        out = out.join(lm.rest(scored, "rid"), "rid", "left").withColumn("_score", F.col("_score") + F.coalesce("rest", F.lit(0.0)))
     return out.select(
         "doc_id", "held_out", F.col("_n").alias("n_tokens"), (F.col("_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(lm.n_tokens).cast("long").alias("train_tokens"),
         (F.col("_base") + F.coalesce("base", F.lit(0.0))).alias("base_score"), F.col("_score").alias("score"),
