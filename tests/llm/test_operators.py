@@ -525,3 +525,74 @@ def test_bpe_agrees_with_the_library(spark, docs, rows, none):
     want = collections.Counter((i, len(library.encode(t or "", add_special_tokens=False).ids), hashlib.sha256((t or "").encode()).hexdigest()) for i, t, *_ in rows)
     assert got == want
     assert bpe.encode_texts(none, spec).count() == 0
+
+
+# ---- the pipeline -----------------------------------------------------------------
+
+def test_pipeline_chains_its_stages(spark, tmp_path, monkeypatch):
+    """corpus_pipeline.run on Parquet tables: what each stage hands to the next one against plain Python, and op7's decisions."""
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    from voronoi.llm import catalog
+
+    rows = []
+    for k in range(150):
+        text = prose(k, 60 + k % 40).capitalize() + "."
+        rows.append((k, text if k % 3 else " ".join(f"X{k}9#{w.upper()}" for w in text.split()), "abc"[k % 5 % 3]))
+    for k in range(30):
+        words = rows[k][1].split()
+        rows += [(200 + k, rows[k][1], "a"), (300 + k, " ".join([*words[:-1], "other"]), "b")]
+    rows += [(400, None, "c"), (401, "", "a")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    frame.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, int(k % 3 > 0)) for k in range(120)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    seen = []
+
+    def watched(stage):
+        def run(spark, docs, sf_dir):
+            seen.append([tuple(r) for r in docs.select("doc_id", "text", "source").collect()])
+            return stage(spark, docs, sf_dir)
+
+        return run
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(name, watched(stage)) for name, stage in corpus_pipeline.STAGES])
+    last = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    count = collections.Counter
+    assert len(seen) == 5 and count(seen[0]) == count(rows)
+    decided = catalog.op7_importance(spark, str(tmp_path)).collect()
+    kept = {r.doc_id for r in decided if r.kept}
+    keys = sorted(r.key for r in decided)
+    assert 0 < len(kept) < len(rows) == len(decided) and kept == {r.doc_id for r in decided if r.key >= keys[-len(kept)]}
+    assert count(seen[1]) == count(r for r in rows if r[0] in kept)
+    largest = {}
+    for i, text, _ in seen[1]:
+        largest[text or ""] = max(i, largest.get(text or "", i))
+    assert count(seen[2]) == count(r for r in seen[1] if largest[r[1] or ""] == r[0]) and len(seen[2]) < len(seen[1])
+    sets = {}
+    for i, text, _ in seen[2]:
+        w = WORD.findall(lowered(text))
+        sets[i] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    root = {i: i for i in sets}
+    linked = [(i, j) for i in sets for j in sets if i < j and sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    for _ in sets:
+        for i, j in linked:
+            root[i] = root[j] = min(root[i], root[j])
+    assert linked and count(seen[3]) == count(r for r in seen[2] if root[r[0]] == r[0])
+    size = lambda t: len(WORD.findall(t or ""))
+    taken, sizes, times = count(), count(), count(i for i, *_ in seen[4])
+    for i, text, source in seen[3]:
+        sizes[source] += size(text)
+        taken[source] += size(text) * times[i]
+        assert times[i] in (0, 1, 2)
+    assert set(seen[4]) <= set(seen[3])
+    target, free = {}, set(sizes)
+    weight = {x: (3, 1, 2)[k % 3] for k, x in enumerate(sorted(sizes))}
+    while free:
+        level = (1.5 * sum(sizes.values()) - sum(target.values())) / sum(weight[x] for x in free)
+        over = {x for x in free if weight[x] * level > 2 * sizes[x]}
+        target |= {x: 2.0 * sizes[x] for x in over} if over else {x: weight[x] * level for x in free}
+        free = free - over if over else set()
+    assert all(abs(taken[x] - target[x]) <= 2 * max(size(t) for _, t, y in seen[3] if y == x) for x in sizes)
+    library = Tokenizer.from_str(bpe.read_spec(public_tokenizers.path("byte_bpe_50k.json")))
+    assert count((r.doc_id, tuple(r.ids)) for r in last) == count((i, tuple(library.encode(t or "", add_special_tokens=False).ids)) for i, t, _ in seen[4])
