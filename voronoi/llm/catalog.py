@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bloom_lm, bpe, embedding_dedup, exact_dedup, importance, licenses, mixing, ngram_join, suffix_dedup, url_filter
+from . import bloom_lm, bpe, embedding_dedup, exact_dedup, importance, licenses, mixing, ngram_join, prefix_trie, suffix_dedup, url_filter
 from .common import table
 
 
@@ -53,6 +53,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"), bpe.read_spec(public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_licenses": op2_licenses,
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_ngram_join": op9_ngram_join,
     "op10_bpe": op10_bpe,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -73,4 +78,5 @@ FROM documents WINDOW t AS (PARTITION BY coalesce(text, ''))
 """,
     "op4_url_filter": url_filter.SQL,
     "op5_mixing": mixing.SQL,
+    "op11_prefix_trie": prefix_trie.SQL,
 }
