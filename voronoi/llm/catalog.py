@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bloom_lm, bpe, embedding_dedup, exact_dedup, importance, licenses, mixing, ngram_join, prefix_trie, suffix_dedup, url_filter
+from . import bloom_lm, bpe, embedding_dedup, exact_dedup, importance, licenses, mixing, ngram_join, prefix_trie, secrets, suffix_dedup, url_filter
 from .common import table
 
 
@@ -57,6 +57,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_licenses": op2_licenses,
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": op9_ngram_join,
     "op10_bpe": op10_bpe,
     "op11_prefix_trie": op11_prefix_trie,
+    "op13_secrets": op13_secrets,
 }
 
 ORACLE_SQL: dict[str, str] = {
