@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bloom_lm, bpe, embedding_dedup, exact_dedup, importance, licenses, mixing, ngram_join, prefix_trie, secrets, suffix_dedup, url_filter
+from . import bloom_lm, bpe, embedding_dedup, exact_dedup, importance, licenses, mixing, ngram_join, prefix_trie, secrets, suffix_dedup, token_align, url_filter
 from .common import table
 
 
@@ -57,6 +57,13 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    spec, model = token_align.read_spec(public_tokenizers.path("byte_bpe_50k.json")), token_align.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_align.align_texts(table(spark, sf_dir, "documents"), spec, model)
+
+
 def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -73,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": op9_ngram_join,
     "op10_bpe": op10_bpe,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_token_align": op12_token_align,
     "op13_secrets": op13_secrets,
 }
 
