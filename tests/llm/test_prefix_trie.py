@@ -54,6 +54,7 @@ def rows():
             out.append((c, turn, ["user", "assistant", None][turn % 3], text))
     out += [(300 + k, t, "user", f"same {t}") for k in range(700) for t in range(3)]  # copies of one conversation, several blocks of ids
     out += [(40, None, "user", "first of all"), (41, 2, "user", "tie a"), (41, 2, "user", "tie b"), (42, 1, "user", "twice"), (42, 1, "user", "twice"), (None, 0, "user", "no id"), (43, 9, "user", "long " * 100_000)]
+    out += [(c, t, "user", f"deep {t}" if t < at else f"own {c}") for c, at in ((1100, 150), (1101, 90), (1102, 150), (1103, 149)) for t in range(150)]  # far deeper than the others
     return [(*r, "p", 7, 3, 9) for r in out]
 
 
@@ -63,9 +64,11 @@ def test_trie(spark, rows, monkeypatch):
     assert collections.Counter(tuple(r) for r in got.collect()) == wanted(rows)
 
 
-@pytest.mark.parametrize("group,lent", [(1, 4), (5, 2)])
-def test_other_parameters(spark, rows, group, lent):
-    got = prefix_trie.conversation_trie(spark.createDataFrame(rows, SCHEMA), group, lent)
+@pytest.mark.parametrize("group,lent,most", [(1, 4, 10**6), (5, 2, 60)])
+def test_other_parameters(spark, rows, group, lent, most):
+    """Also with tasks that may peel little by themselves, so that more levels are aggregates."""
+    rows = rows[:2600]
+    got = prefix_trie.conversation_trie(spark.createDataFrame(rows, SCHEMA), group, lent, most)
     assert collections.Counter(tuple(r) for r in got.collect()) == wanted(rows, group, lent)
 
 

@@ -2,8 +2,9 @@
 
 A conversation is its sequence of turns; every distinct sequence of first d turns is a node of depth d. The nodes are found from the
 deepest level upwards: the nodes of a level are the surviving ones of the level below, with their last turn stripped, merged with the
-conversations that end here. One aggregate a level both finds the nodes and sums what they hold, so no conversation is ever
-expanded into all of its prefixes. A node's row is all that moves on, so thousands of equal conversations travel as one row.
+conversations that end here. Regrouping a level both finds its nodes and sums what they hold, so no conversation is ever
+expanded into all of its prefixes. A node's row is all that moves on, so thousands of equal conversations travel as one row. Deep levels,
+where the paths below a prefix are few, are peeled within a task for each prefix; the levels above are one aggregate each.
 
 A path is a string of fixed-width units, one for each turn: 128 bits of a digest of role and text, and 64 bits that hold the number of
 words. Stripping a turn is cutting off a unit. Two different turns share a unit with probability 2**-128.
@@ -11,6 +12,8 @@ words. Stripping a turn is cutting off a unit. Two different turns share a unit
 
 from __future__ import annotations
 
+import base64
+import collections
 import hashlib
 
 import pyarrow as pa
@@ -26,7 +29,9 @@ UNIT = 32
 GROUP, LENT = 20, 4
 #: Ids of one row of ``_ended``; bounds the rows of a batch.
 BLOCK = 256
-#: A parent with more children than its level's nodes divided by this is broadcast: fewer than this many in a level of the trie.
+#: Turns of the paths below one prefix that a task peels by itself (32 bytes each).
+TASK_TURNS = 500_000
+#: A parent with more children than all nodes divided by this is broadcast: fewer than this many.
 HOT_SHARE = 2_000
 
 
@@ -133,37 +138,115 @@ def _ended(convs: DataFrame) -> DataFrame:
     return made.withColumn("depth", (F.length("path") / UNIT).cast("int")).sortWithinPartitions("depth")
 
 
-def trie(convs: DataFrame) -> DataFrame:
+def _depth(ended: DataFrame, most: int) -> int:
+    """The depth from which tasks peel by themselves: the least power of two such that the paths that share so many turns hold ``most``
+    turns together at most; beyond the deepest path if there is none."""
+    deepest = ended.agg(F.max("depth")).first()[0]
+    depth = 2
+    while deepest is not None and depth <= deepest:
+        below = ended.where(F.col("depth") >= depth).groupBy(F.substring("path", 1, depth * UNIT)).agg(F.sum("depth").alias("turns")).agg(F.max("turns")).first()[0]
+        if below <= most:
+            break
+        depth *= 2
+    return depth
+
+
+def _peel(depth: int):
+    """Kernel over rows of ``_ended`` that share their first ``depth`` turns, sorted by these: the nodes from that depth on, with their
+    parents but for those of depth ``depth``, which survive with their path."""
+    none = hashlib.sha256(b"").hexdigest()
+
+    def words(path):
+        return int.from_bytes(base64.b64decode(path[-UNIT:])[16:], "big")
+
+    def group(rows):
+        """Peels the paths of one prefix: {path: [least id, members, children, leaves, saved, ends, children's rows]} of one level after the other."""
+        ending = collections.defaultdict(list)
+        for path, conv, n, ends, d in rows:
+            ending[d].append((path, conv, n, ends))
+        level, d = {}, max(ending)
+        while True:
+            up = {}
+            for path, conv, n, ends in ending.get(d, ()):  # newly ended conversations
+                up[path] = [conv, n, 0, 0, 0, ends, []]
+            for path, (conv, n, kids, leaves, saved, ends, below) in level.items():  # survivors, stripped of their last turn
+                node = up.setdefault(path[:d * UNIT], [conv, 0, 0, 0, 0, none, []])
+                node[0] = min(node[0], conv)
+                node[1] += n
+                node[2] += 1
+                node[3] += leaves
+                node[4] += saved
+                node[6].append((conv, d + 1, n, kids, leaves, saved, ends))
+            for path, node in up.items():
+                node[3] = node[3] or 1
+                node[4] += (node[1] - 1) * words(path)
+                for conv, at, *rest in node[6]:
+                    yield None, conv, at, node[0], *rest
+                node[6] = ()
+            level = up
+            if d == depth:
+                for path, node in level.items():
+                    yield path, node[0], d, None, *node[1:6]
+                return
+            d -= 1
+
+    def run(batches):
+        made, rows, key = [], [], None
+        out = lambda: pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*made) if made else [[]] * len(_NODE), _NODE)], names=[n for n, _ in _NODE])
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                prefix = row[0][:depth * UNIT]
+                if rows and prefix != key:
+                    made.extend(group(rows))
+                    rows = []
+                key = prefix
+                rows.append(row)
+                if len(made) >= 4096:
+                    yield out()
+                    made.clear()
+        if rows:
+            made.extend(group(rows))
+        yield out()
+
+    return run
+
+
+_NODE = [("path", pa.string()), ("conv_id", pa.int64()), ("depth", pa.int32()), ("parent_conv_id", pa.int64()), ("n_convs", pa.int64()), ("n_children", pa.int64()), ("n_leaves", pa.int64()), ("saved_tokens", pa.int64()), ("ends_sha256", pa.string())]
+_NODE_DDL = "path string, conv_id long, depth int, parent_conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, ends_sha256 string"
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def trie(convs: DataFrame, most_turns: int = TASK_TURNS) -> DataFrame:
     """The nodes of the trie of (conv_id, path) rows with unique conv_ids.
 
     conv_id (the least of the node's members), depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256. No
-    conversations give no node. A level costs one aggregate, so the work follows the number of nodes and the depth of the deepest one."""
+    conversations give no node. From the depth on at which no prefix holds more than ``most_turns`` turns, tasks peel all levels by themselves;
+    above it each level is one aggregate over all that survives, so hot prefixes are summed before they are shuffled."""
+    spark = convs.sparkSession
     ended = durable(_ended(durable(convs)))
-    deepest = ended.agg(F.max("depth")).first()[0]
+    depth = _depth(ended, most_turns)
+    deep = ended.where(F.col("depth") >= depth).select("path", "conv_id", "n_convs", "ends_sha256", "depth").withColumn("p", F.substring("path", 1, depth * UNIT))
+    peeled = durable(deep.repartition(shuffle_partitions(spark), "p").sortWithinPartitions("p").drop("p").mapInArrow(_peel(depth), _NODE_DDL))
     none = hashlib.sha256(b"").hexdigest()
-    node = "path string, conv_id long, n_convs long, n_children long, n_leaves long, saved_tokens long, ends_sha256 string, depth int"
-    levels = []
-    for depth in range(-1 if deepest is None else deepest, -1, -1):
-        rows = ended.where(F.col("depth") == depth).select("path", "conv_id", "n_convs", F.lit(0).cast("long").alias("n_children"), F.lit(0).cast("long").alias("n_leaves"), F.lit(0).cast("long").alias("saved_tokens"), "ends_sha256")
-        if levels:
-            stripped = F.col("path").substr(F.lit(1), F.lit(depth * UNIT))
-            rows = rows.unionByName(levels[-1].select(stripped.alias("path"), "conv_id", "n_convs", F.lit(1).cast("long").alias("n_children"), "n_leaves", "saved_tokens", F.lit(None).cast("string").alias("ends_sha256")))
+    zero = F.lit(0).cast("long")
+    levels = [peeled.where("path is not null").drop("parent_conv_id")]
+    for d in range(depth - 1, -1, -1):
+        stripped = F.col("path").substr(F.lit(1), F.lit(d * UNIT))
+        rows = ended.where(F.col("depth") == d).select("path", "conv_id", "n_convs", zero.alias("n_children"), zero.alias("n_leaves"), zero.alias("saved_tokens"), "ends_sha256")
+        rows = rows.unionByName(levels[-1].select(stripped.alias("path"), "conv_id", "n_convs", F.lit(1).cast("long").alias("n_children"), "n_leaves", "saved_tokens", F.lit(None).cast("string").alias("ends_sha256")))
         sums = [F.sum(c).alias(c) for c in ("n_convs", "n_children", "n_leaves", "saved_tokens")]
         found = rows.groupBy("path").agg(F.min("conv_id").alias("conv_id"), *sums, F.max("ends_sha256").alias("ends_sha256"))
-        words = _words(F.col("path")) if depth else F.lit(0).cast("long")
+        words = _words(F.col("path")) if d else zero
         levels.append(durable(found.select(
-            "path", "conv_id", "n_convs", "n_children",
+            "path", "conv_id", F.lit(d).alias("depth"), "n_convs", "n_children",
             F.when(F.col("n_children") == 0, F.lit(1).cast("long")).otherwise(F.col("n_leaves")).alias("n_leaves"),
             (F.col("saved_tokens") + (F.col("n_convs") - 1) * words).alias("saved_tokens"),
             F.coalesce("ends_sha256", F.lit(none)).alias("ends_sha256"),
-            F.lit(depth).alias("depth"),
         )))
-    if not levels:
-        return convs.sparkSession.createDataFrame([], node).select("conv_id", "depth", F.lit(None).cast("long").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
     nodes = levels[0]
     for level in levels[1:]:
         nodes = nodes.unionByName(level)
-    return _with_parents(nodes)
+    return _with_parents(nodes).unionByName(peeled.where("path is null").select(*COLUMNS)).withColumn("depth", F.col("depth").cast("long"))
 
 
 def _with_parents(nodes: DataFrame) -> DataFrame:
@@ -177,19 +260,17 @@ def _with_parents(nodes: DataFrame) -> DataFrame:
     found = near.where("parent_conv_id is not null")
     rest = near.where("parent_conv_id is null").drop("parent_conv_id").join(up(parents.where(~hot)).hint("merge"), "up")
     top = nodes.where("depth = 0").withColumn("parent_conv_id", F.lit(None).cast("long"))
-    columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
-    made = [df.select(*columns) for df in (found, rest, top)]
-    return made[0].unionByName(made[1]).unionByName(made[2]).withColumn("depth", F.col("depth").cast("long"))
+    made = [df.select(*COLUMNS) for df in (found, rest, top)]
+    return made[0].unionByName(made[1]).unionByName(made[2])
 
 
-def conversation_trie(turns: DataFrame, group: int = GROUP, lent: int = LENT) -> DataFrame:
+def conversation_trie(turns: DataFrame, group: int = GROUP, lent: int = LENT, most_turns: int = TASK_TURNS) -> DataFrame:
     """The trie of the conversations rebuilt from (conv_id, turn, role, text); other columns are not read.
 
     Null roles and texts count as empty; rows without conv_id are left out; a conversation without turns belongs to the root alone; equal
     rows of a conversation are turns of their own; turns with equal numbers are ordered by their digests. Texts of any length
-    leave the scan as digests. A conversation's path is one value (32 characters a turn), and every level is one aggregate, so a conversation of
-    thousands of turns costs thousands of small jobs."""
-    return trie(rebuilt(turns, group, lent))
+    leave the scan as digests. A conversation's path is one value (32 characters a turn)."""
+    return trie(rebuilt(turns, group, lent), most_turns)
 
 
 SQL = r"""
