@@ -3,7 +3,7 @@ import pytest
 
 from conftest import SF_SMALL, cents, pts
 from voronoi.operators import centroids as centroids_mod
-from voronoi.operators.assign import _arrow_blocks, assign_by_min, assign_nearest, distance_matrix
+from voronoi.operators.assign import assign_by_min, assign_nearest, distance_matrix
 from voronoi.operators.centroids import CentroidSet
 from voronoi.sources.tables import embedding_points, first_points
 
@@ -81,7 +81,7 @@ def test_blocked_broadcast(spark, monkeypatch):
     monkeypatch.setattr(centroids_mod, "BROADCAST_BLOCK_BYTES", 64 * 8 * 3)
     e = embedding_points(spark, SF_SMALL)
     cs = CentroidSet.from_frame(first_points(e, "vec_id", 10))
-    assert len(_arrow_blocks(spark, cs)) == 4
+    assert len(cs.shipped(spark)) == 4
     a = {r.vec_id: r.cluster_id for r in assign_nearest(e, cs, engine="arrow").collect()}
     b = {r.vec_id: r.cluster_id for r in assign_nearest(e, cs, engine="sql").collect()}
     assert a == b

@@ -15,5 +15,5 @@ from .operators.centroids import CentroidSet  # noqa: F401
 from .operators.converge import (changed_centroids, gate_on_any_change, moved_centroids,  # noqa: F401
                                  relocate_centroids)
 from .operators.update import integer_mean, update_centroids, vector_mean  # noqa: F401
-from .plans.cli import run_kmeans  # noqa: F401
+from .plans.cli import run_kmeans, run_kmeans_keyed  # noqa: F401
 from .plans.lloyd import KMeansResult, kmeans, kmeans_keyed  # noqa: F401

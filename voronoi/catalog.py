@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .functions import sql
 from .functions.vectors import (dimension_summary, euclidean_distance, squared_distance,
                                 vector_add, vector_scale)
 from .operators.assign import assign_by_min, assign_nearest, distance_matrix
@@ -53,12 +54,18 @@ def _c(spark, sf):
     return customer_points(spark, sf)
 
 
-def _c_keyed_seeds(pts: DataFrame) -> DataFrame:
+def _seeds(points: DataFrame, key: str, k: int) -> CentroidSet:
+    """The starting centroids, collected once: every branch of a query uses this snapshot, none scans the table for it again."""
+    return CentroidSet.from_few(first_points(points, key, k), k)
+
+
+def _c_keyed_seeds(pts: DataFrame) -> CentroidSet:
     """Keyed centroid records (id, dims, cluster): the 4 lowest customer keys,
-    cluster = their rank 1..4 (a window over the 4 collected rows only)."""
+    cluster = their rank 1..4 (a window over the 4 rows of a top-k only)."""
     seeds = pts.orderBy("c_custkey").limit(C_SEEDS)
     w = Window.orderBy("c_custkey")
-    return seeds.select(F.col("c_custkey").alias("id"), "dims", F.row_number().over(w).cast("bigint").alias("cluster_id"))
+    rows = seeds.select(F.col("c_custkey").alias("id"), "dims", F.row_number().over(w).cast("bigint").alias("cluster_id"))
+    return CentroidSet.from_few(rows, C_SEEDS, "id", label_col="cluster_id")
 
 
 def _flat2(df: DataFrame, dims: str = "dims", rnd: bool = True) -> list:
@@ -89,6 +96,21 @@ def q_parse_points(spark, sf):
     return p.select("c_custkey", *_flat2(p, rnd=False), F.size("dims").cast("bigint").alias("n_dims"))
 
 
+def _mixed_lines(spark, sf) -> DataFrame:
+    """customer rendered as lines of one to three coordinates; fractions keep their two places."""
+    c = table(spark, sf, "customer")
+    n, a, k = (F.col(x).cast("string") for x in ("c_nationkey", "c_acctbal", "c_custkey"))
+    line = F.when(F.col("c_mktsegment") == "FURNITURE", a).when(F.col("c_mktsegment") == "BUILDING", F.concat_ws(" ", n, a, k)).otherwise(F.concat_ws(" ", n, a))
+    return c.select("c_custkey", line.alias("value"))
+
+
+def q_parse_mixed_points(spark, sf):
+    """Lines of different lengths: no width is given, each line's is found as it is read."""
+    p = text.parse_points(_mixed_lines(spark, sf))
+    at = [F.get("dims", F.lit(i)).alias(f"d{i + 1}") for i in range(3)]
+    return p.select("c_custkey", F.size("dims").cast("bigint").alias("n_dims"), *at)
+
+
 def q_parse_centroids(spark, sf):
     c = table(spark, sf, "customer")
     lines = c.select(F.concat_ws(" ", F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string"),
@@ -128,6 +150,12 @@ def q_format_centroids(spark, sf):
     return text.format_centroid_lines(_integer_valued(spark, sf), id_col="c_custkey", dims="cdims")
 
 
+def q_format_fractions(spark, sf):
+    """K1 and K5 on fractions: a labelled line and a centroid line for each customer."""
+    c = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").cast("bigint").alias("label"), F.array(F.col("c_acctbal"), F.col("c_nationkey") / F.lit(4.0)).alias("dims"))
+    return text.format_labelled(c, label="label").unionByName(text.format_centroid_lines(c, id_col="c_custkey"))
+
+
 def q_keyed_roundtrip(spark, sf):
     c = table(spark, sf, "customer")
     recs = c.select(F.col("c_custkey").alias("id"),
@@ -177,14 +205,14 @@ def q_dimension_check(spark, sf):
 
 def q_distance_matrix(spark, sf):
     e = _e(spark, sf)
-    seeds = first_points(e, "vec_id", E_SEEDS)
+    seeds = _seeds(e, "vec_id", E_SEEDS)
     m = distance_matrix(e, seeds, keep=("vec_id",))
     return m.select("vec_id", "cluster_id", r6(F.col("distance")).alias("distance"))
 
 
 def q_assign_nearest(spark, sf):
     e = _e(spark, sf)
-    seeds = first_points(e, "vec_id", E_SEEDS)
+    seeds = _seeds(e, "vec_id", E_SEEDS)
     a = assign_nearest(e, seeds, distance="dist2")
     return a.select("vec_id", "cluster_id", r6(F.col("dist2")).alias("dist2"))
 
@@ -193,20 +221,18 @@ def q_assign_by_cross(spark, sf):
     """Keyed assignment: each customer point takes the *cluster field* of the
     nearest keyed centroid record (the draft's cross + arg-min + write-back)."""
     c = _c(spark, sf)
-    recs = _c_keyed_seeds(c)
-    cs = CentroidSet.from_frame(recs, id_col="id", label_col="cluster_id")
-    a = assign_nearest(c, cs, distance="dist2")
+    a = assign_nearest(c, _c_keyed_seeds(c), distance="dist2")
     return a.select(F.col("c_custkey").alias("id"), "cluster_id",
                     r6(F.sqrt("dist2")).alias("distance"))
 
 
 def q_assign_by_min(spark, sf):
     """A2: the keyed draft's plan, arg-min per point over candidate rows
-    (distance matrix -> groupBy(id).min(struct)). The partial aggregate keeps
-    one candidate per point per task, so the shuffle carries n rows, not n x k;
+    (distance matrix -> least candidate of each task -> groupBy(id).min(struct)),
+    so aggregate and shuffle carry n rows, not n x k;
     ``assign_nearest`` gets the same labels with no shuffle at all."""
     e = _e(spark, sf)
-    m = distance_matrix(e, first_points(e, "vec_id", E_SEEDS), keep=("vec_id",), euclidean=False)
+    m = distance_matrix(e, _seeds(e, "vec_id", E_SEEDS), keep=("vec_id",), euclidean=False)
     return assign_by_min(m, key="vec_id")
 
 
@@ -225,6 +251,14 @@ def q_vector_mean_udaf(spark, sf):
     return m.select("cluster_id", "n_points", F.col("pos").cast("int").alias("pos"), r6(F.col("mean")).alias("coord"))
 
 
+def q_vector_mean_sql(spark, sf):
+    """A3 called from SQL text, by a key that is a double and NULL for one label."""
+    sql.register(spark)
+    e = table(spark, sf, "embeddings").select(F.when(F.col("label") != 3, F.col("label") / 2).alias("half"), "embedding")
+    means = spark.sql("SELECT * FROM vector_mean(TABLE(SELECT * FROM vector_partials(TABLE(SELECT half, embedding FROM {e}))))", e=e)
+    return _long(means.select(F.col("key").alias("half"), "n_points", "mean"), ["half", "n_points"], "mean", "coord")
+
+
 def q_cluster_sizes(spark, sf):
     pts = lineitem_points(spark, sf)
     a = assign_nearest(pts, L_CENTROIDS)
@@ -242,28 +276,34 @@ def q_integer_centroid_mean(spark, sf):
     return integer_mean(pts, 2, label="l_returnflag")
 
 
+def q_integer_mean_signed(spark, sf):
+    """M8 where sums are negative too: the quotient is cut towards zero, not down."""
+    li = table(spark, sf, "lineitem")
+    lines = li.select("l_linenumber", F.concat_ws(" ", (F.col("l_quantity").cast("int") - 26).cast("string"), (F.col("l_quantity").cast("int") - 40).cast("string")).alias("value"))
+    return integer_mean(text.parse_int_points(lines, d=2), 2, label="l_linenumber")
+
+
 # ---- one step and its convergence tests (C, 4 seeds) ------------------------------
 
 def _one_step(spark, sf):
+    """(old centroids as a local relation, new ones): one scan for the seeds, one for the step."""
     c = _c(spark, sf)
-    seeds = first_points(c, "c_custkey", C_SEEDS)
-    new = update_centroids(assign_nearest(c, seeds), 2)
-    return c, seeds, new
+    seeds = _seeds(c, "c_custkey", C_SEEDS)
+    return seeds.to_frame(spark), update_centroids(assign_nearest(c, seeds), 2)
 
 
 def q_moved_centroids(spark, sf):
-    _, old, new = _one_step(spark, sf)
+    old, new = _one_step(spark, sf)
     m = moved_centroids(new, old, TOL)
     return m.select("cluster_id", "n_points", *_flat2(m), r6(F.col("move2")).alias("move2"))
 
 
 def _keyed_step(spark, sf):
+    """(records, recomputed means) of one generation, both local: the branches that compare and gate them read no table."""
     c = _c(spark, sf)
     recs = _c_keyed_seeds(c)
-    cs = CentroidSet.from_frame(recs, id_col="id", label_col="cluster_id")
-    lab = assign_nearest(c, cs)
-    means = update_centroids(lab, 2)
-    return recs, means
+    means = CentroidSet.from_few(update_centroids(assign_nearest(c, recs), 2), recs.k)
+    return recs.to_records(spark), means.to_frame(spark)
 
 
 def q_changed_centroids(spark, sf):
@@ -289,7 +329,7 @@ def q_gate_on_any_change(spark, sf):
 
 def q_kmeans_fixed_n(spark, sf):
     c = _c(spark, sf)
-    r = kmeans(c, first_points(c, "c_custkey", C_SEEDS), keep=["c_custkey"], max_iter=FIXED_STEPS, check=False)
+    r = kmeans(c, _seeds(c, "c_custkey", C_SEEDS), keep=["c_custkey"], max_iter=FIXED_STEPS, check=False)
     r.release()
     out = r.centroid_frame()
     return out.select(F.col("cluster_id"), *_flat2(out), F.lit(r.steps).cast("bigint").alias("steps"))
@@ -297,7 +337,7 @@ def q_kmeans_fixed_n(spark, sf):
 
 def _kmeans_e(spark, sf):
     e = _e(spark, sf)
-    return kmeans(e, first_points(e, "vec_id", E_SEEDS), keep=["vec_id"], tol=TOL)
+    return kmeans(e, _seeds(e, "vec_id", E_SEEDS), keep=["vec_id"], tol=TOL)
 
 
 def q_kmeans_converged(spark, sf):
@@ -324,15 +364,17 @@ def q_kmeans_keyed(spark, sf):
     c = _c(spark, sf).select(F.col("c_custkey").alias("id"), "dims")
     r = kmeans_keyed(c, _c_keyed_seeds(_c(spark, sf)))
     r.release()
-    return r.labels().select("id", "cluster_id", F.lit(r.steps).cast("bigint").alias("steps"))
+    return r.labels(keep=["id"]).select("id", "cluster_id", F.lit(r.steps).cast("bigint").alias("steps"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_points": q_parse_points,
+    "parse_mixed_points": q_parse_mixed_points,
     "parse_centroids": q_parse_centroids,
     "parse_keyed": q_parse_keyed,
     "format_labelled_points": q_format_labelled_points,
     "format_centroids": q_format_centroids,
+    "format_fractions": q_format_fractions,
     "keyed_roundtrip": q_keyed_roundtrip,
     "squared_distance": q_squared_distance,
     "euclidean_distance": q_euclidean_distance,
@@ -345,8 +387,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "assign_by_min": q_assign_by_min,
     "update_centroids": q_update_centroids,
     "vector_mean_udaf": q_vector_mean_udaf,
+    "vector_mean_sql": q_vector_mean_sql,
     "cluster_sizes": q_cluster_sizes,
     "integer_centroid_mean": q_integer_centroid_mean,
+    "integer_mean_signed": q_integer_mean_signed,
     "moved_centroids": q_moved_centroids,
     "changed_centroids": q_changed_centroids,
     "relocate_centroids": q_relocate_centroids,

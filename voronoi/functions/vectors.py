@@ -78,25 +78,30 @@ class DimensionError(ValueError):
     """Vectors of different lengths, or NULL coordinates."""
 
 
-def dimension_summary(df: DataFrame, c: str = "dims") -> DataFrame:
-    """One-row aggregate: rows, min/max length, rows holding a NULL coordinate.
-
-    A single partial+final aggregate; nothing but one row reaches the driver.
-    """
+def dimension_columns(c: str = "dims") -> list[Column]:
+    """Aggregates for the length check: rows, min/max length, vectors that are NULL or hold a NULL coordinate."""
     v = F.col(c)
-    return df.agg(
+    return [
         F.count(F.lit(1)).alias("n_rows"),
         F.min(F.size(v)).alias("min_dims"),
         F.max(F.size(v)).alias("max_dims"),
-        F.sum(F.when(v.isNull() | F.exists(v, lambda x: x.isNull()), 1).otherwise(0))
-        .cast("bigint").alias("n_null"),
-    )
+        F.sum(F.when(v.isNull() | F.exists(v, lambda x: x.isNull()), 1).otherwise(0)).cast("bigint").alias("n_null"),
+    ]
+
+
+def dimension_summary(df: DataFrame, c: str = "dims") -> DataFrame:
+    """One-row aggregate of ``dimension_columns``; nothing but one row reaches the driver."""
+    return df.agg(*dimension_columns(c))
 
 
 def check_dimensions(df: DataFrame, c: str = "dims", expected: int | None = None) -> tuple[int, int | None]:
     """Raise unless every vector has the same length (and ``expected``
     when given). Returns (rows, dims); dims is None for an empty table."""
-    row = dimension_summary(df, c).collect()[0]
+    return dimensions_of(dimension_summary(df, c).collect()[0].asDict(), c, expected)
+
+
+def dimensions_of(row: dict, c: str = "dims", expected: int | None = None) -> tuple[int, int | None]:
+    """The same from the values of ``dimension_columns``, however they were gathered."""
     n, lo, hi, nulls = row["n_rows"], row["min_dims"], row["max_dims"], row["n_null"]
     if n == 0:
         return 0, expected

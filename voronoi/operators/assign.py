@@ -7,9 +7,9 @@ expression. Two physical forms, chosen by size:
 * ``sql``: the k distances are unrolled into plain arithmetic over ``dims[i]``
   and literal coordinates, and the arg-min is ``least(struct(dist, id), ...)``.
   Whole-stage codegen compiles it; no shuffle, no join, no Python.
-* ``arrow``: for k x d beyond ``SQL_INLINE_MAX_VALUES`` the same arg-min runs in
-  NumPy over Arrow batches (``mapInArrow``). The centroids travel as broadcast
-  blocks of bounded size, scanned one after another by each task.
+* ``arrow``: beyond that the same arg-min runs in NumPy over Arrow batches
+  (``mapInArrow``). The centroids travel as blocks of bounded size; a worker holds
+  one block at a time and carries the running arg-min from block to block.
 
 Both give the same labels: lowest id wins a tie, a NaN distance loses to any
 number, and a point with no centroid at all gets -1.
@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from ..functions.vectors import squared_distance, squared_distance_to
 from .centroids import SQL_INLINE_MAX_VALUES, CentroidSet
-from .nearest import batch_matrix, nearest
+from .nearest import Nearest, batch_matrix, streamed
 
 NO_CLUSTER = -1
 
@@ -35,6 +35,11 @@ NO_CLUSTER = -1
 # 0.29 s against 1.18 s for 2,000 x 64-d points and 10 centroids).
 UNROLL_MAX_VALUES = 256
 
+# Rows of one batch of the distance matrix, whatever the number of centroids.
+MATRIX_ROWS = 1 << 16
+# Rows that the local arg-min holds.
+HELD_MINIMA = 1 << 17
+
 
 def centroid_set(centroids, id_col="cluster_id", dims="dims", label_col=None) -> CentroidSet:
     if isinstance(centroids, CentroidSet):
@@ -97,29 +102,23 @@ def nearest_struct(dims: Column, cs: CentroidSet) -> Column:
         squared_distance(dims, c["v"]).alias("dist"), c["label"].alias("label"), c["id"].alias("id"))))
 
 
-def _arrow_blocks(spark, cs: CentroidSet):
-    """Broadcast the centroid rows in blocks of bounded size."""
-    sc = spark.sparkContext
-    return [(s, sc.broadcast(np.ascontiguousarray(cs.vectors[s:e]))) for s, e in cs.blocks()]
-
-
 def _arrow_assign(points: DataFrame, cs: CentroidSet, dims: str, label: str,
                   distance: str | None, keep: list[str]) -> DataFrame:
     spark = points.sparkSession
     d, k = cs.d or 0, cs.k  # read here, so that the task closure doesn't carry the centroids
     labels = cs.label_values().copy()
-    blocks = _arrow_blocks(spark, cs)
+    blocks = cs.shipped(spark)
     out_fields = [points.schema[c] for c in keep]
     schema = T.StructType(out_fields + [T.StructField(label, T.LongType(), False)]
                           + ([T.StructField(distance, T.DoubleType(), True)] if distance else []))
 
     def run(batches):
-        local = [(off, bc.value) for off, bc in blocks]
         for rb in batches:
             if k:
-                x = batch_matrix(rb.column(rb.schema.get_field_index(dims)), d)
-                j, dist = nearest(np.ascontiguousarray(x.T), local)
-                lab = labels[j]
+                found = Nearest(batch_matrix(rb.column(rb.schema.get_field_index(dims)), d))
+                for off, c in streamed(blocks):
+                    found.block(off, c)
+                lab, dist = labels[found.index], found.distance
             else:
                 lab = np.full(rb.num_rows, NO_CLUSTER, dtype=np.int64)
                 dist = np.full(rb.num_rows, np.nan)
@@ -186,41 +185,72 @@ def _arrow_distance_matrix(points: DataFrame, cs: CentroidSet, dims: str, keep:
                            euclidean: bool, label: str) -> DataFrame:
     d, k = cs.d or 0, cs.k
     labels = cs.label_values().copy()
-    blocks = _arrow_blocks(points.sparkSession, cs)
+    blocks = cs.shipped(points.sparkSession)
     fields = [points.schema[c] for c in keep]
     schema = T.StructType(fields + [T.StructField(label, T.LongType(), False),
                                     T.StructField("distance", T.DoubleType(), True)])
 
     def run(batches):
-        local = [(off, bc.value) for off, bc in blocks]
         for rb in batches:
-            n = rb.num_rows
-            if n == 0:
+            if not rb.num_rows:
                 continue
-            xt = np.ascontiguousarray(batch_matrix(rb.column(rb.schema.get_field_index(dims)), d).T)
-            dist = np.empty((n, k))
-            for off, cb in local:
-                for j in range(cb.shape[0]):
-                    c = cb[j]
-                    acc = (xt[0] - c[0]) ** 2
-                    for i in range(1, d):
-                        t = xt[i] - c[i]
-                        acc += t * t
-                    dist[:, off + j] = acc
-            if euclidean:
-                dist = np.sqrt(dist)
-            rows = np.repeat(np.arange(n), k)
-            cols = [rb.column(rb.schema.get_field_index(c)).take(pa.array(rows)) for c in keep]
-            cols += [pa.array(np.tile(labels, n), pa.int64()), pa.array(dist.reshape(-1), pa.float64())]
-            yield pa.RecordBatch.from_arrays(cols, names=keep + [label, "distance"])
-
-    return points.select(*keep, dims).mapInArrow(run, schema)
+            x = batch_matrix(rb.column(rb.schema.get_field_index(dims)), d)
+            kept = rb.select(keep)
+            for off, block in streamed(blocks):
+                for j in range(0, len(block), MATRIX_ROWS):
+                    c = block[j:j + MATRIX_ROWS]
+                    step = max(1, MATRIX_ROWS // len(c))
+                    for i in range(0, len(x), step):
+                        part = x[i:i + step]
+                        dist = np.zeros((len(part), len(c)))
+                        for a in range(d):
+                            t = part[:, a, None] - c[None, :, a]
+                            dist = t * t if a == 0 else dist + t * t
+                        rows = pa.array(np.repeat(np.arange(i, i + len(part)), len(c)))
+                        cols = kept.take(rows).columns + [pa.array(np.tile(labels[off + j:off + j + len(c)], len(part)), pa.int64()),
+                                                          pa.array((np.sqrt(dist) if euclidean else dist).reshape(-1))]
+                        yield pa.RecordBatch.from_arrays(cols, names=keep + [label, "distance"])
+
+    return points.select(*dict.fromkeys([*keep, dims])).mapInArrow(run, schema)
+
+
+def _least_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Of rows (key, distance, label) the least of each key, in the order that SQL gives (distance, label): NULL first, NaN last."""
+    code = batch.column(0).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+    dist, lab = batch.column(1), batch.column(2)
+    value = dist.fill_null(0.0).to_numpy(zero_copy_only=False)
+    nan = np.isnan(value)
+    rank = np.where(dist.is_null().to_numpy(zero_copy_only=False), 0, np.where(nan, 2, 1))
+    order = np.lexsort((lab.fill_null(0).to_numpy(zero_copy_only=False), lab.is_valid().to_numpy(zero_copy_only=False), np.where(nan, 0.0, value), rank, code))
+    first = np.append(True, code[order][1:] != code[order][:-1])
+    return batch.take(pa.array(order[first]))
+
+
+def _local_minima(batches):
+    """One row for each key as far as a task holds them: candidates of a point that come one after the other leave as one row."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(_least_rows(batch))
+        rows += held[-1].num_rows
+        if rows > HELD_MINIMA:
+            held = [_least_rows(pa.Table.from_batches(held).combine_chunks().to_batches()[0])]
+            rows = held[0].num_rows
+            if rows > HELD_MINIMA // 2:
+                yield held.pop()
+                rows = 0
+    if held:
+        yield _least_rows(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
 
 def assign_by_min(pairs: DataFrame, *, key: str = "id", label: str = "cluster_id",
                   dist: str = "distance") -> DataFrame:
     """A2 + M9: arg-min per point over candidate rows (the keyed draft's
-    ``groupBy(id).minBy(distance)``), lowest label on a tie. Partial
-    aggregation keeps one candidate per key per task before the shuffle."""
-    best = F.min(F.struct(F.col(dist).alias("d"), F.col(label).alias("l")))
-    return pairs.groupBy(key).agg(best.alias("m")).select(key, F.col("m.l").alias(label))
+    ``groupBy(id).minBy(distance)``), lowest label on a tie. Each task first
+    keeps one candidate per point in NumPy, so neither the aggregate's sort nor
+    the exchange sees the n x k candidates. Labels are integers."""
+    rows = pairs.select(F.col(key).alias("k"), F.col(dist).cast("double").alias("d"), F.col(label).cast("bigint").alias("l"))
+    local = rows.mapInArrow(_local_minima, rows.schema)
+    return local.groupBy("k").agg(F.min(F.struct("d", "l")).alias("m")).select(F.col("k").alias(key), F.col("m.l").cast(pairs.schema[label].dataType).alias(label))

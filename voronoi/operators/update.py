@@ -4,25 +4,21 @@ All forms aggregate partially inside each task before the shuffle, so a
 cluster holding a third of all points costs one buffer per task, not a third
 of the rows in one reducer.
 
-* ``update_centroids``: ``groupBy(label).agg(sum(dims[0]), ..., count)``, one
-  codegen'd hash aggregate, for d up to ``WIDE_AGG_MAX_DIMS``; wider vectors go
-  through ``posexplode`` and ``groupBy(label, pos)`` (k x d groups) and are
-  folded back into one array per cluster (d values per group, bounded by d).
-* ``vector_mean``: the centroid-average UDAF (create/add/merge/result) as a
-  Spark job: NumPy partial sums per task (create + add), a Spark shuffle on
-  (key, pos) (merge), and a divide (result).
+* ``update_centroids``: one array row of exact sums for each cluster and task
+  (``exact.partials``), a shuffle by cluster, a merge and one division.
+* ``vector_mean``: the same for any key, one row per key and position. SQL text
+  calls it through ``functions.sql``.
+* ``vector_sums``: plain SQL sums for ``engine="sql"``.
 * ``integer_mean``: the integer draft, sum ``div`` count (truncation).
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import as_vector
-from .nearest import batch_matrix, partial_sums
+from .exact import merged, partials
 
 # Keep the aggregate buffer under spark.sql.codegen.maxFields (100).
 WIDE_AGG_MAX_DIMS = 90
@@ -52,57 +48,20 @@ def vector_sums_long(labelled: DataFrame, *, label: str = "cluster_id", dims: st
 
 def update_centroids(labelled: DataFrame, d: int | None = None, *, label: str = "cluster_id",
                      dims: str = "dims") -> DataFrame:
-    """M7: (label, n_points, dims = per-position mean). Clusters without points
-    simply have no row (they vanish from the next centroid set)."""
-    if d is not None and d <= WIDE_AGG_MAX_DIMS:
-        s = vector_sums(labelled, d, label=label, dims=dims)
-        mean = F.array(*[(F.col(f"s{i + 1}") / F.col("n_points")) for i in range(d)])
-        return s.select(label, "n_points", mean.alias(dims))
-    long = vector_sums_long(labelled, label=label, dims=dims)
-    per = long.groupBy(label).agg(
-        F.first("n_points").alias("n_points"),
-        F.array_sort(F.collect_list(F.struct("pos", (F.col("s") / F.col("n_points")).alias("m")))).alias("ms"),
-    )
-    return per.select(label, "n_points", F.transform("ms", lambda e: e["m"]).alias(dims))
-
-
-def vector_mean(df: DataFrame, *, key: str, dims: str = "dims", d: int) -> DataFrame:
-    """A3, the centroid-average aggregate, as create/add (per-task NumPy partial
-    sums over Arrow batches), merge (shuffle + sum on (key, pos)) and result
-    (divide). Output: (key, pos, mean, n_points)."""
-    key_type = df.schema[key].dataType.simpleString()
-
-    def partials(batches):
-        acc: dict = {}
-        for rb in batches:
-            keys = rb.column(0).to_numpy(zero_copy_only=False)
-            x = batch_matrix(rb.column(1), d)
-            uniq, idx = np.unique(keys, return_inverse=True)
-            sums, counts = partial_sums(x, idx.astype(np.int64), len(uniq))
-            for j, kv in enumerate(uniq.tolist()):
-                if kv in acc:
-                    acc[kv][0] += sums[j]
-                    acc[kv][1] += counts[j]
-                else:
-                    acc[kv] = [sums[j].copy(), int(counts[j])]
-        if not acc:
-            return
-        ks = list(acc)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(ks, d) if ks else [], type=_pa_type(key_type)),
-             pa.array(np.tile(np.arange(d, dtype=np.int32), len(ks)), pa.int32()),
-             pa.array(np.concatenate([acc[kv][0] for kv in ks]), pa.float64()),
-             pa.array(np.repeat([acc[kv][1] for kv in ks], d).astype(np.int64), pa.int64())],
-            names=[key, "pos", "s", "n"])
-
-    parts = df.select(key, dims).mapInArrow(partials, f"{key} {key_type}, pos int, s double, n bigint")
-    merged = parts.groupBy(key, "pos").agg(F.sum("s").alias("s"), F.sum("n").alias("n_points"))
-    return merged.select(key, "pos", (F.col("s") / F.col("n_points")).alias("mean"), "n_points")
-
-
-def _pa_type(simple: str):
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(),
-            "smallint": pa.int16(), "tinyint": pa.int8()}.get(simple, pa.int64())
+    """A1 + M7: (label, n_points, dims = per-position mean). Sums are exact
+    (``exact.ExactSums``), so the means don't depend on partitions or row order.
+    Clusters without points simply have no row (they vanish from the next
+    centroid set); NULL is a cluster of its own, as in ``groupBy``. Vectors of another
+    length than ``d`` (or than each other), NULL vectors and NULL coordinates raise."""
+    return merged(partials(labelled, label, dims, d), label, dims)
+
+
+def vector_mean(df: DataFrame, *, key: str, dims: str = "dims", d: int | None = None) -> DataFrame:
+    """A3, the centroid-average aggregate, as create/add (exact sums of each
+    task), merge (shuffle by key) and result (divide), for keys of any
+    type. Output: (key, pos, mean, n_points)."""
+    means = update_centroids(df, d, label=key, dims=dims)
+    return means.select(key, F.posexplode(dims).alias("pos", "mean"), "n_points")
 
 
 def integer_mean(labelled: DataFrame, d: int, *, label: str, dims: str = "dims") -> DataFrame:

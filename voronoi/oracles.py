@@ -126,6 +126,12 @@ ORACLE_SQL: dict[str, str] = {
     "parse_points": """
 SELECT c_custkey, CAST(c_nationkey AS DOUBLE) AS d1, c_acctbal AS d2, CAST(2 AS BIGINT) AS n_dims
 FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'""",
+    "parse_mixed_points": """
+SELECT c_custkey, CAST(CASE c_mktsegment WHEN 'FURNITURE' THEN 1 WHEN 'BUILDING' THEN 3 ELSE 2 END AS BIGINT) AS n_dims,
+       CASE WHEN c_mktsegment = 'FURNITURE' THEN c_acctbal ELSE CAST(c_nationkey AS DOUBLE) END AS d1,
+       CASE WHEN c_mktsegment <> 'FURNITURE' THEN c_acctbal END AS d2,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN CAST(c_custkey AS DOUBLE) END AS d3
+FROM customer""",
     "parse_centroids": """
 SELECT c_custkey AS cluster_id, CAST(c_nationkey AS DOUBLE) AS d1, c_acctbal AS d2 FROM customer""",
     "parse_keyed": """
@@ -138,6 +144,10 @@ SELECT CAST(c_nationkey AS VARCHAR) || chr(9) || CAST(CAST(c_custkey AS DOUBLE)
     "format_centroids": """
 SELECT CAST(c_custkey AS VARCHAR) || ' ' || CAST(CAST(c_nationkey AS DOUBLE) AS VARCHAR) || ' '
        || CAST(floor(c_acctbal) AS VARCHAR) AS value FROM customer""",
+    "format_fractions": """
+SELECT CAST(c_nationkey AS VARCHAR) || chr(9) || CAST(c_acctbal AS VARCHAR) || ' ' || CAST(c_nationkey / 4.0::DOUBLE AS VARCHAR) AS value FROM customer
+UNION ALL
+SELECT CAST(c_custkey AS VARCHAR) || ' ' || CAST(c_acctbal AS VARCHAR) || ' ' || CAST(c_nationkey / 4.0::DOUBLE AS VARCHAR) FROM customer""",
     "keyed_roundtrip": """
 SELECT c_custkey AS id, CAST(c_nationkey AS DOUBLE) AS d1, c_acctbal AS d2, CAST(c_nationkey AS BIGINT) AS cluster_id
 FROM customer""",
@@ -196,12 +206,20 @@ SELECT CAST(label AS BIGINT) AS cluster_id, count(*) AS n_points, CAST(pos AS IN
        (round(avg(x), 6) + 0.0) AS coord FROM (
   SELECT label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) - 1 AS pos
   FROM embeddings) GROUP BY label, pos""",
+    "vector_mean_sql": """
+SELECT half, count(*) AS n_points, CAST(pos AS INTEGER) AS pos, (round(avg(x), 6) + 0.0) AS coord FROM (
+  SELECT CASE WHEN label <> 3 THEN label / 2.0::DOUBLE END AS half, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) - 1 AS pos
+  FROM embeddings) GROUP BY half, pos""",
     "cluster_sizes": _cluster_sizes_sql(),
     "integer_centroid_mean": """
 SELECT l_returnflag, count(*) AS n_points,
        CAST(sum(CAST(l_quantity AS BIGINT)) // count(*) AS BIGINT) AS m1,
        CAST(sum(CAST(l_linenumber AS BIGINT)) // count(*) AS BIGINT) AS m2
 FROM lineitem GROUP BY l_returnflag""",
+    "integer_mean_signed": """
+SELECT l_linenumber, count(*) AS n_points, CAST(trunc(sum(CAST(l_quantity AS INTEGER) - 26) / count(*)) AS BIGINT) AS m1,
+       CAST(trunc(sum(CAST(l_quantity AS INTEGER) - 40) / count(*)) AS BIGINT) AS m2
+FROM lineitem GROUP BY l_linenumber""",
     "moved_centroids": f"""
 WITH {C_ONE_STEP}
 SELECT nw.cid AS cluster_id, nw.n AS n_points, {R6('nw.x1')} AS d1, {R6('nw.x2')} AS d2, {R6(_MOVE2)} AS move2

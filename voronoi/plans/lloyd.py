@@ -1,14 +1,18 @@
 """Lloyd iteration (I1, I2, I4) and the keyed variant.
 
-Plan per step: scan the persisted points -> nearest centroid (one projection,
-centroids inlined or broadcast in bounded blocks) -> partial per-cluster sums
-inside each task -> shuffle of at most k x d partial values per task -> final
-sums -> k rows collected. The driver forms the means, applies the convergence
-rule on those k rows, and builds the next step's expression from them.
-
-So a step is one job with one small shuffle; the lineage never grows (the
-next step starts from the persisted points and constants), so no checkpoint is
-needed; a lost executor costs a recompute of its cached blocks from the scan.
+Plan per step: scan the persisted points -> nearest centroid (centroids in the
+closure or in streamed blocks) -> exact per-cluster sums inside each task -> a
+shuffle of one array row per cluster and task -> merge and division in the
+reducers -> k rows collected. The driver applies the convergence rule to these k
+rows. Sums are exact, so the centroids of a step are the same doubles for every
+partitioning of the points.
+
+The keyed loop keeps a state per point, its nearest centroid and bounds from the
+triangle inequality, and visits only the points whose label can have changed.
+
+The lineage never grows (each step starts from the persisted points or state and
+constants), so no checkpoint is needed; a lost executor costs a recompute of its
+cached blocks from the scan.
 """
 
 from __future__ import annotations
@@ -18,23 +22,23 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.vectors import DimensionError, as_vector, check_dimensions
+from ..functions.vectors import DimensionError, as_vector, check_dimensions, dimension_columns, dimensions_of
 from ..operators.assign import NO_CLUSTER, assign_nearest, centroid_set, choose_engine, nearest_struct
 from ..operators.centroids import CentroidSet
 from ..operators.converge import any_changed, any_moved
-from ..operators.nearest import batch_matrix, nearest, partial_sums
+from ..operators.exact import FLUSH_BYTES, ExactSum, ExactSums, merged, part_batches, part_schema
+from ..operators.nearest import Nearest, batch_matrix, streamed
 from ..operators.update import WIDE_AGG_MAX_DIMS, vector_sums, vector_sums_long
 
 DEFAULT_MAX_ITER = 100
 DEFAULT_TOL = 1e-6
-# Partial sums (tasks x clusters x dims) merged on the driver below this
-# count; above it they are merged by a Spark aggregate first.
-DIRECT_MERGE_MAX_VALUES = 1 << 20
-# Centroid sets up to this size travel inside the task closure.
-CLOSURE_MAX_BYTES = 1 << 20
+# The keyed loop makes its state anew when a step has visited more than this share of the points.
+REFRESH_SHARE = 0.5
+_LONG_KEY = T.StructField("key", T.LongType())
 
 
 def _sql_step(points: DataFrame, cs: CentroidSet, d: int):
@@ -42,7 +46,7 @@ def _sql_step(points: DataFrame, cs: CentroidSet, d: int):
     lab = points.select(best["label"].alias("cid"), F.col("dims"))
     if d <= WIDE_AGG_MAX_DIMS:
         rows = vector_sums(lab, d, label="cid").collect()
-        return {int(r["cid"]): (np.array([r[f"s{i + 1}"] for i in range(d)], dtype=np.float64),
+        return {int(r["cid"]): (np.array([r[f"s{i + 1}"] for i in range(d)], dtype=np.float64) / float(r["n_points"]),
                                 int(r["n_points"])) for r in rows}
     rows = vector_sums_long(lab, label="cid").collect()
     out: dict[int, tuple[np.ndarray, int]] = {}
@@ -50,108 +54,75 @@ def _sql_step(points: DataFrame, cs: CentroidSet, d: int):
         cid = int(r["cid"])
         if cid not in out:
             out[cid] = (np.zeros(d), int(r["n_points"]))
-        out[cid][0][int(r["pos"])] = r["s"]
+        out[cid][0][int(r["pos"])] = r["s"] / float(r["n_points"])
     return out
 
 
-class _Held:
-    """Stands in for a broadcast handle when the value travels in the closure."""
-
-    def __init__(self, value):
-        self.value = value
-
-
-def _arrow_step(points: DataFrame, cs: CentroidSet, d: int, n_parts: int):
-    spark = points.sparkSession
-    sc = spark.sparkContext
-    labels = cs.label_values()
-    groups, inv = np.unique(labels, return_inverse=True)
-    g = len(groups)
-    if cs.nbytes <= CLOSURE_MAX_BYTES:
-        # Small sets ride inside the task closure (no broadcast round trip).
-        blocks = [(s, _Held(np.ascontiguousarray(cs.vectors[s:e]))) for s, e in cs.blocks()]
-    else:
-        blocks = [(s, sc.broadcast(np.ascontiguousarray(cs.vectors[s:e]))) for s, e in cs.blocks()]
+def _arrow_step(points: DataFrame, cs: CentroidSet, d: int, skip_bad: bool = False):
+    """``skip_bad`` passes over batches that hold a bad vector; the caller finds them by its own count and raises."""
+    blocks = cs.shipped(points.sparkSession)
+    labels = cs.label_values().copy()
+    if not cs.k:  # every point is labelled -1 and forms one group (the reference's rule)
+        labels = np.array([NO_CLUSTER], dtype=np.int64)
 
     def run(batches):
-        local = [(off, bc.value) for off, bc in blocks]
-        sums = np.zeros((g, d))
-        counts = np.zeros(g, dtype=np.int64)
+        sums = ExactSums(d)
         for rb in batches:
-            x = batch_matrix(rb.column(0), d)
-            if x.shape[0] == 0:
+            if not rb.num_rows:
                 continue
-            j, _ = nearest(np.ascontiguousarray(x.T), local)
-            s, c = partial_sums(x, inv[j].astype(np.int64), g)
-            sums += s
-            counts += c
-        nz = np.nonzero(counts)[0]
-        if len(nz):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(nz, d).astype(np.int64)),
-                 pa.array(np.tile(np.arange(d, dtype=np.int32), len(nz))),
-                 pa.array(sums[nz].reshape(-1)),
-                 pa.array(np.repeat(counts[nz], d))],
-                names=["g", "pos", "s", "n"])
+            try:
+                x = batch_matrix(rb.column(0), d)
+            except DimensionError:
+                if skip_bad:
+                    continue
+                raise
+            found = Nearest(x)
+            for off, c in streamed(blocks):
+                found.block(off, c)
+            keys, index = np.unique(labels[found.index], return_inverse=True)
+            sums.add(keys.tolist(), index, x)
+            if sums.nbytes > FLUSH_BYTES:
+                yield from part_batches(sums, pa.int64())
+        yield from part_batches(sums, pa.int64())
 
     try:
-        parts = points.select("dims").mapInArrow(run, "g bigint, pos int, s double, n bigint")
-        if n_parts * g * d <= DIRECT_MERGE_MAX_VALUES:
-            # Few partials (tasks x clusters x dims, bounded): merge on the
-            # driver, saving the shuffle stage (what a tree aggregate does).
-            rows = parts.collect()
-        else:
-            rows = parts.groupBy("g", "pos").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect()
+        parts = points.select("dims").mapInArrow(run, part_schema(_LONG_KEY))
+        rows = merged(parts, "cid").collect()  # k rows
     finally:
-        for _, bc in blocks:
-            if not isinstance(bc, _Held):
-                bc.destroy()
-    sums = np.zeros((g, d))
-    counts = np.zeros(g, dtype=np.int64)
-    for r in rows:
-        gi = int(r["g"])
-        sums[gi, int(r["pos"])] += r["s"]
-        if r["pos"] == 0:
-            counts[gi] += int(r["n"])
-    return {int(groups[gi]): (sums[gi], int(counts[gi])) for gi in np.nonzero(counts)[0]}
-
-
-def partition_count(df: DataFrame) -> int:
-    """Number of tasks a scan of ``df`` runs (planning only, no job). Unknown
-    (e.g. without a classic SparkContext) counts as large, which routes the
-    merge of partial sums through Spark."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001
-        return 1 << 30
+        for _, handle in blocks:
+            handle.destroy()
+    return {int(r["cid"]): (np.array(r["dims"], dtype=np.float64), int(r["n_points"])) for r in rows}
 
 
 def lloyd_step(points: DataFrame, cs: CentroidSet, d: int, engine: str = "auto",
-               n_parts: int | None = None) -> dict[int, tuple[np.ndarray, int]]:
-    """One assignment + keyed sum: {cluster: (coordinate sums, count)}."""
-    if cs.k == 0:
-        # Every point is labelled -1 and forms one group (the reference's rule).
-        row = points.select(F.posexplode("dims").alias("pos", "x")).groupBy("pos").agg(F.sum("x").alias("s")).collect()
-        n = points.count()
-        if n == 0:
-            return {}
-        s = np.zeros(d)
-        for r in row:
-            s[int(r["pos"])] = r["s"]
-        return {NO_CLUSTER: (s, n)}
+               skip_bad: bool = False) -> dict[int, tuple[np.ndarray, int]]:
+    """One assignment + keyed mean: {cluster: (mean, number of points)}."""
     # In the loop the centroids change every step: the SQL forms would generate
     # and compile new code each time (measured 0.22-0.36 s per step on 2-d
     # points against 0.13 s for the Arrow kernel), so "auto" means Arrow here.
-    if engine == "auto" or choose_engine(cs, engine) == "arrow":
-        if n_parts is None:
-            n_parts = partition_count(points)
-        return _arrow_step(points, cs, d, n_parts)
+    if engine == "auto" or cs.k == 0 or choose_engine(cs, engine) == "arrow":
+        return _arrow_step(points, cs, d, skip_bad)
     return _sql_step(points, cs, d)
 
 
-def means_of(sums: dict[int, tuple[np.ndarray, int]]) -> dict[int, np.ndarray]:
-    """M7: sum / count per cluster."""
-    return {cid: s / float(n) for cid, (s, n) in sums.items()}
+def _checked_first_step(pts: DataFrame, cs: CentroidSet, engine: str):
+    """(step 1, d), with the length and NULL check (M14) observed in the step's own pass."""
+    if not cs.k or engine == "sql":  # the length isn't known before the pass, or the SQL form raises by itself
+        _, d = check_dimensions(pts, "dims")
+        _same_length(cs, d)
+        d = d if d is not None else (cs.d or 0)
+        return lloyd_step(pts, cs, d, engine), d
+    seen = Observation()
+    made = lloyd_step(pts.observe(seen, *dimension_columns("dims")), cs, cs.d, engine, skip_bad=True)
+    # nothing summed: no points, for which the plan may not even run, or none that are whole
+    _, d = dimensions_of(seen.get, "dims") if made else check_dimensions(pts, "dims")
+    _same_length(cs, d)
+    return made, cs.d
+
+
+def _same_length(cs: CentroidSet, d: int | None) -> None:
+    if cs.k and d is not None and cs.d != d:
+        raise DimensionError(f"points have {d} coordinates, centroids {cs.d}")
 
 
 @dataclass
@@ -200,22 +171,27 @@ def kmeans(points: DataFrame, centroids, *, dims: str = "dims", keep=None, max_i
     """
     cs = centroid_set(centroids)
     pts = prepare(points, dims, keep, persist)
-    n, d = check_dimensions(pts, "dims")  # also fills the cache
-    if cs.k and d is not None and cs.d != d:
-        raise DimensionError(f"Different number of dimensions: points {d}, centroids {cs.d}")
-    d = d if d is not None else (cs.d or 0)
     steps, converged, sizes = 0, False, {}
-    n_parts = partition_count(pts)
-    for _ in range(max_iter):
-        sums = lloyd_step(pts, cs, d, engine, n_parts)
-        new = means_of(sums)
-        steps += 1
-        moved = any_moved(new, zip(cs.ids.tolist(), cs.vectors), tol)
-        sizes = {cid: c for cid, (_, c) in sums.items()}
-        cs = CentroidSet.of(sorted(new.items()))
-        if check and not moved:
-            converged = True
-            break
+    try:
+        if max_iter < 1:
+            _same_length(cs, check_dimensions(pts, "dims")[1])
+        d = cs.d
+        for _ in range(max_iter):
+            if steps:
+                made = lloyd_step(pts, cs, d, engine)
+            else:
+                made, d = _checked_first_step(pts, cs, engine)
+            steps += 1
+            new = {cid: mean for cid, (mean, _) in made.items()}
+            moved = any_moved(new, zip(cs.ids.tolist(), cs.vectors), tol)
+            sizes = {cid: c for cid, (_, c) in made.items()}
+            cs = CentroidSet.of(sorted(new.items()))
+            if check and not moved:
+                converged = True
+                break
+    except BaseException:
+        pts.unpersist()
+        raise
     return KMeansResult(cs, steps, converged, pts, sizes, engine)
 
 
@@ -226,9 +202,10 @@ class KeyedResult:
     assigned_with: CentroidSet
     steps: int
     points: DataFrame
+    distances: list[int] = field(default_factory=list)  # point-to-centroid distances looked at, by step
 
-    def labels(self, label: str = "cluster_id") -> DataFrame:
-        return assign_nearest(self.points, self.assigned_with, dims="dims", label=label)
+    def labels(self, label: str = "cluster_id", keep=None) -> DataFrame:
+        return assign_nearest(self.points, self.assigned_with, dims="dims", label=label, keep=keep)
 
     def centroid_frame(self) -> DataFrame:
         rows = [(int(i), [float(x) for x in v], int(c)) for i, v, c in self.workset]
@@ -238,33 +215,162 @@ class KeyedResult:
         self.points.unpersist()
 
 
+class _KeyedState:
+    """The state of the keyed loop as of one set of records: per point its vector, its nearest record and two bounds, and per cluster
+    the exact sum of its points.
+
+    A later set of records moves each record by a known distance. A point whose distance to its record, plus that
+    record's move, stays below its distance to any other record, less the largest move, keeps its label (triangle inequality); a step reads
+    the state, looks only at the others and sums what they change. Points with NaN or infinite coordinates, and those whose bounds are too near to
+    be told apart from rounding, are always looked at, so labels are those of a full assignment."""
+
+    def __init__(self, points: DataFrame, tags: list[int], cs: CentroidSet, d: int, persist: bool):
+        self.tags, self.cs, self.d = tags, cs, d
+        blocks = cs.shipped(points.sparkSession)
+
+        def run(batches):
+            for rb in batches:
+                x = batch_matrix(rb.column(0), d)
+                found = Nearest(x, second=True)
+                for off, c in streamed(blocks):
+                    found.block(off, c)
+                with np.errstate(invalid="ignore"):
+                    upper = np.where(np.isfinite(x).all(axis=1), np.sqrt(found.distance), np.nan)
+                yield pa.RecordBatch.from_arrays([rb.column(0), pa.array(found.index), pa.array(upper), pa.array(found.beyond())], names=["dims", "at", "upper", "lower"])
+
+        self.frame = points.select("dims").mapInArrow(run, "dims array<double>, at bigint, upper double, lower double")
+        self.blocks = blocks
+        if persist:
+            self.frame = self.frame.persist(StorageLevel.MEMORY_AND_DISK)
+        # the sums of finite points are kept (even keys), the others are summed again by every step (odd keys)
+        groups, of_record = np.unique(cs.label_values(), return_inverse=True)
+        self.groups = groups
+
+        def total(batches):
+            sums = ExactSums(d)
+            for rb in batches:
+                if rb.num_rows:
+                    x = batch_matrix(rb.column(0), d)
+                    keys, index = np.unique(2 * of_record[rb.column(1).to_numpy()] + ~np.isfinite(x).all(axis=1), return_inverse=True)
+                    sums.add(keys.tolist(), index, x)
+                    if sums.nbytes > FLUSH_BYTES:
+                        yield from part_batches(sums, pa.int64())
+            yield from part_batches(sums, pa.int64())
+
+        got = {int(r["key"]): ExactSum.of(r) for r in merged(self.frame.mapInArrow(total, part_schema(_LONG_KEY)), "key", exact=True).collect()}
+        self.kept = {int(groups[k // 2]): v for k, v in got.items() if k % 2 == 0}
+        self.first = {c: self.kept[c] if c in self.kept else ExactSum() for c in self.kept}
+        for k, v in got.items():
+            if k % 2:
+                c = int(groups[k // 2])
+                self.first[c] = v.with_(self.first.get(c))
+        self.n = sum(v.n for v in got.values())
+
+    def step(self, tags: list[int], cs: CentroidSet) -> tuple[dict[int, ExactSum], int]:
+        """(sum of each cluster under the records ``cs``, points looked at)."""
+        d = self.d
+        now = {t: cs.vectors[i] for i, t in enumerate(tags)}
+        old = self.cs.label_values().copy()
+        with np.errstate(all="ignore"):
+            moves = np.array([np.sqrt(((now[t] - self.cs.vectors[i]) ** 2).sum()) if t in now else np.inf for i, t in enumerate(self.tags)]) * (1 + 1e-12)
+        alive = np.array([t in now for t in self.tags])
+        largest = float(moves[alive].max(initial=0.0)) if not np.isnan(moves[alive]).any() else np.inf
+        blocks, labels = cs.shipped(self.frame.sparkSession), cs.label_values().copy()
+
+        def run(batches):
+            sums, looked = ExactSums(d), 0
+            for rb in batches:
+                if not rb.num_rows:
+                    continue
+                at, upper, lower = (rb.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
+                with np.errstate(invalid="ignore"):
+                    stays = (upper + moves[at]) * (1 + 1e-9) < (lower - largest) * (1 - 1e-9)
+                rows = np.flatnonzero(~stays)
+                looked += len(rows)
+                if not len(rows):
+                    continue
+                x = batch_matrix(rb.column(0).take(pa.array(rows)), d)
+                found = Nearest(x)
+                for off, c in streamed(blocks):
+                    found.block(off, c)
+                was, label = old[at[rows]], labels[found.index]
+                odd = ~np.isfinite(x).all(axis=1)
+                changed = (was != label) | odd
+                for sign, lab, which in ((1, label, changed), (-1, was, changed & ~odd)):
+                    if which.any():
+                        keys, index = np.unique(lab[which], return_inverse=True)
+                        sums.add(keys.tolist(), index, x[which], sign)
+                if sums.nbytes > FLUSH_BYTES:
+                    yield from part_batches(sums, pa.int64())
+            sums.add([None], np.zeros(looked, np.int64), np.zeros((looked, d)))
+            yield from part_batches(sums, pa.int64())
+
+        try:
+            rows = merged(self.frame.mapInArrow(run, part_schema(_LONG_KEY)), "key", exact=True).collect()
+        finally:
+            for _, handle in blocks:
+                handle.destroy()
+        delta = {r["key"]: ExactSum.of(r) for r in rows}
+        looked = delta.pop(None).n if None in delta else 0
+        sums = {c: v.with_(delta.get(c)) for c, v in self.kept.items()} | {c: v for c, v in delta.items() if c not in self.kept}
+        return {int(c): v for c, v in sums.items() if v.n}, looked
+
+    def release(self) -> None:
+        self.frame.unpersist()
+        for _, handle in self.blocks:
+            handle.destroy()
+
+
 def kmeans_keyed(points: DataFrame, centroids, *, dims: str = "dims", id_col: str = "id",
                  cluster_col: str = "cluster_id", max_iter: int = DEFAULT_MAX_ITER,
-                 engine: str = "auto", persist: bool = True) -> KeyedResult:
+                 persist: bool = True) -> KeyedResult:
     """I3, the keyed layout: points (id, dims), centroid records (id, dims,
-    cluster). Each step labels points with the nearest record's cluster, means
+    cluster; a size-checked table). Each step labels points with the nearest record's cluster, means
     per cluster replace the records' coordinates (J3 + M10), and the loop ends
-    when no coordinate changed (F2 + J5) or after ``max_iter`` steps."""
+    when no coordinate changed (F2 + J5) or after ``max_iter`` steps. Like the
+    reference's delta iteration a step visits only what can change (``_KeyedState``);
+    the result is that of full steps, to the last bit."""
     if isinstance(centroids, DataFrame):
-        rows = centroids.select(F.col(id_col).cast("bigint"), as_vector(dims), F.col(cluster_col).cast("bigint")).collect()
-        ws = [(int(r[0]), np.array(r[1], dtype=np.float64), int(r[2])) for r in rows]
+        cs = CentroidSet.from_frame(centroids, id_col, dims, cluster_col)
+        ws = [(int(i), v, int(c)) for i, v, c in zip(cs.ids, cs.vectors, cs.label_values())]
+    elif isinstance(centroids, CentroidSet):
+        ws = [(int(i), v, int(c)) for i, v, c in zip(centroids.ids, centroids.vectors, centroids.label_values())]
     else:
         ws = [(int(i), np.asarray(v, dtype=np.float64), int(c)) for i, v, c in centroids]
     pts = prepare(points, dims, [id_col], persist)
-    n, d = check_dimensions(pts, "dims")
-    if ws and d is not None and any(len(v) != d for _, v, _ in ws):
-        raise DimensionError("Different number of dimensions")
-    d = d if d is not None else (len(ws[0][1]) if ws else 0)
-    steps = 0
-    cs = CentroidSet.of([(i, v) for i, v, _ in ws], [c for _, _, c in ws])
-    n_parts = partition_count(pts)
-    while ws and steps < max_iter:
+    state = None
+    try:
+        n, d = check_dimensions(pts, "dims")
+        if ws and d is not None and any(len(v) != d for _, v, _ in ws):
+            raise DimensionError(f"points have {d} coordinates, centroid records {sorted({len(v) for _, v, _ in ws})}")
+        d = d if d is not None else (len(ws[0][1]) if ws else 0)
+        steps, distances, share = 0, [], 1.0
+        tags = list(range(len(ws)))  # records keep their names through the steps
         cs = CentroidSet.of([(i, v) for i, v, _ in ws], [c for _, _, c in ws])
-        new = means_of(lloyd_step(pts, cs, d, engine, n_parts))
-        steps += 1
-        nxt = [(i, new[c], c) for i, _, c in ws if c in new]
-        changed = any_changed(new, [(c, v) for _, v, c in ws])
-        ws = nxt
-        if not changed:
-            break
-    return KeyedResult(ws, cs, steps, pts)
+        while ws and steps < max_iter:
+            cs = CentroidSet.of([(i, v) for i, v, _ in ws], [c for _, _, c in ws])
+            order = sorted(range(len(ws)), key=lambda i: (ws[i][2], ws[i][0]))  # as the set is sorted
+            named = [tags[i] for i in order]
+            if state is None or share > REFRESH_SHARE:
+                if state is not None:
+                    state.release()
+                state = _KeyedState(pts, named, cs, d, persist)
+                sums, looked, share = state.first, state.n, 0.0
+            else:
+                sums, looked = state.step(named, cs)
+                share = looked / max(1, state.n)
+            distances.append(looked * cs.k)
+            new = {c: np.array(v.mean()) for c, v in sums.items()}
+            steps += 1
+            changed = any_changed(new, [(c, v) for _, v, c in ws])
+            tags = [t for t, (_, _, c) in zip(tags, ws) if c in new]
+            ws = [(i, new[c], c) for i, _, c in ws if c in new]
+            if not changed:
+                break
+    except BaseException:
+        pts.unpersist()
+        raise
+    finally:
+        if state is not None:
+            state.release()
+    return KeyedResult(ws, cs, steps, pts, distances)
