@@ -87,11 +87,14 @@ def rows():
 def test_pieces_encode_as_the_library_does(tools, rows, monkeypatch):
     rng = np.random.default_rng(8)
     texts = [r[1] for r in rows if r[1] and "▁" not in r[1]] + [random_text(rng, int(rng.integers(1, 40))) for _ in range(4000)]
-    for long in (token_align.LONG_CHARS, 3):
+    for long, cached, entries in ((token_align.LONG_CHARS, 48, 400_000), (3, 3, 64), (5, 10, 8)):
         monkeypatch.setattr(token_align, "LONG_CHARS", long)
+        monkeypatch.setattr(token_align, "CACHE_CHARS", cached)
+        monkeypatch.setattr(token_align, "CACHE_ENTRIES", entries)
         pieces = token_align.Pieces(MODEL)
-        for t in texts:
-            assert np.frombuffer(pieces.encode(" " + t), "<u4").tolist() == tools[1].encode(t), t
+        made = [m for i in range(0, len(texts), 100) for m in pieces.encode([" " + t for t in texts[i:i + 100]])]
+        for t, m in zip(texts, made):
+            assert not t or np.frombuffer(m, "<u4").tolist() == tools[1].encode(t), t
 
 
 def test_shared_cuts():

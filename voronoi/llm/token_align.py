@@ -11,6 +11,7 @@ most often, as many as MAX_PAIRS, travel to the tasks; the links of the others a
 
 from __future__ import annotations
 
+import array
 import hashlib
 import re
 
@@ -60,27 +61,32 @@ class Pieces:
         self.blank = np.array([self.model.piece_to_id("▁")], dtype="<u4").tobytes()
         self.cache: dict[str, bytes] = {" ": self.blank}
 
-    def _ids(self, text: str, skip: int = 0) -> bytes:
-        return np.array(self.model.encode(text)[skip:], dtype="<u4").tobytes()
-
-    def _fragment(self, fragment: str) -> bytes:
-        if len(fragment) <= LONG_CHARS:
-            made = self._ids(fragment[1:])
-        else:
-            cuts = [0, *(i for i in range(1, len(fragment)) if fragment[i - 1:i + 1] not in self.pairs), len(fragment)]
-            parts = [fragment[a:b] for a, b in zip(cuts, cuts[1:])]
-            first = self.blank if parts[0] == " " else self._ids(parts[0][1:])
-            made = b"".join([first, *(self._ids("\n" + p, 2) for p in parts[1:])])  # the blank in front and the line break stand alone
-        if len(fragment) <= CACHE_CHARS:
-            if len(self.cache) >= CACHE_ENTRIES:
-                self.cache = {" ": self.blank}
-            self.cache[fragment] = made
-        return made
-
-    def encode(self, text: str) -> bytes:
-        """Ids, as little-endian unsigned 32-bit integers, of a text that begins with the blank that the model adds."""
+    def _long(self, fragment: str) -> bytes:
+        """Ids of a long fragment, cut between characters that no piece holds side by side."""
+        cuts = [0, *(i for i in range(1, len(fragment)) if fragment[i - 1:i + 1] not in self.pairs), len(fragment)]
+        parts = [fragment[a:b] for a, b in zip(cuts, cuts[1:])]
+        first = [] if parts[0] == " " else self.model.encode(parts[0][1:])
+        rest = self.model.encode(["\n" + p for p in parts[1:]], num_threads=1)
+        ids = [*first, *(i for r in rest for i in r[2:])]  # the blank in front and the line break stand alone
+        return (self.blank if parts[0] == " " else b"") + array.array("I", ids).tobytes()
+
+    def _learn(self, fragments: list[str]) -> None:
+        """Fills the cache with short fragments, all encoded by one call."""
+        if len(self.cache) + len(fragments) > CACHE_ENTRIES:
+            self.cache = {" ": self.blank}
+        for f, ids in zip(fragments, self.model.encode([f[1:] for f in fragments], num_threads=1)):
+            self.cache[f] = array.array("I", ids).tobytes()
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids, as little-endian unsigned 32-bit integers, of texts that begin with the blank that the model adds."""
+        split = [_FRAGMENT.findall(t) for t in texts]
+        new = {f for s in split for f in s if f not in self.cache}
+        once = {f: self._long(f) if len(f) > LONG_CHARS else array.array("I", self.model.encode(f[1:])).tobytes() for f in new if len(f) > CACHE_CHARS}
+        short = [f for f in new if f not in once]
+        for i in range(0, len(short), CACHE_ENTRIES // 8):
+            self._learn(short[i:i + CACHE_ENTRIES // 8])
         get = self.cache.get
-        return b"".join([get(f) or self._fragment(f) for f in _FRAGMENT.findall(text)])
+        return [b"".join([get(f) or once.get(f) or array.array("I", self.model.encode(f[1:])).tobytes() for f in s]) for s in split]
 
 
 def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
@@ -97,42 +103,42 @@ def shared_cuts(a_ends: np.ndarray, b_ends: np.ndarray, lasts: np.ndarray) -> np
     cuts = [lasts]
     lo, hi = np.concatenate(([0], lasts[:-1] + 1)), lasts + 1
     ring = np.zeros(len(lo), dtype=np.int64)
-    while len(lo):
-        inner = hi - lo - 1
-        lo, hi, ring = (x[inner > 0] for x in (lo, hi, ring))
+    while True:
+        inner = hi - lo > 1
+        lo, hi, ring = lo[inner], hi[inner], ring[inner]
         if not len(lo):
-            break
-        mid = lo + (hi - lo - 2) // 2
+            return np.sort(np.concatenate(cuts))
+        mid = (lo + hi - 2) >> 1
         near, far = (1 << ring) - 1, (2 << ring) - 2  # offsets 0, then 1-2, 3-6, 7-14, ...
         left = np.maximum(mid - far, lo)
         n_left = np.maximum(mid - near - left + 1, 0)
         right = mid + np.maximum(near, 1)
         n_right = np.maximum(np.minimum(mid + far, hi - 2) - right + 1, 0)
-        at = np.concatenate((ragged(left, n_left), ragged(right, n_right)))
-        own = np.concatenate((np.repeat(np.arange(len(lo)), n_left), np.repeat(np.arange(len(lo)), n_right)))
-        end = a_ends[at]
-        hit = b_ends[np.searchsorted(b_ends, end)] == end
-        at, own = at[hit], own[hit]
-        nearest = np.lexsort((np.abs(at - mid[own]), own))
-        at, own = at[nearest], own[nearest]
-        first = np.ones(len(own), dtype=bool)
-        first[1:] = own[1:] != own[:-1]
-        at, own = at[first], own[first]
-        cuts.append(at)
-        open_ = (n_left + n_right > 0) | (ring == 0)
-        open_[own] = False
-        lo, hi, ring = np.concatenate((lo[own], at + 1, lo[open_])), np.concatenate((at + 1, hi[own], hi[open_])), np.concatenate((np.zeros(2 * len(own), np.int64), ring[open_] + 1))
-    return np.sort(np.concatenate(cuts))
-
-
-class Digits:
-    """Decimal forms of the ids up to a bound."""
-
-    def __init__(self, n: int):
-        said = [b"%d" % i for i in range(n)]
-        self.lens = np.array([len(s) for s in said])
-        self.starts = np.cumsum(self.lens) - self.lens
-        self.bytes = np.frombuffer(b"".join(said), dtype=np.uint8)
+        found = []
+        for first, n, nearest_last in ((left, n_left, True), (right, n_right, False)):
+            at, own = ragged(first, n), np.repeat(np.arange(len(lo)), n)
+            end = a_ends[at]
+            hit = np.flatnonzero(b_ends[np.searchsorted(b_ends, end)] == end)
+            hit = hit if nearest_last else hit[::-1]  # of repeated indexes the last one counts
+            best = np.full(len(lo), -1)
+            best[own[hit]] = at[hit]
+            found.append(best)
+        below, above = found
+        cut = np.where((above < 0) | (below >= 0) & (mid - below <= above - mid), below, above)
+        has = cut >= 0
+        own = cut[has]
+        cuts.append(own)
+        go = ~has & ((n_left + n_right > 0) | (ring == 0))
+        lo, hi, ring = np.concatenate((lo[has], own + 1, lo[go])), np.concatenate((own + 1, hi[has], hi[go])), np.concatenate((np.zeros(2 * len(own), np.int64), ring[go] + 1))
+
+
+def _digits(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows of the ids' decimal forms, zeros behind them and at least one; their lengths)"""
+    lens = np.array([len(str(i)) for i in range(n)])
+    table = np.zeros((n, int(lens.max(initial=1)) + 1), np.uint8)
+    for i in range(n):
+        table[i, :lens[i]] = np.frombuffer(b"%d" % i, np.uint8)
+    return table, lens
 
 
 class Aligner:
@@ -143,16 +149,18 @@ class Aligner:
         self.n_b = len(self.b.lens)
         if len(self.a.lens) * self.n_b >= 1 << 32:
             raise ValueError("pairs of ids must fit 32 bits")
-        self.digits = Digits(max(len(self.a.lens), self.n_b))
-
-    def encode(self, part: bytes) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of both sides for a part that begins with a blank; None where the tokens' bytes aren't the part's."""
-        a, b = (np.frombuffer(x, dtype="<u4").astype(np.int64) for x in (self.a._plain(part), self.b.encode(part.decode())))
-        for ids, side in ((a, self.a), (b, self.b)):
-            lens = side.lens[ids]
-            if int(lens.sum()) != len(part) or side.bytes[ragged(side.starts[ids], lens)].tobytes() != part:
-                return None
-        return a, b
+        self.digits, self.widths = _digits(max(len(self.a.lens), self.n_b))
+
+    def encode(self, parts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of both sides for parts that begin with a blank; None where the tokens' bytes aren't the part's. A byte-level side
+        gives back every byte, so that its length is enough."""
+        out = []
+        for part, two in zip(parts, self.b.encode([p.decode() for p in parts])):
+            a, b = (np.frombuffer(x, dtype="<u4").astype(np.int64) for x in (self.a._plain(part), two))
+            lens = self.b.lens[b]
+            same = int(self.a.lens[a].sum()) == len(part) == int(lens.sum()) and self.b.bytes[ragged(self.b.starts[b], lens)].tobytes() == part
+            out.append((a, b) if same else None)
+        return out
 
     def align(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int, int, bytes, np.ndarray]]:
         """For each text's ids (none empty): numbers of tokens of A and B and of groups, the groups' string, its links as a * n_b + b."""
@@ -161,26 +169,30 @@ class Aligner:
         ea, eb = np.cumsum(self.a.lens[a]), np.cumsum(self.b.lens[b])
         lasts = np.cumsum(na) - 1
         cuts = shared_cuts(ea, eb, lasts)
-        ga = np.searchsorted(cuts, np.arange(len(a)))
-        gb = np.searchsorted(ea[cuts], eb)
+        # by byte: whether a token ends there, and how many have ended before
+        is_a, is_b = np.zeros(int(ea[-1]) + 1, bool), np.zeros(int(ea[-1]) + 1, bool)
+        is_a[ea] = is_b[eb] = True
+        before_a, before_b = np.cumsum(is_a, dtype=np.int32) - is_a, np.cumsum(is_b, dtype=np.int32) - is_b
+        b_cuts = before_b[ea[cuts]]
         # A's tokens of a group, then B's: places in the order of the groups' string
-        b_before = np.searchsorted(gb, np.arange(len(cuts)))
-        place_a, place_b = np.arange(len(a)) + b_before[ga], np.arange(len(b)) + cuts[gb] + 1
+        from_a, from_b = np.append(0, cuts[:-1] + 1), np.append(0, b_cuts[:-1] + 1)
+        place_a = np.arange(len(a)) + np.repeat(from_b, cuts + 1 - from_a)
+        place_b = np.arange(len(b)) + np.repeat(cuts + 1, b_cuts + 1 - from_b)
         ids, sep = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
         ids[place_a], ids[place_b] = a, b
         sep[place_a[cuts]] = ord("|")
-        sep[place_b[np.append(b_before[1:], len(b)) - 1]] = ord(";")
-        lens = self.digits.lens[ids]
-        begin = np.cumsum(lens + 1) - (lens + 1)
-        said = np.empty(int(begin[-1] + lens[-1] + 1), np.uint8)
-        said[ragged(begin, lens)] = self.digits.bytes[ragged(self.digits.starts[ids], lens)]
-        said[begin + lens] = sep
-        said_to = np.append(begin, len(said))[np.cumsum(na + nb)]
+        sep[place_b[b_cuts]] = ord(";")
+        lens = self.widths[ids]
+        said = self.digits[ids]
+        said[np.arange(len(ids)), lens] = sep
+        said = said.reshape(-1)
+        said = said[said != 0]
+        said_to = np.cumsum(lens + 1)[np.cumsum(na + nb) - 1]
         # links: the stretches between neighbouring ends of either side
-        ends = np.union1d(ea, eb)
-        links = (a[np.searchsorted(ea, ends)] * self.n_b + b[np.searchsorted(eb, ends)]).astype(np.uint32)
-        links_to = np.searchsorted(ends, ea[lasts]) + 1
+        ends = np.flatnonzero(is_a | is_b)
+        links = (a[before_a[ends]] * self.n_b + b[before_b[ends]]).astype(np.uint32)
         groups_to = np.searchsorted(cuts, lasts) + 1
+        links_to = np.cumsum(na + nb) - groups_to  # an end that both sides share counts once
         out, s0, l0, g0 = [], 0, 0, 0
         for x, y, s1, l1, g1 in zip(na.tolist(), nb.tolist(), said_to.tolist(), links_to.tolist(), groups_to.tolist()):
             out.append((x, y, g1 - g0, said[s0:s1 - 1].tobytes(), links[l0:l1]))
@@ -219,25 +231,27 @@ def align_parts(docs: DataFrame, spec: str, model: bytes, id_col: str = "doc_id"
             data, offsets = utf8(batch.column(1))
             ids = batch.column(0).to_pylist()
             for i, j in row_slices(offsets, step):
-                rows, coded = [], []
+                rows, whole = [], []
                 for k in range(i, j):
                     text = b" " + data[offsets[k]:offsets[k + 1]].tobytes() if offsets[k] < offsets[k + 1] else b""
                     parts = parts_of(text, step)
-                    if len(parts) == 1:
-                        made = aligner.encode(text) if text else None
-                        if made is None:
-                            rows.append((next(names), ids[k], True, 0, 0, 0, 0, "", b""))
-                        else:
-                            coded.append((next(names), ids[k], made))
-                    elif any(aligner.encode(p) is None for p in parts):  # a pass of its own, so that no part of a refused text is given out
+                    if len(parts) == 1 and text:
+                        whole.append((next(names), ids[k], text))
+                    elif len(parts) == 1 or any(aligner.encode([p])[0] is None for p in parts):  # a pass of its own, so that no part of a refused text is given out
                         rows.append((next(names), ids[k], True, 0, 0, 0, 0, "", b""))
                     else:
                         name, sha = next(names), hashlib.sha256()
                         for at, p in enumerate(parts):
-                            na, nb, ng, said, links = aligner.align([aligner.encode(p)])[0]
+                            na, nb, ng, said, links = aligner.align(aligner.encode([p]))[0]
                             last = at == len(parts) - 1
                             sha.update(said if last else said + b";")
                             yield batch_of([(name, ids[k], False, na, nb, ng, len(links), sha.hexdigest() if last else None, links.tobytes())])
+                coded = []
+                for (name, doc, _), made in zip(whole, aligner.encode([w[2] for w in whole])):
+                    if made is None:
+                        rows.append((name, doc, True, 0, 0, 0, 0, "", b""))
+                    else:
+                        coded.append((name, doc, made))
                 if coded:
                     for (name, doc, _), (na, nb, ng, said, links) in zip(coded, aligner.align([c[2] for c in coded])):
                         rows.append((name, doc, True, na, nb, ng, len(links), hashlib.sha256(said).hexdigest(), links.tobytes()))
