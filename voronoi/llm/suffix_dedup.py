@@ -24,16 +24,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, shuffle_partitions, split_by
-from .textvec import mix, utf8
+from .common import durable, shuffle_partitions, split_by, trimmed
+from .textvec import mix, utf8, word_hashes
 
 U = np.uint64
 LENGTH, GRAM = 50, 20
 #: Bytes of text looked at together; a longer row goes in pieces that overlap.
 STEP = 1 << 19
 _PLACE = 20  # bits of a place within such a piece
-#: Keys or context bytes that a task gathers before it sends them on.
-FLUSH_KEYS, FLUSH_BYTES = 4_000_000, 64 << 20
+#: Keys that a task gathers before it sends them on, and bytes of its contexts with all that is held beside them.
+FLUSH_KEYS, FLUSH_BYTES = 4_000_000, 40 << 20
+#: Bytes looked at together when contexts are compared or copied, which bounds the scratch memory (some 20 times as much).
+COPY_BYTES = 1 << 20
 #: Text for each bucket of contexts, keys for each bucket of anchors, bytes of contexts in a shard.
 BUCKET_TEXT, BUCKET_KEYS, SHARD = 4 << 20, 2_000_000, 2 << 20
 #: Bound of the filter of anchors that occur again.
@@ -108,7 +110,8 @@ def _all_anchors(buckets: int):
 
     def blocks(parts: list):
         keys, n = np.unique(np.concatenate(parts), return_counts=True)
-        which, begin = np.unique(_shares(keys, buckets), return_index=True)  # keys are in order, and so are buckets
+        order, which, begin, _ = _parted(_shares(mix(keys), buckets))  # mixed: anchors are minima, so their own leading bits are mostly zero
+        keys, n = keys[order], n[order]
         rows = [(int(w), keys[i:j].tobytes(), np.packbits(n[i:j] > 1).tobytes()) for w, i, j in zip(which, begin, np.append(begin[1:], len(keys)))]
         for k in range(0, len(rows), 256):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k:k + 256]), (pa.int32(), pa.binary(), pa.binary()))], names=names)
@@ -145,7 +148,8 @@ def _filter_shard(max_bits: int):
 
 
 def _filter_place(keys: np.ndarray, bits) -> np.ndarray:
-    return ((mix(keys) >> U(32)) * bits) >> U(32)
+    """A place that has nothing to do with the bucket of a key."""
+    return ((mix(keys ^ U(0x5851F42D4C957F2D)) >> U(32)) * bits) >> U(32)
 
 
 class Again:
@@ -156,7 +160,7 @@ class Again:
         self.bits, self.starts, self.sizes = np.frombuffer(b"".join(shards), dtype=np.uint8), np.cumsum(sizes) - sizes, sizes * 8
 
     def has(self, keys: np.ndarray) -> np.ndarray:
-        bucket = _shares(keys, len(self.sizes))
+        bucket = _shares(mix(keys), len(self.sizes))
         at = _filter_place(keys, self.sizes[bucket].astype(np.uint64)).astype(np.int64)
         byte = self.bits[np.minimum(self.starts[bucket] + (at >> 3), len(self.bits) - 1)]
         return (self.sizes[bucket] > 0) & ((byte >> (at & 7).astype(np.uint8)) & 1 == 1)
@@ -185,55 +189,117 @@ def _merged_by(rid: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndar
 _BLOCK = pa.schema([("bucket", pa.int32()), ("text", pa.binary()), ("lens", pa.binary()), ("leads", pa.binary()), ("doc", pa.binary()), ("rid", pa.binary()), ("begin", pa.binary()), ("spans", pa.binary())])
 
 
+class _Held:
+    """A task's contexts in columns: all texts one after the other, and by context its bucket, lead, document, row and place."""
+
+    def __init__(self):
+        self.texts: list[np.ndarray] = []
+        self.columns: list[list[np.ndarray]] = [[] for _ in range(7)]  # length, bucket, lead, document, row, place, hash
+        self.nbytes = 0
+
+    def add(self, data, starts, lens, bucket, lead, doc, rid, place) -> None:
+        if not len(starts):
+            return
+        begin = np.cumsum(lens) - lens
+        text = _copied(data, starts, lens)
+        name = mix(word_hashes(text, begin, begin + lens) ^ lead.astype(np.uint64))
+        self.texts.append(text)
+        row = (lens.astype(np.uint8), bucket.astype(np.int32), lead.astype(np.uint8), doc, rid, place, name)
+        for column, values in zip(self.columns, row):
+            column.append(values)
+        self.nbytes += text.nbytes + sum(v.nbytes for v in row)
+
+    def first_documents(self):
+        """(text, start and length of each context, bucket, lead, document, row, place) of the contexts of each one's first document, and the
+        spans (row, begin, end) of the others: a context that an earlier document of this task holds goes as a whole.
+
+        Contexts are told apart by a hash and compared with the first of the same hash; one that differs counts as a context of its own."""
+        text = np.concatenate(self.texts)
+        lens, bucket, lead, doc, rid, place, name = (np.concatenate(c) for c in self.columns)
+        self.__init__()
+        lens = lens.astype(np.int64)
+        starts = np.cumsum(lens) - lens
+        order = np.lexsort((doc, name))
+        new = np.append(True, name[order][1:] != name[order][:-1])
+        first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+        later = doc[order] > doc[first]
+        later[later] = _equal(text, starts, lens, lead, order[later], first[later])
+        gone, stay = order[later], order[~later]
+        spans = np.stack((rid[gone], place[gone], place[gone] + lens[gone]), axis=1)
+        stay = stay[np.argsort(bucket[stay], kind="stable")]
+        return text, starts[stay], lens[stay], bucket[stay], lead[stay], doc[stay], rid[stay], place[stay], spans
+
+
+def _copied(data: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """The spans of ``data`` one after the other."""
+    upto = np.cumsum(lens)
+    out = np.empty(int(upto[-1]) if len(upto) else 0, np.uint8)
+    i = 0
+    while i < len(lens):
+        base = upto[i] - lens[i]
+        j = max(i + 1, int(np.searchsorted(upto, base + COPY_BYTES, "right")))
+        n = lens[i:j]
+        at = np.arange(int(upto[j - 1] - base)) + np.repeat(starts[i:j] - (upto[i:j] - n - base), n)
+        out[base:upto[j - 1]] = data[at]
+        i = j
+    return out
+
+
+def _equal(text, starts, lens, lead, a, b) -> np.ndarray:
+    """Whether contexts a[i] and b[i] are equal in text and lead."""
+    same = (lens[a] == lens[b]) & (lead[a] == lead[b])
+    pairs = np.flatnonzero(same)
+    step = max(1, COPY_BYTES // 128)
+    for i in range(0, len(pairs), step):
+        k = pairs[i:i + step]
+        n = lens[a[k]]
+        upto = np.cumsum(n)
+        within = np.arange(int(upto[-1])) - np.repeat(upto - n, n)
+        differs = text[np.repeat(starts[a[k]], n) + within] != text[np.repeat(starts[b[k]], n) + within]
+        same[k] = np.add.reduceat(differs, upto - n) == 0
+    return same
+
+
 def _contexts(buckets: int, shared):
     """A task's contexts, each with its first document only, and the spans that it can tell by itself."""
 
-    def blocks(held: dict, spans: list):
-        entries = [(bucket, text, lead, *e) for (bucket, lead, text), es in held.items() for e in es[1]]
-        entries.sort(key=lambda e: e[0])
-        own = _merged_by(*np.array(spans, dtype=np.int64).reshape(-1, 3).T)
-        which, begin = np.unique(np.array([e[0] for e in entries], dtype=np.int64), return_index=True)
+    def blocks(held: _Held):
+        text, starts, lens, bucket, lead, doc, rid, place, spans = held.first_documents()
+        own = _merged_by(*spans.T)
+        which, begin = np.unique(bucket, return_index=True)
         if not len(which):
             which, begin = np.array([0]), np.array([0])
-        rows = []
-        for w, i, j, s in zip(which, begin, np.append(begin[1:], len(entries)), np.array_split(own, len(which))):
-            part = entries[i:j]
-            ints = lambda k, t=np.int64: np.array([e[k] for e in part], dtype=t).tobytes()  # noqa: B023,E731
-            rows.append((int(w), b"".join(e[1] for e in part), np.array([len(e[1]) for e in part], dtype=np.uint8).tobytes(), ints(2, np.uint8), ints(3), ints(4), ints(5), s.tobytes()))
-        for k in range(0, len(rows), 64):
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[k:k + 64]), _BLOCK)], schema=_BLOCK)
+        end = np.append(begin[1:], len(bucket))
+        shares = np.linspace(0, len(own), len(which) + 1).astype(int)
+        rows, size = [], 0
+
+        def out():
+            batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _BLOCK)], schema=_BLOCK)
+            rows.clear()
+            return batch
+
+        for w, i, j, x, y in zip(which.tolist(), begin.tolist(), end.tolist(), shares[:-1].tolist(), shares[1:].tolist()):
+            part = _copied(text, starts[i:j], lens[i:j]).tobytes()
+            rows.append((w, part, lens[i:j].astype(np.uint8).tobytes(), lead[i:j].tobytes(), doc[i:j].tobytes(), rid[i:j].tobytes(), place[i:j].tobytes(), own[x:y].tobytes()))
+            size += len(part)
+            if size > 2 * COPY_BYTES or len(rows) >= 64:
+                yield out()
+                size = 0
+        if rows:
+            yield out()
 
     def run(batches):
-        again, held, spans, size = Again(shared.value), {}, [], 0
+        again, held = Again(shared.value), _Held()
         for batch in batches:
             ids, rids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             data, offsets = utf8(batch.column(2))
             for keys, first, last, row, place, lead in anchors(data, offsets):
                 hit = np.flatnonzero(again.has(keys))
-                if not len(hit):
-                    continue
-                base = int(first[hit[0]])
-                raw = data[base:int(last[hit[-1]]) + LENGTH].tobytes()
-                cols = (_shares(mix(keys[hit]), buckets), lead[hit], first[hit] - base, last[hit] - base + LENGTH, ids[row[hit]], rids[row[hit]], place[hit])
-                for bucket, at, i, j, doc, rid, begin in zip(*[c.tolist() for c in cols]):
-                    key = (bucket, at, raw[i:j])
-                    known = held.get(key)
-                    if known is None:
-                        held[key] = [doc, [(doc, rid, begin)]]
-                        size += j - i + 60
-                    elif doc == known[0]:
-                        known[1].append((doc, rid, begin))
-                        size += 60
-                    elif doc > known[0]:
-                        spans.append((rid, begin, begin + j - i))
-                    else:
-                        spans += [(r, p, p + j - i) for _, r, p in known[1]]
-                        held[key] = [doc, [(doc, rid, begin)]]
-                if size + 24 * len(spans) >= FLUSH_BYTES:
-                    yield from blocks(held, spans)
-                    held, spans, size = {}, [], 0
-        if held or spans:
-            yield from blocks(held, spans)
+                held.add(data, first[hit], last[hit] + LENGTH - first[hit], _shares(mix(keys[hit]), buckets), lead[hit], ids[row[hit]], rids[row[hit]], place[hit])
+                if held.nbytes >= FLUSH_BYTES:
+                    yield from blocks(held)
+        if held.nbytes:
+            yield from blocks(held)
 
     return run
 
@@ -417,15 +483,17 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = _rows(docs, id_col, text_col)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     key_buckets = max(shuffle_partitions(spark), math.ceil(size / 16 / BUCKET_KEYS))
-    blocks = rows.select("text").mapInArrow(_all_anchors(key_buckets), "bucket int, keys binary, again binary")
+    blocks = rows.select("text").mapInArrow(trimmed(_all_anchors(key_buckets)), "bucket int, keys binary, again binary")
     shards = [b""] * key_buckets
-    made = blocks.groupBy("bucket").applyInArrow(_filter_shard(FILTER_BYTES * 8 // key_buckets), "bucket int, bits binary")
+    made = blocks.groupBy("bucket").applyInArrow(trimmed(_filter_shard(FILTER_BYTES * 8 // key_buckets)), "bucket int, bits binary")
     for r in durable(made).toLocalIterator():  # FILTER_BYTES together at most
         shards[r.bucket] = bytes(r.bits)
     shared = spark.sparkContext.broadcast(shards)
     buckets = max(shuffle_partitions(spark), math.ceil(size / BUCKET_TEXT))
-    contexts = rows.select("order", "rid", "text").mapInArrow(_contexts(buckets, shared), "bucket int, text binary, lens binary, leads binary, doc binary, rid binary, begin binary, spans binary")
-    return contexts.groupBy("bucket").applyInArrow(_bucket_spans, "rid long, begin long, end long")
+    contexts = rows.select("order", "rid", "text").mapInArrow(trimmed(_contexts(buckets, shared)), "bucket int, text binary, lens binary, leads binary, doc binary, rid binary, begin binary, spans binary")
+    spans = durable(contexts.groupBy("bucket").applyInArrow(trimmed(_bucket_spans), "rid long, begin long, end long"))
+    shared.destroy()  # no task needs it again
+    return spans
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -439,9 +507,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Texts are UTF-8 bytes, null is empty. A null id counts as larger than any; rows that repeat an id don't remove each other's bytes. Other
     columns aren't read; an empty table gives no rows."""
-    spans = durable(repeated_spans(docs, id_col, text_col))
+    spans = repeated_spans(docs, id_col, text_col)
     by_row = durable(spans.groupBy("rid").agg(F.collect_list(F.struct("begin", "end")).alias("spans")))
     maybe, rest = split_by(_rows(docs, id_col, text_col), F.col("rid"), by_row, F.col("rid"))
     none = F.lit(None).cast("array<struct<begin:bigint,end:bigint>>")
     cut = maybe.join(by_row, "rid", "left").select("id", "text", "spans").unionByName(rest.select("id", "text", none.alias("spans")))
-    return cut.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return cut.mapInArrow(trimmed(_cut), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
