@@ -1,13 +1,14 @@
 """License scans by conditional compression.
 
-A block of text that speaks of a license is searched for every template by exact wording: the least number of words that must be
-inserted, dropped or changed to find the template somewhere in the block, and which words these are. Only templates of whose words
-the block lacks more than may differ are left out beforehand, as they can't be found. Every notice is reported: the nearest wording
-is taken first, and what lies before and after it is searched again until nothing is left. Long blocks are searched in overlapping
-windows.
-
-The text of a notice is compressed with zstandard once plainly and once with the template as a raw-content dictionary. The more of
-it a template explains, the more bytes it saves: among templates whose wording is equally near the largest size reduction wins.
+A block of text that speaks of a license is compressed with zstandard once plainly and once with each template as a raw-content
+dictionary. The more of the block a template explains, the more bytes it saves: templates are ranked by these reductions.
+
+Candidates are confirmed by exact wording: the least number of words that must be inserted, dropped or changed to find the template
+somewhere in the block, and which words these are. Where several templates can be read out of the same passage, the passage is compressed with each of
+them: the one that explains more of it takes it, also where a shorter one differs in fewer words. Reductions that differ by no more than a match or two costs
+(TIE bytes) say nothing; among those the nearest wording goes first, then the longer template, then the ranks in passage and block. The ranking has
+no end before the last template: only those of whose words the block lacks more than may differ are passed over, as they can't be confirmed. What lies
+between the notices found is ranked and confirmed again until nothing is left. Long blocks are searched in overlapping windows.
 """
 
 from __future__ import annotations
@@ -56,6 +57,8 @@ MAX_DIFFERENT = 0.15
 #: Words of a block that are searched at a time; more if templates are so long that windows would hardly move on.
 WINDOW = 4096
 LEVEL = 3
+#: Bytes by which two sizes may differ before the smaller one counts as smaller: what a match more costs, and the rounding of the entropy coder.
+TIE = 6
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
 
@@ -164,38 +167,63 @@ class Scanner:
         self.spare = np.array(list(self.limit.values()))
         self.longest = reach(templates)
 
-    def reduction(self, name: str, text: str) -> float:
+    def savings(self, text: str, names) -> dict[str, tuple[int, float]]:
+        """(bytes saved, their share) of each template, as the dictionary with which the text is compressed."""
         raw = text.encode("utf-8", "replace")
-        return 1 - len(self.trained[name].compress(raw)) / len(self.plain.compress(raw))
+        plain = len(self.plain.compress(raw))
+        sizes = {name: len(self.trained[name].compress(raw)) for name in names}
+        return {name: (plain - size, 1 - size / plain) for name, size in sizes.items()}
+
+    def _places(self, name: str, own: list[str], coded: np.ndarray) -> list[tuple]:
+        """(differing words, first word, word after it, differences) of the nearest places of one template."""
+        t, limit = self.words[name], self.limit[name]
+        n = _least(self.coded[name], coded)
+        around = np.concatenate(([n.max() + 1], n, [n.max() + 1]))
+        out = []
+        for end in np.flatnonzero((n <= limit) & (n <= around[:-2]) & (n <= around[2:])).tolist():
+            low = max(0, end - len(t) - limit)
+            least, said, first, _ = _align(t, own[low:end], end - low)
+            out.append((least, first + low, end, said))
+        return out
 
-    def _nearest(self, text: str, own: list[str], spans: list[tuple[int, int]], coded: np.ndarray) -> list[tuple]:
-        """Places (first word, word after it, name, reduction, differing words, differences) that don't overlap, the nearest taken first."""
+    def _confirmed(self, text: str, own: list[str], spans: list[tuple[int, int]], coded: np.ndarray, saved: dict[str, tuple[int, float]] | None = None) -> list[tuple]:
+        """Places (first word, word after it, name, reduction, differing words, differences) that don't overlap."""
         has = np.bincount(coded[coded >= 0], minlength=len(self.ids))
         lacks = np.maximum(self.needs - has, 0).sum(axis=1)  # words of a template that can't be found differ
-        places = []
-        for name in [name for name, may in zip(self.words, lacks <= self.spare) if may]:
-            t, limit = self.words[name], self.limit[name]
-            n = _least(self.coded[name], coded)
-            around = np.concatenate(([n.max() + 1], n, [n.max() + 1]))
-            for end in np.flatnonzero((n <= limit) & (n <= around[:-2]) & (n <= around[2:])).tolist():
-                low = max(0, end - len(t) - limit)
-                least, said, first, _ = _align(t, own[low:end], end - low)
-                first += low
-                places.append((least, -len(t), -self.reduction(name, text[spans[first][0]:spans[end - 1][1]]), name, first, end, said))
-        taken, out = np.zeros(len(own), dtype=bool), []
-        for least, _, reduction, name, first, end, said in sorted(places):
-            if not taken[first:end].any():
-                taken[first:end] = True
-                out.append((first, end, name, -reduction, least, said))
+        names = [name for name, may in zip(self.words, lacks <= self.spare) if may]
+        if not names:
+            return []
+        saved = self.savings(text[spans[0][0]:spans[-1][1]], names) if saved is None else saved
+        places = [(first, end, least, name, said) for name in sorted(names, key=lambda name: -saved[name][0]) for least, first, end, said in self._places(name, own, coded)]
+        places.sort(key=lambda x: x[:2])
+        taken, out, i = np.zeros(len(own), dtype=bool), [], 0
+        while i < len(places):  # places that overlap contend for a passage
+            j, upto = i + 1, places[i][1]
+            while j < len(places) and places[j][0] < upto:
+                upto = max(upto, places[j][1])
+                j += 1
+            rivals = places[i:j]
+            here = self.savings(text[spans[rivals[0][0]][0]:spans[upto - 1][1]], {x[3] for x in rivals})
+            while rivals:
+                most = max(here[x[3]][0] for x in rivals)
+                alike = [x for x in rivals if here[x[3]][0] >= most - TIE]
+                rivals = [x for x in rivals if here[x[3]][0] < most - TIE]
+                for first, end, least, name, said in sorted(alike, key=lambda x: (x[2], -len(self.words[x[3]]), -here[x[3]][0], -saved[x[3]][0], x[3])):
+                    if not taken[first:end].any():
+                        taken[first:end] = True
+                        out.append((first, end, name, here[name][1], least, said))
+            i = j
         return out
 
     def _window(self, text: str, own: list[str], spans: list[tuple[int, int]]) -> list[tuple]:
-        """All places of a window in order: what the nearest ones leave is searched again."""
+        """All places of a window in order: what the first ones leave is ranked and searched again."""
         coded = np.array([self.ids.get(w, -1) for w in own], dtype=np.int64)
         left, out = [(0, len(own))], []
+        saved = self.savings(text[spans[0][0]:spans[-1][1]], self.words) if spans else None  # the whole window with every template
         while left:
             i, j = left.pop()
-            got = sorted(self._nearest(text, own[i:j], spans[i:j], coded[i:j]))
+            got = sorted(self._confirmed(text, own[i:j], spans[i:j], coded[i:j], saved))
+            saved = None
             out += [(i + first, i + end, *rest) for first, end, *rest in got]
             if got:
                 borders = [i, *[i + b for first, end, *_ in got for b in (first, end)], j]
@@ -221,7 +249,8 @@ class Scanner:
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text", trigger: str = TRIGGER) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_blocks (candidates), n_found, licenses (distinct names, in order), found (array of: name, begin, end,
     reduction, n_different, differences, notice_begin, notice_end; all begins and ends are characters of the text, the first two those of the
-    block, the last two those of the notice itself). A block has as many entries as it has notices.
+    block, the last two those of the notice itself; reduction is that of the passage for which the template contended). A block has as many entries as it has
+    notices. What ties in all goes by name.
 
     Null and empty texts have no candidates; rows that repeat are scanned one by one; other columns aren't read; an empty table gives no rows."""
     templates = TEMPLATES if templates is None else templates
