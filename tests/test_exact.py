@@ -79,6 +79,16 @@ def test_centroids_are_the_same_for_every_partitioning(spark):
     assert len({b"".join(v.tobytes() for _, v, _ in r.workset) for r in keyed}) == 1 and len({r.steps for r in keyed}) == 1
 
 
+@pytest.mark.parametrize("limit", [0, 8 << 20])
+def test_merge_by_spark_or_driver(spark, monkeypatch, limit):
+    e = embedding_points(spark, SF_SMALL)
+    seeds = CentroidSet.from_few(first_points(e, "vec_id", 10), 10)
+    want = kmeans(e.repartition(3), seeds, keep=["vec_id"], max_iter=4).centroids
+    monkeypatch.setattr(exact, "DRIVER_BYTES", limit)
+    got = kmeans(e.repartition(5), seeds, keep=["vec_id"], max_iter=4).centroids
+    assert got.vectors.tobytes() == want.vectors.tobytes()
+
+
 def test_flush_keeps_the_result(spark, monkeypatch):
     e = embedding_points(spark, SF_SMALL).select((F.col("vec_id") % 37).alias("g"), "dims")
     want = sorted(map(tuple, update_centroids(e, label="g").collect()))

@@ -22,6 +22,8 @@ from .nearest import batch_matrix
 BITS = 32
 # State that a task holds before it gives out what it has.
 FLUSH_BYTES = 64 << 20
+# Partial rows of a loop's step that the driver merges itself.
+DRIVER_BYTES = 8 << 20
 # Size of one batch of partial rows.
 OUT_BYTES = 4 << 20
 # Rows whose limbs are summed as doubles at a time: 2**32 * 2**20 stays below 2**53.
@@ -126,9 +128,10 @@ class ExactSum:
     """The merged sum of one key: integers on a common scale."""
 
     def __init__(self):
-        self.n, self.low, self.total, self.marks = 0, 0, None, 0
+        self.n, self.low, self.total, self.marks, self.parts = 0, 0, None, 0, 0
 
     def add(self, n: int, low: int, limbs: np.ndarray, marks: bytes | None, d: int) -> None:
+        self.parts += 1
         per = len(limbs) // d if d else 0
         values = [0] * d
         for j in range(per - 1, -1, -1):
@@ -256,9 +259,9 @@ def vector_length(column: pa.Array) -> int:
 
 def merged(parts: DataFrame, key: str, dims: str = "dims", n: str = "n_points", exact: bool = False) -> DataFrame:
     """(key, n, mean vector) from ``partials``: rows of a key meet in one task, as many as there were tasks at most, and are merged as a
-    sorted stream, one key at a time. With ``exact`` (key, n, lowest limb, coordinates' sums in hexadecimal, marks) instead."""
-    types = [pa.int64(), pa.int32(), pa.list_(pa.string()), pa.binary()] if exact else [pa.int64(), pa.list_(pa.float64())]
-    names = ["n", "low", "total", "marks"] if exact else [n, dims]
+    sorted stream, one key at a time. With ``exact`` (key, n, lowest limb, coordinates' sums in hexadecimal, marks, rows merged) instead."""
+    types = [pa.int64(), pa.int32(), pa.list_(pa.string()), pa.binary(), pa.int64()] if exact else [pa.int64(), pa.list_(pa.float64())]
+    names = ["n", "low", "total", "marks", "parts"] if exact else [n, dims]
 
     def run(batches):
         held, current, found, d = ExactSum(), None, False, None
@@ -267,7 +270,7 @@ def merged(parts: DataFrame, key: str, dims: str = "dims", n: str = "n_points",
 
         def row():
             if exact:
-                return current, held.n, held.low, [hex(t) for t in held.total or []], None if isinstance(held.marks, int) else held.marks.tobytes()
+                return current, held.n, held.low, [hex(t) for t in held.total or []], None if isinstance(held.marks, int) else held.marks.tobytes(), held.parts
             return current, held.n, held.mean()
 
         def out():
@@ -295,7 +298,34 @@ def merged(parts: DataFrame, key: str, dims: str = "dims", n: str = "n_points",
 
     first = T.StructField(key, parts.schema["key"].dataType)
     if exact:
-        rest = [T.StructField("n", T.LongType()), T.StructField("low", T.IntegerType()), T.StructField("total", T.ArrayType(T.StringType())), T.StructField("marks", T.BinaryType())]
+        rest = [T.StructField("n", T.LongType()), T.StructField("low", T.IntegerType()), T.StructField("total", T.ArrayType(T.StringType())), T.StructField("marks", T.BinaryType()), T.StructField("parts", T.LongType())]
     else:
         rest = [T.StructField(n, T.LongType()), T.StructField(dims, T.ArrayType(T.DoubleType()))]
     return parts.repartition("key").sortWithinPartitions("key").mapInArrow(run, T.StructType([first, *rest]))
+
+
+class Merge:
+    """Collects the exact sums of a loop's steps, as {key: ExactSum}.
+
+    The first step's partial rows are merged by Spark, which also counts them. As long as a step's rows are few bytes together
+    (DRIVER_BYTES, by that count) the later ones are collected as they are and merged here, which saves a shuffle and a stage a step; beyond that Spark
+    merges every step. Sums of integers come out the same either way."""
+
+    def __init__(self):
+        self.few = False
+
+    def __call__(self, parts: DataFrame, d: int) -> dict:
+        out: dict = {}
+        if not self.few:
+            rows = merged(parts, "key", exact=True).collect()
+            limbs = max((len(r["total"][0]) // (BITS // 4) + 2 for r in rows if r["total"]), default=1)
+            self.few = sum(r["parts"] for r in rows) * (64 + 8 * d * limbs) <= DRIVER_BYTES
+            return {r["key"]: ExactSum.of(r) for r in rows}
+        got = parts.toArrow()
+        limbs = got["limbs"].combine_chunks()
+        if got.num_rows:
+            limbs = limbs.chunk(0) if isinstance(limbs, pa.ChunkedArray) else limbs
+            offsets, flat = limbs.offsets.to_numpy(), limbs.values.to_numpy()
+        for i, (key, n, low, marks) in enumerate(zip(*(got[c].to_pylist() for c in ("key", "n", "low", "marks")))):
+            out.setdefault(key, ExactSum()).add(n, low, flat[offsets[i]:offsets[i + 1]], marks, d)
+        return out
