@@ -6,6 +6,7 @@ import math
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,11 +39,20 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def positional(docs: DataFrame, *columns: str):
+    """(``docs`` with columns c0, c1, ..., the new names of ``columns``, a function that gives a frame of all these columns its names back):
+    an operator that keeps all columns can then use names of its own."""
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    return plain, [f"c{names.index(c)}" for c in columns], lambda df: df.select(*plain.columns).toDF(*names)
+
+
 def maybe_in(df: DataFrame, key: Column, keys: DataFrame, keys_key: Column, max_bits: int = 1 << 24) -> DataFrame:
     """The rows of ``df`` whose ``key`` may be among ``keys`` (never losing one that is), without a shuffle of ``df``.
 
     ``keys`` become a bitmap of at most ``max_bits`` bits, kept as rows of 64 bits, which is broadcast: max_bits / 64 rows
-    whatever the number of keys. A fuller bitmap only lets more rows pass to the exact join that must follow."""
+    whatever the number of keys. A fuller bitmap only lets more rows pass to the exact join that must follow. ``df`` has no columns
+    _p, _word, _bits, _hit (see ``positional``)."""
     return _with_bit(df, key, keys, keys_key, max_bits).where("_hit").drop("_hit")
 
 
@@ -67,3 +77,33 @@ def _with_bit(df: DataFrame, key: Column, keys: DataFrame, keys_key: Column, max
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def trimmed(run):
+    """The kernel ``run`` (of batches, or of a group's table), which gives freed memory back to the system when it ends: a worker lives through many tasks and
+    would keep what the largest of them has touched."""
+
+    def release():
+        import ctypes
+
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+    def kernel(given):
+        if isinstance(given, pa.Table):
+            try:
+                return run(given)
+            finally:
+                release()
+        return batches(given)
+
+    def batches(given):
+        try:
+            yield from run(given)
+        finally:
+            release()
+
+    return kernel
