@@ -159,6 +159,30 @@ def test_keep_one(docs, none):
     assert ngram_join.keep_one(none).count() == 0
 
 
+def test_keep_one_decides_by_row(spark):
+    """A row whose id another row shares isn't dropped with it; of rows that repeat the one that stays one stays; any column names will do."""
+    t, u = prose(31, 60), prose(32, 60)
+    rows = [(1, t, 5, "a", "b"), (2, t + " z", 6, "a", "b"), (2, u, 7, "a", "b"), (3, t, 8, "a", "b"), (4, u + "  ", 9, "a", "b"), (1, t, 5, "a", "b"), (1, t.upper(), 4, "a", "b"), (None, u, 1, "a", "b"), (5, "", 2, "a", "b"), (5, None, 3, "a", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _p long, node string, _hit string")
+    got = ngram_join.keep_one(df.repartition(3)).collect()
+    assert ngram_join.keep_one(df).columns == df.columns
+    left = collections.Counter((r.doc_id, lowered(r.text).split()[0] if r.text else "") for r in got)
+    assert left == collections.Counter({(1, t.split()[0]): 1, (2, u.split()[0]): 1, (5, ""): 2})
+
+
+def test_stages_take_any_column_names(spark):
+    """Names that the operators use themselves, and values that must come through unchanged."""
+    t = prose(33, 40)
+    rows = [(1, t, "a", 70, 1, "x", 2, 3), (1, t, "a", 80, 1, "x", 2, 3), (2, t, "a", 90, 1, "x", 2, 3), (3, prose(34, 40), "a", 11, 1, "x", 2, 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _n long, _p long, _id string, _whole long, _again long")
+    got = sorted((r.doc_id, r._n) for r in exact_dedup.drop_copies(df).collect())
+    assert got == [(2, 90), (3, 11)]
+    again = exact_dedup.drop_copies(spark.createDataFrame(rows[:2], df.schema)).collect()
+    assert len(again) == 1 and again[0]._n in (70, 80)
+    made = mixing.take(df)
+    assert made.columns == df.columns and {(r.doc_id, r._n) for r in made.collect()} <= {(r[0], r[3]) for r in rows}
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (9, 3), (7, 8), (5, 5), (2, 1)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
@@ -596,3 +620,33 @@ def test_pipeline_chains_its_stages(spark, tmp_path, monkeypatch):
     assert all(abs(taken[x] - target[x]) <= 2 * max(size(t) for _, t, y in seen[3] if y == x) for x in sizes)
     library = Tokenizer.from_str(bpe.read_spec(public_tokenizers.path("byte_bpe_50k.json")))
     assert count((r.doc_id, tuple(r.ids)) for r in last) == count((i, tuple(library.encode(t or "", add_special_tokens=False).ids)) for i, t, _ in seen[4])
+
+
+def test_license_ranking_decides(monkeypatch):
+    """The template that explains most of a block takes words that a shorter one would find with fewer differences; without compression
+    the shorter one would. Every template is compressed with for every block."""
+    text = "License: GNU General Public License as published by the Free Software Foundation, either version 2 of this License, or (at your choice) any later version."
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    asked = []
+    real = licenses.Scanner.savings
+    monkeypatch.setattr(licenses.Scanner, "savings", lambda self, t, names: asked.append(list(names)) or real(self, t, names))
+    assert [(f[0], f[2]) for f in scanner.confirm(text)] == [("GPL-2.0-or-later", 2)]
+    assert asked[0] == list(licenses.TEMPLATES)
+    monkeypatch.setattr(licenses.Scanner, "savings", lambda self, t, names: {name: (0, 0.0) for name in names})
+    assert [(f[0], f[2]) for f in scanner.confirm(text)][0][0] != "GPL-2.0-or-later"
+
+
+def test_license_confirmable_templates_are_never_passed_over():
+    """With up to the allowed share of changed words in prose, each template or one that explains the block better is found, however little it saves."""
+    rng = np.random.default_rng(21)
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    for name, text in licenses.TEMPLATES.items():
+        for trial in range(6):
+            own = text.split()
+            for at in rng.choice(len(own), int(licenses.MAX_DIFFERENT * len(licenses.words(text))), replace=False) if trial else []:
+                own[at] = "changed"
+            block = prose(trial, 300) + " license " + " ".join(own) + " " + prose(trial + 50, 300)
+            some = [n for n, t in scanner.words.items() if licenses.wording(t, licenses.words(block))[0] <= scanner.limit[n]]
+            found = [f[0] for f in scanner.confirm(block)]
+            assert bool(found) == bool(some) and set(found) <= set(some), (name, found, some)
+            assert trial or name in found or licenses.words(text) != scanner.words[name]

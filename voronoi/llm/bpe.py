@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import trimmed
 from .textvec import row_slices, utf8
 
 #: Fixed by the byte-level format: bytes that stand for themselves; the others follow as code points from 256 on.
@@ -211,7 +212,7 @@ def encode_texts(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: s
                 yield pa.RecordBatch.from_pydict(cols)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>" * with_ids + ", decoded string" * with_text
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(trimmed(run), schema)
 
 
 def read_spec(path: str) -> str:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, maybe_in, shuffle_partitions, split_by
+from .common import durable, maybe_in, positional, shuffle_partitions, split_by, trimmed
 from .textvec import row_slices, utf8
 
 P = (1 << 31) - 1
@@ -108,12 +108,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("sha"),
         F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("bytes"),
     )
-    short = rows.where(F.octet_length("bytes") <= piece).mapInArrow(_hash_rows(["id", "sha"], mask), f"id long, sha string, {FP}")
+    short = rows.where(F.octet_length("bytes") <= piece).mapInArrow(trimmed(_hash_rows(["id", "sha"], mask)), f"id long, sha string, {FP}")
     pieces = (
         rows.where(F.octet_length("bytes") > piece)
         .select("id", "sha", F.posexplode(F.expr(f"transform(sequence(0, cast((octet_length(bytes) - 1) / {piece} as int)), k -> substring(bytes, k * {piece} + 1, {piece}))")).alias("no", "bytes"))
         .repartition(F.col("id"), F.col("sha"), F.col("no"))
-        .mapInArrow(_hash_rows(["id", "sha", "no"], P), f"id long, sha string, no int, {FP}")
+        .mapInArrow(trimmed(_hash_rows(["id", "sha", "no"], P)), f"id long, sha string, no int, {FP}")
         .groupBy("id", "sha", "no").agg(F.max("n_bytes").alias("n_bytes"), F.max("f1").alias("f1"), F.max("f2").alias("f2"), F.count("*").alias("copies"))
     )
     # fold the pieces in order; all but the last are ``piece`` long, the last one's shift comes from its own length
@@ -186,16 +186,21 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns. Only rows whose id may be among the dropped are shuffled."""
+    """The rows of ``docs`` that ``exact_dedup`` keeps, with all their columns, whatever their names. Only rows whose id may be among the dropped
+    are shuffled.
+
+    Of rows with equal texts the one with the largest id stays; rows that repeat that id and text are copies too, one of them (which one is
+    open, should their other columns differ) stays. Null texts count as empty, null ids as less than any; an empty table gives no rows."""
     from pyspark.sql import Window
 
-    made = durable(exact_dedup(docs, id_col, text_col))
+    plain, (id_col, text_col), named = positional(docs, id_col, text_col)
+    made = durable(exact_dedup(plain, id_col, text_col))
     per = made.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(F.sum(F.col("kept").cast("int")).alias("_stay"), F.count("*").alias("_all"))
     lost = per.where("_stay < _all")
     own = F.coalesce(F.col(id_col).cast("long"), F.lit(-1))
-    maybe, rest = split_by(docs, own, lost, F.coalesce(F.col("_id"), F.lit(-1)))
+    maybe, rest = split_by(plain, own, lost, F.coalesce(F.col("_id"), F.lit(-1)))
     maybe = maybe.withColumn("_own_sha", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
     joined = maybe.join(lost, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_own_sha") == F.col("_sha")), "left")
-    stay = joined.where("_sha is null").select(*docs.columns)
-    one = joined.where("_stay > 0").withColumn("_n", F.row_number().over(Window.partitionBy("_id", "_sha").orderBy(F.lit(0)))).where("_n <= _stay").select(*docs.columns)
-    return rest.select(*docs.columns).unionByName(stay).unionByName(one)
+    stay = joined.where("_sha is null").select(*plain.columns)
+    one = joined.where("_stay > 0").withColumn("_n", F.row_number().over(Window.partitionBy("_id", "_sha").orderBy(F.lit(0)))).where("_n <= _stay").select(*plain.columns)
+    return named(rest.select(*plain.columns).unionByName(stay).unionByName(one))

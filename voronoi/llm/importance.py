@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import durable
+from .common import durable, trimmed
 from .textvec import lower, mix, row_slices, utf8, word_hashes, word_spans
 
 U = np.uint64
@@ -111,7 +111,7 @@ class Model:
     def fit(cls, docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
         """None if no document is labelled good."""
         rows = docs.select(F.col(id_col).cast("long").alias("label_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "label_id", "left")
-        counts = rows.select("text", "good").mapInArrow(_count, "bucket int, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+        counts = rows.select("text", "good").mapInArrow(trimmed(_count), "bucket int, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
         raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
         for r in counts.collect():  # BUCKETS rows at most
             raw[r.bucket], target[r.bucket] = r.raw, r.target
@@ -136,7 +136,7 @@ class Model:
                     out[i:j] = np.bincount(row, weights=ratios[bucket], minlength=j - i)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=names)
 
-        return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out_col, T.DoubleType())]))
+        return docs.mapInArrow(trimmed(run), T.StructType([*docs.schema.fields, T.StructField(out_col, T.DoubleType())]))
 
 
 def gumbel(id_col: Column, text: Column) -> Column:

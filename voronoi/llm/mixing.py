@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, positional
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -121,12 +121,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """The rows of ``docs``, each as many times as the mix takes it; texts aren't shuffled when the table of sources is small."""
-    _, per, small = plan(docs, id_col, text_col, source_col, **how)
+    """The rows of ``docs``, with all their columns, whatever their names, each as many times as the mix takes it; texts aren't shuffled
+    when the table of sources is small.
+
+    Texts without words have size 0 and come as many whole times as their source does; a null source is a source of its own; rows that repeat an id and
+    text share one decision; an empty table gives no rows."""
+    plain, (id_col, text_col, source_col), named = positional(docs, id_col, text_col, source_col)
+    _, per, small = plan(plain, id_col, text_col, source_col, **how)
     side = per.select(F.col("source").alias("_src"), *[F.col(c).alias(f"_{c}") for c in ("whole", "p", "end_k", "end_id")])
-    rows = docs.join(F.broadcast(side) if small else side, F.col(source_col).eqNullSafe(F.col("_src")), "left")
+    rows = plain.join(F.broadcast(side) if small else side, F.col(source_col).eqNullSafe(F.col("_src")), "left")
     copies = _copies(uniform(F.col(id_col), F.col(text_col)), F.col(id_col))
-    return rows.withColumn("_again", F.array_repeat(F.lit(1), copies.cast("int"))).withColumn("_again", F.explode("_again")).select(*docs.columns)
+    return named(rows.withColumn("_again", F.array_repeat(F.lit(1), copies.cast("int"))).withColumn("_again", F.explode("_again")).select(*plain.columns))
 
 
 SQL = rf"""

@@ -20,14 +20,14 @@ that it held back. So the pairs sent grow with the nodes, not with their square,
 from __future__ import annotations
 
 import math
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import durable, maybe_in, shuffle_partitions
+from .common import durable, maybe_in, positional, shuffle_partitions, split_by, trimmed
 from .components import components
 from .textvec import lower, mix, row_slices, shingles, utf8, word_hashes, word_spans
 
@@ -44,18 +44,32 @@ BLOCK, SKETCH = 512, 2048
 FIRST, MORE = 2, 8
 
 
-@lru_cache(maxsize=8)
+#: What the two functions below have found; a plain table, so that kernels that use them travel by value.
+_KNOWN: dict[tuple, object] = {}
+
+
 def band_starts(limit: int) -> list[int]:
     """Least sizes of the bands, up to one beyond ``limit``."""
+    if (limit,) not in _KNOWN:
+        _KNOWN[(limit,)] = _band_starts(limit)
+    return _KNOWN[(limit,)]
+
+
+def _band_starts(limit: int) -> list[int]:
     starts = [1]
     while starts[-1] <= limit:
         starts.append(max(starts[-1] + 1, math.ceil(starts[-1] * BAND)))
     return [*starts, math.ceil(starts[-1] * BAND) + 1]
 
 
-@lru_cache(maxsize=4096)
 def band_plan(start: int, end: int, t: int) -> tuple[int, int, bool]:
     """(partitions, e, whether signatures are pairs of partitions) of the band with sizes start..end-1."""
+    if (start, end, t) not in _KNOWN:
+        _KNOWN[start, end, t] = _band_plan(start, end, t)
+    return _KNOWN[start, end, t]
+
+
+def _band_plan(start: int, end: int, t: int) -> tuple[int, int, bool]:
     k = (100 - t) * 2 * (end - 1) // (100 + t)
     if k == 0:
         return 1, 0, False
@@ -122,38 +136,57 @@ def node_of(features: np.ndarray) -> int:
 def _nodes(n: int):
     def run(batches):
         for batch in batches:
-            sets = list(map(lambda s: (len(s), node_of(s) if len(s) else None), sets_of(batch.column(1), n)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s[0] for s in sets], pa.int64()), pa.array([s[1] for s in sets], pa.int64())], names=["id", "n_shingles", "node"])
+            sets = [(len(s), node_of(s), sketch(s).tobytes()) if len(s) else (0, None, None) for s in sets_of(batch.column(1), n)]
+            cols = zip(*sets) if sets else [(), (), ()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary())))], names=["id", "n_shingles", "node", "sketch"])
 
-    return run
+    return trimmed(run)
 
 
-def _star(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct signatures, the least node of each, links of their other nodes to it as rows of two)."""
+def _star(sig: np.ndarray, node: np.ndarray, big: np.ndarray):
+    """Of each signature's nodes: (signature, node, whether the signature has more than two nodes) of its least node, and of its second one
+    if it has just two; and the links (least node, other node) of the larger ones."""
     order = np.lexsort((node, sig))
-    sig, node = sig[order], node[order]
-    first = np.concatenate(([True], sig[1:] != sig[:-1]))
-    hub = node[first][np.cumsum(first) - 1]
-    other = hub != node
-    links = np.unique(np.stack((hub[other], node[other]), axis=1), axis=0) if other.any() else np.zeros((0, 2), dtype=np.int64)
-    return sig[first], node[first], links
+    sig, node, big = sig[order], node[order], big[order]
+    if not len(sig):
+        return sig, node, big, np.zeros((0, 2), np.int64)
+    first = np.append(True, sig[1:] != sig[:-1])
+    group = np.cumsum(first) - 1
+    large = np.bitwise_or.reduceat(big, np.flatnonzero(first))
+    new = first | np.append(True, node[1:] != node[:-1])
+    large |= np.bincount(group[new]) > 2
+    hub = node[first][group]
+    far = new & ~first & large[group]
+    links = np.unique(np.stack((hub[far], node[far]), axis=1), axis=0) if far.any() else np.zeros((0, 2), np.int64)
+    stay = new & (first | ~large[group])
+    return sig[stay], node[stay], large[group[stay]], links
 
 
 def _signature_blocks(n: int, t: int, buckets: int):
-    schema = pa.schema([("bucket", pa.int32()), ("sigs", pa.binary()), ("nodes", pa.binary()), ("links", pa.binary())])
+    """Blocks of signatures: the 48 leading bits of each, the place of its node in the block's list of nodes, and whether it has more than two."""
+    schema = pa.schema([("bucket", pa.int32()), ("sigs", pa.binary()), ("nodes", pa.binary()), ("places", pa.binary()), ("big", pa.binary()), ("links", pa.binary())])
 
     def flushed(sigs: list, nodes: list):
-        sig, node, links = _star(np.concatenate(sigs), np.concatenate(nodes))
+        sig = np.concatenate(sigs) >> U(16) << U(16)
+        sig, node, big, links = _star(sig, np.concatenate(nodes), np.zeros(len(sig), bool))
         bucket = (mix(sig) % U(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        sig, node, bucket = sig[order], node[order], bucket[order]
+        sig, node, big, bucket = sig[order], node[order], big[order], bucket[order]
         which = np.unique(bucket)
         ends = np.searchsorted(bucket, which, "right")
         starts = np.concatenate(([0], ends[:-1]))
         spread = np.array_split(links, len(which))
-        rows = [(int(b), sig[i:j].tobytes(), node[i:j].tobytes(), x.tobytes()) for b, i, j, x in zip(which, starts, ends, spread)]
-        for k in range(0, len(rows), 256):
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[k:k + 256]), schema)], schema=schema)
+        rows, size = [], 0
+        for b, i, j, x in zip(which.tolist(), starts.tolist(), ends.tolist(), spread):
+            known, place = np.unique(node[i:j], return_inverse=True)
+            own = np.ascontiguousarray(sig[i:j].view(np.uint8).reshape(-1, 8)[:, 2:])
+            rows.append((b, own.tobytes(), known.tobytes(), place.astype(np.uint32 if len(known) > 1 << 16 else np.uint16).tobytes(), np.packbits(big[i:j]).tobytes(), x.tobytes()))
+            size += own.nbytes
+            if len(rows) >= 256 or size > 2 << 20:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     def run(batches):
         sigs, nodes, held = [], [], 0
@@ -170,15 +203,36 @@ def _signature_blocks(n: int, t: int, buckets: int):
         if held:
             yield from flushed(sigs, nodes)
 
-    return run
+    return trimmed(run)
+
+
+def _block_entries(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signatures, nodes, whether they have more than two nodes) of one block."""
+    own = np.frombuffer(row["sigs"], np.uint8).reshape(-1, 6)
+    sig = np.zeros((len(own), 8), np.uint8)
+    sig[:, 2:] = own
+    known = np.frombuffer(row["nodes"], np.int64)
+    place = np.frombuffer(row["places"], np.uint32 if len(known) > 1 << 16 else np.uint16)
+    return sig.view(np.uint64).ravel(), known[place], np.unpackbits(np.frombuffer(row["big"], np.uint8), count=len(own)).astype(bool)
 
 
 def _bucket_links(table: pa.Table) -> pa.Table:
-    """The links of one bucket: its signatures' nodes to the least node of each, and links that tasks had found."""
-    read = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=kind)
-    _, _, links = _star(read("sigs", np.uint64), read("nodes", np.int64))
-    links = np.unique(np.concatenate((links, read("links", np.int64).reshape(-1, 2))), axis=0)
-    return pa.table({"u": pa.array(links[:, 0], pa.int64()), "v": pa.array(links[:, 1], pa.int64())})
+    """The links of one bucket, its own and those that tasks had found; ``open`` where a signature has more than two nodes, so that the
+    link's check doesn't settle what else shares it; and rows with these signatures."""
+    made = [_block_entries(r) for b in table.to_batches() for r in b.to_pylist()]
+    given = np.frombuffer(b"".join(x.as_py() for x in table.column("links")), np.int64).reshape(-1, 2)
+    sig, node, big, links = _star(*(np.concatenate(c) for c in zip(*made)))
+    second = np.flatnonzero(np.append(False, sig[1:] == sig[:-1]))
+    pairs = np.stack((node[second - 1], node[second]), axis=1)
+    both = np.concatenate((links, given, pairs))
+    is_open = np.arange(len(both)) < len(both) - len(pairs)
+    linked = np.unique(np.column_stack((both, is_open)), axis=0) if len(both) else np.zeros((0, 3), np.int64)
+    large = sig[big].view(np.int64)
+    pad = lambda x, kind, front: pa.concat_arrays([pa.nulls(len(linked if front else large), kind), x][:: 1 if front else -1])
+    return pa.table({
+        "u": pad(pa.array(linked[:, 0], pa.int64()), pa.int64(), False), "v": pad(pa.array(linked[:, 1], pa.int64()), pa.int64(), False),
+        "open": pad(pa.array(linked[:, 2] != 0), pa.bool_(), False), "sig": pad(pa.array(large, pa.int64()), pa.int64(), True),
+    })
 
 
 def similar(a: np.ndarray, b: np.ndarray, t: int) -> bool:
@@ -189,8 +243,8 @@ def similar(a: np.ndarray, b: np.ndarray, t: int) -> bool:
 def _checked(n: int, t: int):
     def run(batches):
         for batch in batches:
-            ok = [similar(a, b, t) for a, b in zip(sets_of(batch.column(2), n), sets_of(batch.column(3), n))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], names=["u", "v", "ok"])
+            ok = [similar(a, b, t) for a, b in zip(sets_of(batch.column(3), n), sets_of(batch.column(4), n))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(ok, pa.bool_())], names=["u", "v", "open", "ok"])
 
     return run
 
@@ -208,15 +262,6 @@ def may_be_similar(x: np.ndarray, x_size: np.ndarray, y: np.ndarray, y_size: np.
     return (differ * (100 + t) <= (100 - t) * (x_size + y_size)) & (100 * np.minimum(x_size, y_size) >= t * np.maximum(x_size, y_size))
 
 
-def _marks(n: int):
-    def run(batches):
-        for batch in batches:
-            sets = [(len(x), sketch(x).tobytes()) for x in sets_of(batch.column(1), n)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s[0] for s in sets], pa.int64()), pa.array([s[1] for s in sets], pa.binary())], names=["node", "size", "sketch"])
-
-    return run
-
-
 def _words(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(len(column), SKETCH // 64)
 
@@ -227,7 +272,7 @@ def _ruled_out(t: int):
     def run(batches):
         for batch in batches:
             may = may_be_similar(_words(batch.column("sketch_u")), batch.column("size_u").to_numpy(), _words(batch.column("sketch_v")), batch.column("size_v").to_numpy(), t)
-            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), pa.array(may, pa.bool_())], names=["u", "v", "may"])
+            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), batch.column("open"), pa.array(may, pa.bool_())], names=["u", "v", "open", "may"])
 
     return run
 
@@ -238,7 +283,7 @@ def _signed(n: int, t: int):
     def run(batches):
         for batch in batches:
             node, part = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            made = [signatures(x, t).view(np.int64) for x in sets_of(batch.column(2), n)]
+            made = [(np.unique(signatures(x, t) >> U(16)) << U(16)).view(np.int64) for x in sets_of(batch.column(2), n)]  # as the blocks have them
             lens = [len(x) for x in made]
             if sum(lens):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(made)), pa.array(np.repeat(node, lens)), pa.array(np.repeat(part, lens))], names=["sig", "node", "part"])
@@ -291,18 +336,20 @@ def _open_pairs(t: int, most: int):
     return run
 
 
-def _open_signatures(checked: DataFrame, linked: DataFrame, texts: DataFrame, marks: DataFrame, n: int, t: int) -> DataFrame:
+def _open_signatures(checked: DataFrame, linked: DataFrame, texts_of, marks: DataFrame, large: DataFrame, n: int, t: int) -> DataFrame:
     """(sig, node) of the signatures that lie in several parts (components of the checked links).
 
-    Such a signature holds a refused link between two parts: its nodes reach its least node by links of the tasks and of the bucket, and
-    these can't all stay in one part. So the signatures of the nodes on such links tell which ones lie in several parts."""
+    Such a signature, if it has more than two nodes, holds a refused link between two parts: its nodes reach its least node by links of the tasks and of the bucket, and
+    these can't all stay in one part. So the signatures of the nodes on such links tell which ones lie in several parts. ``large`` has the
+    signatures of more than two nodes; the others are settled by the check of their one link."""
     nodes = durable(_parted(marks.select("node"), linked))
     end = lambda c: nodes.select(F.col("node").alias(c), F.col("part").alias(f"part_{c}"))
-    across = checked.where("not ok").join(end("u"), "u").join(end("v"), "v").where("part_u <> part_v")
+    across = checked.where("not ok and open").join(end("u"), "u").join(end("v"), "v").where("part_u <> part_v")
     ends = durable(across.select(F.explode(F.array("u", "v")).alias("node")).distinct())
-    signed = lambda some: some.join(texts, "node").select("node", "part", "text").mapInArrow(_signed(n, t), "sig long, node long, part long")
-    shared = signed(nodes.join(ends, "node")).groupBy("sig").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("sig")
-    shared = durable(shared)
+    signed = lambda some: some.mapInArrow(trimmed(_signed(n, t)), "sig long, node long, part long")
+    first = maybe_in(signed(texts_of(nodes.join(ends, "node"))), F.col("sig"), large, F.col("sig"), 1 << 26)
+    shared = durable(first.groupBy("sig").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("sig"))
+    nodes = texts_of(nodes)
     # the bitmap is only a first sieve, so that few signatures are shuffled; the join decides
     return durable(maybe_in(signed(nodes), F.col("sig"), shared, F.col("sig"), 1 << 26).join(shared, "sig").select("sig", "node"))
 
@@ -321,7 +368,7 @@ def _open_links(signed: DataFrame, linked: DataFrame, marks: DataFrame, t: int,
     each = F.explode(F.expr("transform(sequence(0, blocks - 1), o -> struct(least(block, o) as x, greatest(block, o) as y, if(o = block, 2, if(block < o, 0, 1)) as side))"))
     work = members.select("sig", "node", "part", each.alias("w")).select("sig", "w.x", "w.y", "w.side", "node", "part").join(marks, "node")
     work = work.select("sig", "x", "y", "side", "node", "part", "size", "sketch").repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y")
-    return work.mapInArrow(_open_pairs(t, most), "u long, v long, more long")
+    return work.mapInArrow(trimmed(_open_pairs(t, most)), "u long, v long, more long")
 
 
 def _merged(linked: DataFrame, more: DataFrame) -> DataFrame:
@@ -334,68 +381,100 @@ def _merged(linked: DataFrame, more: DataFrame) -> DataFrame:
     return parts.join(joined, "part", "left").select("node", F.coalesce("joined", "part").alias("root"))
 
 
-def jaccard_groups(docs: DataFrame, n: int = 3, t: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id (the least doc_id that links reach, the row's own included).
-
-    Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; a text of fewer than ``n`` words is one shingle; null, empty and blank
-    texts have no shingles and link with nothing. Rows with equal sets are linked, also rows that repeat an id; a null id is
-    never the least. An empty table gives no rows; other columns aren't read."""
+def _rooted(docs: DataFrame, n: int, t: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per row of ``docs``: id, n_shingles, node (its set's name, null without one), root (the least node that links reach)."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    nodes = durable(rows.mapInArrow(_nodes(n), "id long, n_shingles long, node long"))
+    nodes = durable(rows.mapInArrow(_nodes(n), "id long, n_shingles long, node long, sketch binary"))
     per_band = (100 - t) / (100 + t) * 2 * BAND * 2
     total = nodes.agg(F.sum(F.col("n_shingles") * per_band + 3)).first()[0] or 0
     buckets = max(shuffle_partitions(spark), math.ceil(total / FLUSH))
-    blocks = rows.select("text").mapInArrow(_signature_blocks(n, t, buckets), "bucket int, sigs binary, nodes binary, links binary")
-    found = durable(blocks.groupBy("bucket").applyInArrow(_bucket_links, "u long, v long").distinct())
-    wanted = durable(found.select(F.col("u").alias("node")).union(found.select(F.col("v"))).distinct())
-    named = durable(nodes.where("id is not null").join(wanted, "node").groupBy("node").agg(F.min("id").alias("id")))
-    named = named.unionByName(nodes.where("id is null").join(wanted, "node").groupBy("node").agg(F.max("id").alias("id")).join(named, "node", "left_anti"))
-    names = durable(named)
-    own = maybe_in(rows.withColumn("key", F.coalesce("id", F.lit(-1))), F.col("key"), names, F.coalesce("id", F.lit(-1))).select("id", "text")
+    blocks = rows.select("text").mapInArrow(_signature_blocks(n, t, buckets), "bucket int, sigs binary, nodes binary, places binary, big binary, links binary")
+    found = durable(blocks.groupBy("bucket").applyInArrow(trimmed(_bucket_links), "u long, v long, open boolean, sig long"))
+    large = found.where("sig is not null").select("sig")
+    found = durable(found.where("sig is null").groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.max("open").alias("open")))
+    wanted = durable(found.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+    known = nodes.join(wanted, "node").groupBy("node").agg(F.min("id").alias("id"), F.max("n_shingles").alias("size"), F.max("sketch").alias("sketch"))
+    marks = durable(known)  # a node's least id, from which its text is found again
 
     def with_node(batches):
         for batch in batches:
             ids = [node_of(s) if len(s) else None for s in sets_of(batch.column(1), n)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.int64())], names=["id", "text", "node"])
 
-    texts = own.mapInArrow(with_node, "id long, text string, node long").alias("o").join(names.alias("m"), (F.col("o.node") == F.col("m.node")) & F.col("o.id").eqNullSafe(F.col("m.id")))
-    texts = durable(texts.select("o.node", "o.text").dropDuplicates(["node"]))
-    marks = durable(texts.mapInArrow(_marks(n), "node long, size long, sketch binary"))
+    def texts_of(some: DataFrame) -> DataFrame:
+        """``some`` (node and more) with the text of each node: only texts whose id may be asked for leave the scan, and each is shuffled once."""
+        asked = some.join(marks.select("node", F.col("id").alias("own")), "node")
+        own = maybe_in(rows.withColumn("key", F.coalesce("id", F.lit(-1))), F.col("key"), asked.select("own"), F.coalesce("own", F.lit(-1))).select("id", "text")
+        # merged, not broadcast, and by the node alone, so that repeated rows of a node meet in the same shuffle
+        same = F.col("id").between(F.col("own"), F.col("own")) | (F.col("id").isNull() & F.col("own").isNull())
+        held = own.mapInArrow(trimmed(with_node), "id long, text string, node long").join(asked.hint("merge"), "node").where(same)
+        return durable(held.dropDuplicates(["node"]).select(*some.columns, "text"))
 
     def check(pairs: DataFrame) -> DataFrame:
         """(u, v, ok): by sizes and sketches, then by the texts of the pairs that are left."""
         side = lambda df, c, cols: df.select(F.col("node").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in cols])
         sized = pairs.join(side(marks, "v", ("size", "sketch")), "v").join(side(marks, "u", ("size", "sketch")), "u")
-        may = durable(sized.mapInArrow(_ruled_out(t), "u long, v long, may boolean"))
+        may = durable(sized.mapInArrow(trimmed(_ruled_out(t)), "u long, v long, open boolean, may boolean"))
         asked = may.where("may")
-        own = maybe_in(texts, F.col("node"), asked.select(F.explode(F.array("u", "v")).alias("node")).distinct(), F.col("node"))
-        left = asked.join(side(own, "v", ("text",)), "v").join(side(own, "u", ("text",)), "u").select("u", "v", "text_u", "text_v")
-        return durable(left.mapInArrow(_checked(n, t), "u long, v long, ok boolean").unionByName(may.where("not may").select("u", "v", F.lit(False).alias("ok"))))
+        own = texts_of(asked.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+        left = asked.join(side(own, "v", ("text",)), "v").join(side(own, "u", ("text",)), "u").select("u", "v", "open", "text_u", "text_v")
+        return durable(left.mapInArrow(trimmed(_checked(n, t)), "u long, v long, open boolean, ok boolean").unionByName(may.where("not may").select("u", "v", "open", F.lit(False).alias("ok"))))
 
-    checked = check(found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    checked = check(found)
     roots, most = durable(components(checked.where("ok").select("u", "v"))), FIRST
-    signed = None if checked.where("not ok").isEmpty() else _open_signatures(checked, roots, texts, marks, n, t)
+    signed = None if checked.where("not ok and open").isEmpty() else _open_signatures(checked, roots, texts_of, marks, large, n, t)
     while signed is not None:
         pairs = durable(_open_links(signed, roots, marks, t, most))
-        new = check(pairs.where("more is null").select("u", "v").distinct().join(checked.select("u", "v"), ["u", "v"], "left_anti"))
+        new = check(pairs.where("more is null").select("u", "v").distinct().withColumn("open", F.lit(True)).join(checked.select("u", "v"), ["u", "v"], "left_anti"))
         roots = durable(_merged(roots, new.where("ok")))
         held = durable(pairs.where("more is not null").select(F.col("more").alias("sig")).distinct())
         if held.isEmpty():
             break
         # the other signatures have sent all their pairs
         signed, checked, most = durable(signed.join(held, "sig")), durable(checked.unionByName(new)), most * MORE
-    rooted = durable(nodes.join(roots, "node", "left").select("id", "n_shingles", F.coalesce("root", "node").alias("root")))
+    return durable(nodes.join(roots, "node", "left").select("id", "n_shingles", "node", F.coalesce("root", "node").alias("root")))
+
+
+def jaccard_groups(docs: DataFrame, n: int = 3, t: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (the least doc_id that links reach, the row's own included).
+
+    Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; a text of fewer than ``n`` words is one shingle; null, empty and blank
+    texts have no shingles and link with nothing. Rows with equal sets are linked, also rows that repeat an id; a null id is
+    never the least. An empty table gives no rows; other columns aren't read."""
+    rooted = _rooted(docs, n, t, id_col, text_col)
     least = durable(rooted.where("root is not null").groupBy("root").agg(F.min("id").alias("least"), F.count("*").alias("n")).where("n > 1"))
     return rooted.join(least, "root", "left").select(F.col("id").alias("doc_id"), "n_shingles", F.when(F.col("least").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, n: int = 5, t: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that remain when of each group of linked documents the one with the least id stays, with all their columns.
-    Rows without an id, and documents without words, stay."""
-    from .common import split_by
-
-    made = jaccard_groups(docs, n, t, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = durable(made)
-    maybe, rest = split_by(docs, F.coalesce(F.col(id_col).cast("long"), F.lit(-1)), gone, F.col("_gone"))
-    return rest.select(*docs.columns).unionByName(maybe.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti").select(*docs.columns))
+    """The rows of ``docs`` that remain when of each group of linked rows one stays, with all their columns, whatever their names.
+
+    The row with the least id stays, null ids after all others; of several rows with this id the one whose set has the least name, and of rows that
+    repeat id and set the one with the least hash over all columns (one of them if they agree in that too). Rows are told apart by id and set, so another row
+    with the id of a dropped one isn't touched. Documents without words stay; an empty table gives no rows."""
+    plain, (id_col, text_col), named = positional(docs, id_col, text_col)
+    rooted = _rooted(plain, n, t, id_col, text_col)
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "node")
+    groups = rooted.where("root is not null").groupBy("root").agg(F.min(first).alias("first"), F.count("*").alias("n")).where("n > 1")
+    kept = durable(groups.select("root", "first.id", "first.node"))
+    # every set of a group of several rows, with the row that stays
+    sets = durable(rooted.where("root is not null").select("node", "root").distinct().join(kept.select("root", F.col("id").alias("kept_id"), F.col("node").alias("kept_node")), "root").select(F.col("node").alias("own_node"), "kept_id", "kept_node"))
+    at = plain.columns.index(text_col)
+
+    def with_node(batches):
+        for batch in batches:
+            ids = [node_of(s) if len(s) else None for s in sets_of(batch.column(at), n)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.int64())], names=[*batch.schema.names, "node"])
+
+    # only rows whose id is some grouped row's are looked at
+    ids = durable(rooted.join(kept.select("root"), "root").select("id").distinct())
+    maybe, rest = split_by(plain, F.coalesce(F.col(id_col).cast("long"), F.lit(-1)), ids, F.coalesce("id", F.lit(-1)))
+    marked = maybe.select(*plain.columns).mapInArrow(trimmed(with_node), T.StructType([*plain.schema.fields, T.StructField("node", T.LongType())]))
+    joined = marked.join(sets, F.col("node") == F.col("own_node"), "left")
+    alone = joined.where("own_node is null")
+    firsts = joined.where("own_node = kept_node").where(F.col(id_col).cast("long").eqNullSafe(F.col("kept_id"))).withColumn("hash", F.xxhash64(*plain.columns))
+    # rows that repeat the one that stays: partial aggregates leave one for each task
+    least = durable(firsts.groupBy("node").agg(F.min("hash").alias("least")))
+    one = firsts.join(least, "node").where("hash = least").dropDuplicates(["node"])
+    return named(rest.select(*plain.columns).unionByName(alone.select(*plain.columns)).unionByName(one.select(*plain.columns)))
