@@ -8,7 +8,7 @@ be compared, and windows in a row mostly share theirs: an anchor's windows trave
 1. Anchors that occur once in the corpus are dropped, by a Bloom filter of the others (of bounded size; a false positive only costs work).
 2. A task that meets a context again, in a larger document, knows that all its windows go. Only the context's first document travels,
    so a passage that a third of all documents share is a single entry for each task.
-3. A bucket of anchors packs its distinct contexts into shards. Each shard's suffix array is sorted by Larsson-Sadakane refinement, doubling
+3. A bucket of anchors packs its distinct contexts into shards, but for those none of whose windows' hashes occurs once more. Each shard's suffix array is sorted by Larsson-Sadakane refinement, doubling
    the depth for those groups that aren't single yet; common prefixes of neighbours come by Kasai's rule. Neighbours with LENGTH
    bytes in common form a run, whose least document counts. Shards are merged by binary search of each one's runs in the merged table.
 4. The spans found are joined with their documents.
@@ -425,6 +425,33 @@ def _least_documents(contexts: list[bytes], docs: np.ndarray) -> list[np.ndarray
     return out
 
 
+def window_hashes(data: np.ndarray) -> np.ndarray:
+    """A hash of the LENGTH bytes from each place on."""
+    two = data[:-1].astype(np.uint16) | data[1:].astype(np.uint16) << np.uint16(8)
+    four = two[:-2].astype(np.uint32) | two[2:].astype(np.uint32) << np.uint32(16)
+    eight = four[:-4].astype(np.uint64) | four[4:].astype(np.uint64) << U(32)
+    n, out = len(data) - LENGTH + 1, None
+    for k, at in enumerate([*range(0, LENGTH - 8, 8), LENGTH - 8]):
+        part = eight[at:at + n] * U((0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) | 1)
+        out = part if out is None else mix(out) + part
+    return mix(out)
+
+
+def _meet(contexts: list[bytes]) -> np.ndarray:
+    """Which contexts may have a window that occurs once more; the others' windows need no search."""
+    lens = np.array([len(c) for c in contexts])
+    windows = lens - LENGTH + 1
+    at = np.arange(int(windows.sum())) + np.repeat(np.cumsum(lens) - lens - (np.cumsum(windows) - windows), windows)
+    names = window_hashes(np.frombuffer(b"".join(contexts), dtype=np.uint8))[at]
+    order = np.argsort(names)
+    again = names[order][1:] == names[order][:-1]
+    found = np.zeros(len(contexts), dtype=bool)
+    owner = np.repeat(np.arange(len(contexts)), windows)
+    found[owner[order[1:][again]]] = True
+    found[owner[order[:-1][again]]] = True
+    return found
+
+
 def _bucket_spans(table: pa.Table) -> pa.Table:
     """(rid, begin, end) of the bytes that go, from one bucket's contexts."""
     ints = lambda c, t=np.int64: np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=t)
@@ -439,7 +466,11 @@ def _bucket_spans(table: pa.Table) -> pa.Table:
     if index:
         least = np.full(len(index), np.iinfo(np.int64).max)
         np.minimum.at(least, which, doc)
-        low = _least_documents([c for _, c in index], least)
+        contexts = [c for _, c in index]
+        meets = np.flatnonzero(_meet(contexts))
+        low = [np.full(len(c) - LENGTH + 1, d) for c, d in zip(contexts, least.tolist())]
+        for k, found_low in zip(meets.tolist(), _least_documents([contexts[k] for k in meets.tolist()], least[meets]) if len(meets) else []):
+            low[k] = found_low
         sizes = np.array([len(x) for x in low])
         low, begins = np.concatenate(low), np.cumsum(sizes) - sizes
         n = sizes[which]
