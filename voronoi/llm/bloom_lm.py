@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, shuffle_partitions
+from .common import durable, shuffle_partitions, trimmed
 from .textvec import lower, mix, row_slices, utf8, word_hashes, word_spans
 
 U = np.uint64
@@ -39,7 +39,7 @@ MAX_BYTES = 256 << 20
 #: Words whose exact counts are broadcast.
 TOP_WORDS = 1 << 19
 #: Tokens that a task counts before it sends the counts on, and distinct n-grams of a bucket on the average.
-FLUSH, BUCKET = 2_000_000, 1_500_000
+FLUSH, BUCKET = 1_500_000, 750_000
 
 
 def level_counts(most: int) -> np.ndarray:
@@ -60,7 +60,7 @@ def level_bounds() -> tuple[np.ndarray, np.ndarray]:
 def tokens(column: pa.Array):
     """(rows i to j of the column, hashes of their words and ends, index of each row's first token) for some rows at a time."""
     data, offsets = utf8(column)
-    for i, j in row_slices(offsets, 2 << 20):
+    for i, j in row_slices(offsets, 1 << 20):
         part, own = lower(data[offsets[i]:offsets[j]]), offsets[i:j + 1] - offsets[i]
         starts, ends, firsts = word_spans(part, own)
         yield i, j, np.insert(word_hashes(part, starts, ends), firsts[1:], END), firsts + np.arange(len(firsts))
@@ -208,8 +208,8 @@ class BloomLm:
         sizes = train.select(F.coalesce(F.octet_length(text_col), F.lit(0)).alias("b")).agg(F.sum("b"), F.count("*")).first()
         self.n_docs = sizes[1]
         buckets = max(shuffle_partitions(spark), math.ceil((sizes[0] or 0) / 6 / BUCKET))
-        counted = train.select(text_col).mapInArrow(_count(buckets), "bucket int, n int, keys binary, counts binary")
-        self.table = durable(counted.groupBy("bucket").applyInArrow(_merge_bucket, _MERGED))
+        counted = train.select(text_col).mapInArrow(trimmed(_count(buckets)), "bucket int, n int, keys binary, counts binary")
+        self.table = durable(counted.groupBy("bucket").applyInArrow(trimmed(_merge_bucket), _MERGED))
         totals = self.table.agg(F.sum("n_tokens"), F.sum("n_words"), F.sum("once")).first()
         self.n_tokens, self.n_words, once = (int(x or 0) for x in totals)
         self.pair_weight = 1 - once / self.n_tokens if self.n_tokens else 0.0
@@ -227,7 +227,7 @@ class BloomLm:
 
     def _arrays(self, buckets: int) -> dict:
         shards = [b""] * buckets
-        for r in self.table.mapInArrow(_shard(self.least), "bucket int, bits binary").toLocalIterator():  # max_bytes together
+        for r in self.table.mapInArrow(trimmed(_shard(self.least)), "bucket int, bits binary").toLocalIterator():  # max_bytes together
             shards[r.bucket] = bytes(r.bits)
         shards = [s or bytes(8) for s in shards]
         sizes = np.array([len(s) for s in shards], dtype=np.int64)
@@ -239,6 +239,10 @@ class BloomLm:
             "top": key[order], "top_counts": count[order].astype(np.int64),
         }
 
+    def release(self) -> None:
+        """Frees what the tasks hold, once what ``score`` gives is written."""
+        self.shared.destroy()
+
     def words(self) -> DataFrame:
         """(word hash, exact count) of all training words."""
 
@@ -249,7 +253,7 @@ class BloomLm:
                     for i in range(0, len(keys), 100_000):
                         yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + 100_000]), pa.array(counts[i:i + 100_000])], names=["word", "count"])
 
-        return self.table.select("words", "word_counts").mapInArrow(run, "word long, count long")
+        return self.table.select("words", "word_counts").mapInArrow(trimmed(run), "word long, count long")
 
     def below_filter(self) -> DataFrame:
         """(order 1 or 2, hash, level) of the training words and pairs that the filter doesn't hold."""
@@ -266,7 +270,7 @@ class BloomLm:
                             part = k[i:i + 100_000]
                             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), order, np.int32)), pa.array(part), pa.array(level[i:i + 100_000])], names=["order", "key", "found"])
 
-        return self.table.select("words", "word_counts", "pairs", "pair_counts").mapInArrow(run, "order int, key long, found int")
+        return self.table.select("words", "word_counts", "pairs", "pair_counts").mapInArrow(trimmed(run), "order int, key long, found int")
 
     def rest(self, scored: DataFrame, rid: str, open_col: str = "_open") -> DataFrame:
         """(rid, rest): the score of the tokens that ``score`` left open, by a join of their words and pairs with the counts below the filter."""
@@ -332,7 +336,10 @@ class BloomLm:
                     first_level[1:] = level[back][:-1]
                     after = np.maximum(high[first_level], 1).astype(float)
                     after[firsts[:-1]] = max(1, n_docs)
-                    pair_level = lm.level(pairs)
+                    # a pair is in the filter only if its words are
+                    maybe = np.flatnonzero((level[back] > 0) & ((first_level > 0) | (before == START)))
+                    pair_level = np.zeros(len(words), dtype=np.int64)
+                    pair_level[maybe] = lm.level(pairs[maybe])
                     pair = np.minimum(low[pair_level] / after, 1.0)
                     score = np.log10((1 - weight) * alone + weight * pair)
                     known = is_top[back]
@@ -357,7 +364,7 @@ class BloomLm:
         fields = [f for f in docs.schema.fields if f.name != text_col]
         open_tokens_type = T.StructType([T.StructField(f.name, T.LongType() if f.type == pa.int64() else T.IntegerType()) for f in open_kind])
         kinds = (T.LongType(), T.LongType(), T.DoubleType(), T.DoubleType(), T.ArrayType(T.LongType()), T.ArrayType(open_tokens_type))
-        return docs.mapInArrow(run, T.StructType([*fields, *[T.StructField(n, k) for n, k in zip(out_names, kinds)]]))
+        return docs.mapInArrow(trimmed(run), T.StructType([*fields, *[T.StructField(n, k) for n, k in zip(out_names, kinds)]]))
 
 
 def fold(id_col: Column, folds: int = 5) -> Column:
@@ -373,6 +380,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), (fold(F.col(id_col), folds) == held).alias("held_out"))
     lm = BloomLm(rows.where("not held_out").select("text"), "text", **how)
     scored = durable(lm.score(rows, "text").withColumn("rid", F.monotonically_increasing_id()))
+    lm.release()
     rare = scored.where("size(_rare) > 0").select("rid", F.explode("_rare").alias("word")).groupBy("rid", "word").agg(F.count("*").alias("tf"))
     counts = lm.words()
     joined = rare.join(counts, "word", "left").withColumn("c", F.coalesce("count", F.lit(0)))
