@@ -47,7 +47,7 @@ def made(tmp_path_factory):
     done = subprocess.run([sys.executable, "-c", textwrap.dedent(RUN), str(ROOT), str(where)], cwd=where, env=env, capture_output=True, text=True, timeout=900)
     lines = [x for x in done.stdout.splitlines() if x.startswith("RESULT")]
     assert lines, done.stderr[-3000:]
-    n = {t: duckdb.sql(f"SELECT count(*) FROM '{where}/{t}.parquet'").fetchone()[0] for t in TABLES}
+    n = {t: duckdb.sql(f"SELECT count(*) FROM '{where}/{t}.parquet'").fetchall()[0][0] for t in TABLES}
     return json.loads(lines[0][len("RESULT"):]), n
 
 
