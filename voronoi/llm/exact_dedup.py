@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, maybe_in, positional, shuffle_partitions, split_by, trimmed
+from .common import durable, maybe_in, positional, split_by, trimmed
 from .textvec import row_slices, utf8
 
 P = (1 << 31) - 1
