@@ -551,6 +551,23 @@ def test_bpe_agrees_with_the_library(spark, docs, rows, none):
     assert bpe.encode_texts(none, spec).count() == 0
 
 
+def test_bpe_hands_on_small_batches():
+    """A large batch of texts leaves the kernel in parts, with the library's ids."""
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    spec = bpe.read_spec(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [None, "", *[f"{k} " + "some words that come again " * 100 for k in range(1500)]]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    made = list(bpe._encoded(spec, True, False)([batch]))
+    assert len(made) > 3 and max(b.nbytes for b in made) < 8 * bpe.BATCH_BYTES
+    rows, library = [r for b in made for r in b.to_pylist()], Tokenizer.from_str(spec)
+    assert [r["doc_id"] for r in rows] == list(range(len(texts)))
+    for r, t in list(zip(rows, texts))[::100]:
+        assert r["ids"] == library.encode(t or "", add_special_tokens=False).ids and r["n_tokens"] == len(r["ids"])
+
+
 # ---- the pipeline -----------------------------------------------------------------
 
 def test_pipeline_chains_its_stages(spark, tmp_path, monkeypatch):

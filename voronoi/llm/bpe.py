@@ -18,14 +18,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import trimmed
+from .common import give_back, trimmed
 from .textvec import row_slices, utf8
 
 #: Fixed by the byte-level format: bytes that stand for themselves; the others follow as code points from 256 on.
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: Bounds of the cache of encoded fragments in each task.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 CACHE_BYTES = 48
+#: Text encoded before its rows are handed on.
+BATCH_BYTES = 1 << 20
 
 
 def byte_chars() -> list[str]:
@@ -183,16 +185,15 @@ _TO_CHAR = {b: c for b, c in enumerate(byte_chars())}
 _TO_BYTE = {ord(c): b for b, c in enumerate(byte_chars())}
 
 
-def encode_texts(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, with_text: bool = False) -> DataFrame:
-    """One row per row: doc_id, n_tokens, ids_sha256, decoded_sha256; optionally ids (array) and decoded (string).
-
-    ``spec`` is the text of the tokenizer file. Null and empty texts have no tokens; other columns are not read."""
+def _encoded(spec: str, with_ids: bool, with_text: bool):
+    """Kernel: batches of (id, text) to batches of the columns of ``encode_texts``, each of about BATCH_BYTES of text."""
 
     def run(batches):
         bpe = ForcedBpe(spec)
+        give_back()  # what the vocabulary took while it was read
         for batch in batches:
             data, offsets = utf8(batch.column(1))
-            for i, j in row_slices(offsets, 8 << 20):  # small results a time
+            for i, j in row_slices(offsets, BATCH_BYTES):
                 n, ids_sha, text_sha, ids, texts = [], [], [], [], []
                 for a, b in zip(offsets[i:j].tolist(), offsets[i + 1:j + 1].tolist()):
                     got = bpe.encode(data[a:b].tobytes())
@@ -201,18 +202,26 @@ def encode_texts(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: s
                     ids_sha.append(hashlib.sha256(got).hexdigest())
                     text_sha.append(hashlib.sha256(back).hexdigest())
                     if with_ids:
-                        ids.append(np.frombuffer(got, dtype="<u4").astype(np.int64))
+                        ids.append(got)
                     if with_text:
                         texts.append(back.decode())
                 cols = {"doc_id": batch.column(0).slice(i, j - i), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
                 if with_ids:
-                    cols["ids"] = pa.array(ids, pa.list_(pa.int64()))
+                    all_ids = np.frombuffer(b"".join(ids), dtype="<u4").astype(np.int64)
+                    cols["ids"] = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(n))).astype(np.int32), pa.array(all_ids))
                 if with_text:
                     cols["decoded"] = pa.array(texts, pa.string())
                 yield pa.RecordBatch.from_pydict(cols)
 
+    return run
+
+
+def encode_texts(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, with_text: bool = False) -> DataFrame:
+    """One row per row: doc_id, n_tokens, ids_sha256, decoded_sha256; optionally ids (array) and decoded (string).
+
+    ``spec`` is the text of the tokenizer file. Null and empty texts have no tokens; other columns are not read."""
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>" * with_ids + ", decoded string" * with_text
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(trimmed(run), schema)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(trimmed(_encoded(spec, with_ids, with_text)), schema)
 
 
 def read_spec(path: str) -> str:

@@ -79,31 +79,33 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def give_back() -> None:
+    """Gives freed memory back to the system."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def trimmed(run):
     """The kernel ``run`` (of batches, or of a group's table), which gives freed memory back to the system when it ends: a worker lives through many tasks and
     would keep what the largest of them has touched."""
 
-    def release():
-        import ctypes
-
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
-        except (OSError, AttributeError):  # another C library
-            pass
-
     def kernel(given):
         if isinstance(given, pa.Table):
             try:
                 return run(given)
             finally:
-                release()
+                give_back()
         return batches(given)
 
     def batches(given):
         try:
             yield from run(given)
         finally:
-            release()
+            give_back()
 
     return kernel

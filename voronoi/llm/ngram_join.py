@@ -37,7 +37,7 @@ BAND = 1.5
 #: Partitionings of the domain after which an empty partition makes a signature all the same.
 TURNS = 4
 #: Signatures held by a task before it sends them on, and in a bucket on the average.
-FLUSH = 500_000
+FLUSH = 250_000
 #: Sets in a block when parts of a group are compared, and bits of a set's sketch.
 BLOCK, SKETCH = 512, 2048
 #: Pairs of a node that the first round sends from a block, and how many times as many the next one does.
@@ -122,7 +122,7 @@ def signatures(features: np.ndarray, t: int) -> np.ndarray:
 def sets_of(column: pa.Array, n: int):
     """The shingle sets of a column of texts, some rows at a time."""
     data, offsets = utf8(column)
-    for i, j in row_slices(offsets, 2 << 20):
+    for i, j in row_slices(offsets, 1 << 20):
         part, own = lower(data[offsets[i]:offsets[j]]), offsets[i:j + 1] - offsets[i]
         starts, ends, firsts = word_spans(part, own)
         yield from shingles(word_hashes(part, starts, ends), firsts, n)
