@@ -338,6 +338,22 @@ def test_log_frequency_filter():
     assert (lm.level(rng.integers(0, 2**63, 20000, dtype=np.uint64)) > 0).mean() < 0.04
 
 
+def test_log_frequency_filter_keeps_frequent_levels(monkeypatch):
+    """Frequent n-grams that come again aren't probed again, and have the same level."""
+    import pyarrow as pa
+
+    keys = np.random.default_rng(3).integers(0, 2**63, 2000, dtype=np.uint64)
+    counts = np.full(len(keys), 1000, dtype=np.int64)
+    batch = pa.RecordBatch.from_pydict({"bucket": pa.array([0], pa.int32()), "words": [keys.tobytes()], "word_counts": [counts.tobytes()], "pairs": [b""], "pair_counts": [b""]})
+    bits = next(bloom_lm._shard(1)([batch])).column("bits")[0].as_py()
+    lm = bloom_lm.Filter(np.frombuffer(bits, dtype=np.uint8), np.array([0]), np.array([len(bits) * 8]))
+    probed, plain = [], bloom_lm.probe
+    monkeypatch.setattr(bloom_lm, "probe", lambda *a: probed.append(len(a[0])) or plain(*a))
+    first, once = lm.level(keys).tolist(), sum(probed)
+    assert lm.level(keys).tolist() == first and sum(probed) - once < once / 10
+    assert lm.level(np.concatenate((keys[:5], keys[:5]))).tolist() == first[:5] * 2
+
+
 # ---- mixing -------------------------------------------------------------------
 
 def test_mixing(spark, rows, docs, none):

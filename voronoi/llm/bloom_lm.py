@@ -38,6 +38,8 @@ PROBES, ENTRY_BITS = 6, 8.7
 MAX_BYTES = 256 << 20
 #: Words whose exact counts are broadcast.
 TOP_WORDS = 1 << 19
+#: N-grams whose levels a task keeps (a power of 2), and n-grams probed together.
+KNOWN, PROBED = 1 << 20, 1 << 16
 #: Tokens that a task counts before it sends the counts on, and distinct n-grams of a bucket on the average.
 FLUSH, BUCKET = 1_500_000, 750_000
 
@@ -144,10 +146,15 @@ def _merge_bucket(table: pa.Table) -> pa.Table:
 _MERGED = "bucket int, words binary, word_counts binary, pairs binary, pair_counts binary, n_tokens long, n_words long, once long, word_levels array<long>, pair_levels array<long>"
 
 
-def probe(keys: np.ndarray, level: int, i: int, bits: np.ndarray | np.uint64) -> np.ndarray:
-    """The i-th place of (key, level) in a shard of so many bits."""
+def probe_hashes(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """What the places of (key, level) are made of: a hash and the step from one place to the next."""
     h = mix(keys + U(level * 0x9E3779B97F4A7C15 % (1 << 64)))
-    return (((h + U(i) * (mix(h ^ U(0xA24BAED4963EE407)) | U(1))) >> U(32)) * bits) >> U(32)
+    return h, mix(h ^ U(0xA24BAED4963EE407)) | U(1)
+
+
+def probe(h: np.ndarray, step: np.ndarray, i: int, bits: np.ndarray | np.uint64) -> np.ndarray:
+    """The i-th place of the keys with these ``probe_hashes`` in a shard of so many bits."""
+    return (((h + U(i) * step) >> U(32)) * bits) >> U(32)
 
 
 def _shard(least: int):
@@ -163,8 +170,9 @@ def _shard(least: int):
                 bits = max(64, 64 * math.ceil(int(level.sum()) * ENTRY_BITS / 64))
                 made = np.zeros(bits // 8, dtype=np.uint8)
                 for q in range(1, int(level.max(initial=0)) + 1):
+                    own = probe_hashes(keys[level >= q], q)
                     for i in range(PROBES):
-                        at = probe(keys[level >= q], q, i, U(bits))
+                        at = probe(*own, i, U(bits))
                         np.bitwise_or.at(made, (at >> U(3)).astype(np.int64), U(1).astype(np.uint8) << (at & U(7)).astype(np.uint8))
                 yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([made.tobytes()], pa.binary())], names=["bucket", "bits"])
 
@@ -172,31 +180,45 @@ def _shard(least: int):
 
 
 class Filter:
-    """The shards of a log-frequency Bloom filter."""
+    """The shards of a log-frequency Bloom filter. The levels of frequent n-grams, which take the most probes, are kept once they are found."""
 
     def __init__(self, bits: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
         self.bits, self.starts, self.sizes = bits, starts, sizes  # sizes in bits, starts in bytes
+        self.known, self.known_level = np.zeros(KNOWN, dtype=np.uint64), np.zeros(KNOWN, dtype=np.uint8)  # level 0: nothing is kept here
 
     def level(self, keys: np.ndarray) -> np.ndarray:
-        """The level of each key, 0 if it is absent: repeated probes, for ever fewer keys."""
+        """The level of each key, 0 if it is absent."""
         out = np.zeros(len(keys), dtype=np.int64)
+        for i in range(0, len(keys), PROBED):
+            part = keys[i:i + PROBED]
+            place = (part & U(KNOWN - 1)).astype(np.int64)
+            level = np.where(self.known[place] == part, self.known_level[place], 0)
+            new = np.flatnonzero(level == 0)
+            level[new] = self._probed(part[new])
+            # of two n-grams with one place the more frequent one stays
+            new = new[level[new] > self.known_level[place[new]]]
+            self.known[place[new]] = part[new]
+            new = new[self.known[place[new]] == part[new]]
+            self.known_level[place[new]] = level[new]
+            out[i:i + PROBED] = level
+        return out
+
+    def _probed(self, keys: np.ndarray) -> np.ndarray:
+        """The level of each key by repeated probes, for ever fewer keys."""
+        out = np.zeros(len(keys), dtype=np.uint8)
         bucket = _bucket_of(keys, len(self.sizes))
         start, size = self.starts[bucket], self.sizes[bucket].astype(np.uint64)
         left = np.arange(len(keys))
-        q = 1
-        while len(left):
-            found = left
+        for q in range(1, len(LEVELS) + 1):
+            h, step = probe_hashes(keys, q)
             for i in range(PROBES):
-                at = probe(keys[found], q, i, size[found])
-                byte = self.bits[start[found] + (at >> U(3)).astype(np.int64)]
-                found = found[(byte >> (at & U(7)).astype(np.uint8)) & 1 == 1]
-                if not len(found):
-                    break
-            out[found] = q
-            left = found
-            q += 1
-            if q > len(LEVELS):
+                at = probe(h, step, i, size)
+                hit = np.flatnonzero((self.bits[start + (at >> U(3)).astype(np.int64)] >> (at & U(7)).astype(np.uint8)) & 1)
+                if len(hit) < len(left):
+                    keys, left, start, size, h, step = (x[hit] for x in (keys, left, start, size, h, step))
+            if not len(left):
                 break
+            out[left] = q
         return out
 
 
