@@ -281,6 +281,30 @@ def test_shards_merge(monkeypatch):
         assert x.tolist() == [least[c[k:k + 50]] for k in range(len(c) - 49)]
 
 
+def test_bucket_spans_work_on_distinct_contexts(monkeypatch):
+    """Equal contexts of one bucket are searched once, none of them as an object of its own; spans are those of plain comparison."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    passage = rng.integers(0, 256, 78, dtype=np.uint8).tobytes()
+    contexts = [passage, passage, passage[3:70], passage[:60], *[rng.integers(0, 256, 60, dtype=np.uint8).tobytes() for _ in range(30)], passage]
+    docs = np.array([9, 4, 7, 2, *range(100, 130), 4])
+    rid, begin, lens = np.arange(len(docs)) + 1000, np.arange(len(docs)) * 10, np.array([len(c) for c in contexts])
+    as_bytes = lambda x, t=np.int64: x.astype(t).tobytes()
+    row = {"bucket": 0, "text": b"".join(contexts), "lens": as_bytes(lens, np.uint8), "leads": bytes(len(docs)), "doc": as_bytes(docs), "rid": as_bytes(rid), "begin": as_bytes(begin), "spans": b""}
+    full, made = np.full, []
+    monkeypatch.setattr(np, "full", lambda *a, **k: made.append(a) or full(*a, **k))
+    got = suffix_dedup._bucket_spans(pa.Table.from_pylist([row], schema=suffix_dedup._BLOCK)).to_pylist()
+    assert len(made) < 10
+    least: dict = {}
+    for c, d in zip(contexts, docs.tolist()):
+        for k in range(len(c) - 49):
+            least[c[k:k + 50]] = min(least.get(c[k:k + 50], d), d)
+    gone = lambda spans: {(r, x) for r, a, b in spans for x in range(a, b)}
+    want = [(r, b + k, b + k + 50) for c, d, r, b in zip(contexts, docs.tolist(), rid.tolist(), begin.tolist()) for k in range(len(c) - 49) if least[c[k:k + 50]] < d]
+    assert gone((x["rid"], x["begin"], x["end"]) for x in got) == gone(want) and want
+
+
 # ---- language model --------------------------------------------------------------
 
 def test_bloom_lm(docs, rows, none):

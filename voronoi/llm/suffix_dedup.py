@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import durable, shuffle_partitions, split_by, trimmed
-from .textvec import mix, utf8, word_hashes
+from .textvec import mix, row_slices, utf8, word_hashes
 
 U = np.uint64
 LENGTH, GRAM = 50, 20
@@ -425,31 +425,56 @@ def _least_documents(contexts: list[bytes], docs: np.ndarray) -> list[np.ndarray
     return out
 
 
-def window_hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of the LENGTH bytes from each place on."""
-    two = data[:-1].astype(np.uint16) | data[1:].astype(np.uint16) << np.uint16(8)
-    four = two[:-2].astype(np.uint32) | two[2:].astype(np.uint32) << np.uint32(16)
-    eight = four[:-4].astype(np.uint64) | four[4:].astype(np.uint64) << U(32)
-    n, out = len(data) - LENGTH + 1, None
-    for k, at in enumerate([*range(0, LENGTH - 8, 8), LENGTH - 8]):
-        part = eight[at:at + n] * U((0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) | 1)
-        out = part if out is None else mix(out) + part
-    return mix(out)
+def window_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A hash of the LENGTH bytes from each start on."""
+    out = np.empty(len(starts), dtype=np.uint64)
+    order = [*range(0, LENGTH - 8, 8), LENGTH - 8]
+    for i in range(0, len(data) - LENGTH + 1, STEP // 8):  # little at a time stays in the processor's cache
+        part = data[i:i + STEP // 8 + LENGTH - 1]
+        two = part[:-1].astype(np.uint16) | part[1:].astype(np.uint16) << np.uint16(8)
+        four = two[:-2].astype(np.uint32) | two[2:].astype(np.uint32) << np.uint32(16)
+        eight = mix(four[:-4].astype(np.uint64) | four[4:].astype(np.uint64) << U(32))
+        n = len(part) - LENGTH + 1
+        made = eight[:n].copy()
+        for k, at in enumerate(order[1:], 1):
+            made += eight[at:at + n] * U((0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) | 1)
+        x, y = np.searchsorted(starts, (i, i + n))
+        out[x:y] = made[starts[x:y] - i]
+    return out
 
 
-def _meet(contexts: list[bytes]) -> np.ndarray:
-    """Which contexts may have a window that occurs once more; the others' windows need no search."""
-    lens = np.array([len(c) for c in contexts])
-    windows = lens - LENGTH + 1
-    at = np.arange(int(windows.sum())) + np.repeat(np.cumsum(lens) - lens - (np.cumsum(windows) - windows), windows)
-    names = window_hashes(np.frombuffer(b"".join(contexts), dtype=np.uint8))[at]
-    order = np.argsort(names)
-    again = names[order][1:] == names[order][:-1]
-    found = np.zeros(len(contexts), dtype=bool)
-    owner = np.repeat(np.arange(len(contexts)), windows)
-    found[owner[order[1:][again]]] = True
-    found[owner[order[:-1][again]]] = True
-    return found
+def _windows(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Where the windows of contexts start."""
+    n = lens - LENGTH + 1
+    return np.arange(int(n.sum())) + np.repeat(starts - (np.cumsum(n) - n), n)
+
+
+def _distinct(data, starts, lens, lead, names) -> tuple[np.ndarray, np.ndarray]:
+    """(first of the entries of each distinct context, its number by entry). ``names`` are hashes; an entry that differs from the first of its
+    hash counts as a context of its own."""
+    order = np.argsort(names, kind="stable")
+    new = np.append(True, names[order][1:] != names[order][:-1])
+    first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    late = np.flatnonzero(~new)
+    new[late[~_equal(data, starts, lens, lead, order[late], first[late])]] = True
+    of_first = np.empty(len(order), dtype=np.int64)
+    of_first[order[new]] = np.arange(int(new.sum()))
+    which = np.empty(len(order), dtype=np.int64)
+    which[order] = of_first[np.where(new, order, first)]
+    return order[new], which
+
+
+def _meet(names: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """Which contexts may have a window that occurs once more, from the hashes of all their windows; the others' windows need no search."""
+    each = np.sort(names)
+    more = each[1:][each[1:] == each[:-1]]
+    bits = 1 << max(10, (16 * len(more)).bit_length())
+    again = np.zeros(bits, dtype=bool)
+    again[(more & U(bits - 1)).astype(np.int64)] = True
+    found = again[(names & U(bits - 1)).astype(np.int64)]
+    maybe = np.flatnonzero(found)
+    found[maybe] = more[np.minimum(np.searchsorted(more, names[maybe]), len(more) - 1)] == names[maybe]
+    return np.logical_or.reduceat(found, np.cumsum(windows) - windows)
 
 
 def _bucket_spans(table: pa.Table) -> pa.Table:
@@ -457,26 +482,32 @@ def _bucket_spans(table: pa.Table) -> pa.Table:
     ints = lambda c, t=np.int64: np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=t)
     lens, leads, doc, rid, begin = ints("lens", np.uint8).astype(np.int64), ints("leads", np.uint8), ints("doc"), ints("rid"), ints("begin")
     found = [ints("spans").reshape(-1, 3)]
-    raw = b"".join(table.column("text").to_pylist())
-    index: dict[tuple[int, bytes], int] = {}
-    which = np.empty(len(lens), dtype=np.int64)
-    ends = np.cumsum(lens)
-    for k, (i, j, lead) in enumerate(zip((ends - lens).tolist(), ends.tolist(), leads.tolist())):
-        which[k] = index.setdefault((lead, raw[i:j]), len(index))
-    if index:
-        least = np.full(len(index), np.iinfo(np.int64).max)
+    data = ints("text", np.uint8)
+    if len(lens):
+        ends = np.cumsum(lens)
+        starts = ends - lens
+        # the first and the last window hold all bytes of a context, which is shorter than two
+        two = window_hashes(data, np.stack((starts, ends - LENGTH), axis=1).ravel()).reshape(-1, 2)
+        name = mix(two[:, 0] * U(0xD6E8FEB86659FD93) + two[:, 1]) + (lens << 8 | leads).astype(np.uint64)
+        of, which = _distinct(data, starts, lens, leads, name)
+        least = np.full(len(of), np.iinfo(np.int64).max)
         np.minimum.at(least, which, doc)
-        contexts = [c for _, c in index]
-        meets = np.flatnonzero(_meet(contexts))
-        low = [np.full(len(c) - LENGTH + 1, d) for c, d in zip(contexts, least.tolist())]
-        for k, found_low in zip(meets.tolist(), _least_documents([contexts[k] for k in meets.tolist()], least[meets]) if len(meets) else []):
-            low[k] = found_low
-        sizes = np.array([len(x) for x in low])
-        low, begins = np.concatenate(low), np.cumsum(sizes) - sizes
-        n = sizes[which]
-        entry = np.repeat(np.arange(len(which)), n)
+        order = np.argsort(of)  # as they stand in the text
+        windows = lens[of] - LENGTH + 1
+        meets = np.zeros(len(of), dtype=bool)
+        meets[order] = _meet(window_hashes(data, _windows(starts[of[order]], lens[of[order]])), windows[order])
+        low, upto = np.repeat(least, windows), np.cumsum(windows)
+        if meets.any():
+            searched = [data[i:i + n].tobytes() for i, n in zip(starts[of[meets]].tolist(), lens[of[meets]].tolist())]
+            low[np.repeat(meets, windows)] = np.concatenate(_least_documents(searched, least[meets]))
+        # a context that an earlier document has goes as a whole; of a first document's the windows that occur elsewhere in an earlier one
+        later = np.flatnonzero(doc > least[which])
+        found.append(np.stack((rid[later], begin[later], begin[later] + lens[later]), axis=1))
+        own = np.flatnonzero((doc == least[which]) & (np.minimum.reduceat(low, upto - windows) < least)[which])
+        n = windows[which[own]]
+        entry = np.repeat(own, n)
         window = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        goes = low[begins[which[entry]] + window] < doc[entry]
+        goes = low[(upto - windows)[which[entry]] + window] < doc[entry]
         entry, window = entry[goes], window[goes]
         if len(entry):
             new = np.flatnonzero(np.concatenate(([True], (entry[1:] != entry[:-1]) | (window[1:] != window[:-1] + 1))))
@@ -490,20 +521,31 @@ def _bucket_spans(table: pa.Table) -> pa.Table:
 def _cut(batches):
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
-        out = []
-        for i, spans in enumerate(batch.column("spans").to_pylist()):
-            raw = data[offsets[i]:offsets[i + 1]]
-            if spans:
-                begins, ends = merged(np.array([s["begin"] for s in spans]), np.array([s["end"] for s in spans]))
-                edge = np.zeros(len(raw) + 1, dtype=np.int8)
-                edge[begins] += 1
-                edge[ends] -= 1
-                out.append((len(raw), int((ends - begins).sum()), len(begins), raw[np.cumsum(edge[:-1]) == 0].tobytes()))
-            else:
-                out.append((len(raw), 0, 0, raw.tobytes()))
-        n, removed, spans, kept = zip(*out) if out else ([], [], [], [])
+        spans = batch.column("spans")
+        counts = spans.value_lengths().fill_null(0).to_numpy()
+        upto = np.concatenate(([0], np.cumsum(counts)))
+        begins, ends = (spans.flatten().field(k).to_numpy() for k in (0, 1))
+        n_removed, n_spans, kept = [], [], []
+        for i, j in row_slices(offsets, COPY_BYTES):
+            base, raw = offsets[i], data[offsets[i]:offsets[j]]
+            shift = np.repeat(offsets[i:j] - base, counts[i:j])
+            edge = np.zeros(len(raw) + 1, dtype=np.int32)
+            np.add.at(edge, begins[upto[i]:upto[j]] + shift, 1)
+            np.add.at(edge, ends[upto[i]:upto[j]] + shift, -1)
+            gone = np.cumsum(edge[:-1]) > 0
+            first = gone.copy()  # of a run; spans that touch are one, those of two rows aren't
+            first[1:] &= ~gone[:-1]
+            begin = offsets[i:j][np.diff(offsets[i:j + 1]) > 0] - base
+            first[begin] = gone[begin]
+            row = np.concatenate(([0], np.cumsum(gone)))[offsets[i:j + 1] - base]
+            n_removed.append(np.diff(row))
+            n_spans.append(np.diff(np.concatenate(([0], np.cumsum(first)))[offsets[i:j + 1] - base]))
+            left, at = raw[~gone].tobytes(), (offsets[i:j + 1] - base - row).tolist()
+            kept += [left[x:y] for x, y in zip(at[:-1], at[1:])]
+        digests = [hashlib.sha256(k).hexdigest() for k in kept]
+        together = lambda parts: pa.array(np.concatenate(parts) if parts else [], pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()), pa.array(kept, pa.binary())],
+            [batch.column("id"), pa.array(np.diff(offsets), pa.int64()), together(n_removed), together(n_spans), pa.array(digests, pa.string()), pa.array(kept, pa.binary())],
             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
         )
 
