@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -152,6 +153,74 @@ def test_signatures_are_shared():
                     assert np.intersect1d(ngram_join.signatures(a, t), ngram_join.signatures(b, t)).size
 
 
+def test_open_pairs_grow_with_parts():
+    """Of a block each part sends a pair, not each node of it; in the end all pairs between parts are sent."""
+    base = np.random.default_rng(6).integers(0, 2**63, 200, dtype=np.uint64)
+    bits = ngram_join.sketch(np.unique(base)).tobytes()
+    names = ["sig", "x", "y", "side", "node", "part", "size", "sketch"]
+
+    def sent(parts, most):
+        rows = [(9, 0, 0, 2, 1000 + k, p, 200, bits) for k, p in enumerate(parts)] + [(9, 0, 1, 0, 1000 + k, p, 200, bits) for k, p in enumerate(parts)] + [(9, 0, 1, 1, 5000, 77, 200, bits)]
+        batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
+        made = pa.Table.from_batches([*ngram_join._open_pairs(80, most)(iter([batch]))]).to_pylist()
+        return {(r["u"], r["v"]) for r in made if r["more"] is None}, [r["more"] for r in made if r["more"] is not None]
+
+    two = [1] * 60 + [2] * 60
+    pairs, more = sent(two, ngram_join.FIRST)
+    assert 1 <= len(pairs) <= 5 and more == [9]
+    alone = [*range(150)]
+    pairs, more = sent(alone, ngram_join.FIRST)
+    assert len(pairs) <= 2 * 150 and more == [9] and {k for p in pairs for k in p} >= {1000 + k for k in alone}
+    every = {(1000 + a, 1000 + b) for a in range(60) for b in range(60, 120)} | {(1000 + a, 5000) for a in range(120)}
+    assert sent(two, 1 << 14) == (every, [])
+
+
+def test_wide_sketches():
+    """Long sets with little in common are ruled out by their wide sketches, similar ones never; a wide sketch folds to the narrow one."""
+    rng = np.random.default_rng(7)
+    a, b = (np.unique(rng.integers(0, 2**63, k, dtype=np.uint64)) for k in (6000, 5500))
+    near = np.unique(np.concatenate((a[600:], rng.integers(0, 2**63, 500, dtype=np.uint64))))
+    assert ngram_join.similar(a, near, 80) and ngram_join.wide_sketch(a[:1000]) is None
+    assert (ngram_join.folded(np.frombuffer(ngram_join.wide_sketch(a), np.uint64), 2048) == ngram_join.sketch(a)).all()
+    sets = [a, near, b, np.unique(np.concatenate((b[:2000], a[:3500]))), np.unique(np.concatenate((a, rng.integers(0, 2**63, 1200, dtype=np.uint64))))]
+    pairs = [(x, y) for x in sets for y in sets]
+    batch = pa.RecordBatch.from_pydict({
+        "u": [0] * len(pairs), "v": [1] * len(pairs), "open": [True] * len(pairs), "size_u": [len(x) for x, _ in pairs], "size_v": [len(y) for _, y in pairs],
+        "wide_u": [ngram_join.wide_sketch(x) for x, _ in pairs], "wide_v": [ngram_join.wide_sketch(y) for _, y in pairs],
+    })
+    (got,) = ngram_join._wide_ruled_out(80)(iter([batch]))
+    may = got.column("may").to_pylist()
+    assert may == [ngram_join.similar(x, y, 80) for x, y in pairs]
+
+
+def test_ngram_join_hands_on_few_texts(spark, monkeypatch):
+    """Only texts of pairs that sketches can't rule out are shuffled and written, not those of all sets with open signatures."""
+    long, rng = prose(41, 4000).split(), np.random.default_rng(42)
+    rows = []
+    for k in range(40):  # a passage in common, too little for a link
+        words = prose(50 + k, 4000).split()
+        words[:1200] = long[:1200]
+        rows.append((k, " ".join(words)))
+    for k in range(60):
+        words = prose(100 + k, 24).split()
+        words[:14] = long[:14]
+        rows.append((100 + k, " ".join(words)))
+    rows.append((200, rows[0][1] + " and more"))
+    texts, durable = [], ngram_join.durable
+
+    def counted(df):
+        made = durable(df)
+        texts.extend([made.count()] if "text" in made.columns else [])
+        return made
+
+    monkeypatch.setattr(ngram_join, "durable", counted)
+    order = rng.permutation(len(rows))
+    got = ngram_join.jaccard_groups(spark.createDataFrame([rows[i] for i in order], "doc_id long, text string"), 5, 80)
+    groups = {r.doc_id: r.component_id for r in got.collect()}
+    assert groups == {i: 0 if i == 200 else i for i, _ in rows}
+    assert sum(texts) <= 10
+
+
 def test_keep_one(docs, none):
     got = ngram_join.keep_one(docs, 5, 80)
     ids = collections.Counter(r.doc_id for r in got.collect())

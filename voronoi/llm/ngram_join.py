@@ -12,9 +12,12 @@ partitioning of the domain, and so on.
 
 Equal sets are one node. Candidates never become all pairs of a group: each task and then each bucket links a signature's nodes to its
 least node. These links are checked exactly. Where the checked links leave a candidate group in several parts, the nodes of different
-parts that share a signature are compared by sketches, block by block. Of what these don't rule out each node sends a few pairs, which
+parts that share a signature are compared by sketches, block by block. Of what these don't rule out each part sends a few pairs, which
 are checked exactly; their links join parts, and the next round asks for more pairs of the parts that are left, until a round has none
-that it held back. So the pairs sent grow with the nodes, not with their square, and none that could join two parts is left out.
+that it held back. So the pairs sent grow with the parts, not with their square, and none that could join two parts is left out.
+
+Signatures are made again where the texts lie, so that only texts of pairs that are checked travel. Sets that outgrow the sketch have a wide one
+besides, which travels for pairs that the other one lets pass, before their texts do.
 """
 
 from __future__ import annotations
@@ -40,8 +43,8 @@ TURNS = 4
 FLUSH = 250_000
 #: Sets in a block when parts of a group are compared, and bits of a set's sketch.
 BLOCK, SKETCH = 512, 2048
-#: Pairs of a node that the first round sends from a block, and how many times as many the next one does.
-FIRST, MORE = 2, 8
+#: Pairs of a part that the first round sends from a block, and how many times as many the next one does.
+FIRST, MORE = 1, 16
 
 
 #: What the two functions below have found; a plain table, so that kernels that use them travel by value.
@@ -136,9 +139,9 @@ def node_of(features: np.ndarray) -> int:
 def _nodes(n: int):
     def run(batches):
         for batch in batches:
-            sets = [(len(s), node_of(s), sketch(s).tobytes()) if len(s) else (0, None, None) for s in sets_of(batch.column(1), n)]
-            cols = zip(*sets) if sets else [(), (), ()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary())))], names=["id", "n_shingles", "node", "sketch"])
+            sets = [(len(s), node_of(s), sketch(s).tobytes(), wide_sketch(s)) if len(s) else (0, None, None, None) for s in sets_of(batch.column(1), n)]
+            cols = zip(*sets) if sets else [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.binary())))], names=["id", "n_shingles", "node", "sketch", "wide"])
 
     return trimmed(run)
 
@@ -249,13 +252,24 @@ def _checked(n: int, t: int):
     return run
 
 
-def sketch(features: np.ndarray) -> np.ndarray:
-    """Parities of the numbers of features in SKETCH cells, as 64-bit words. Two sketches differ in no more bits than their sets do in
+def sketch(features: np.ndarray, cells: int = SKETCH) -> np.ndarray:
+    """Parities of the numbers of features in ``cells`` cells, as 64-bit words. Two sketches differ in no more bits than their sets do in
     features, so that a pair with too many differing bits can be ruled out."""
-    odd = np.bincount((mix(features ^ U(0x5851F42D4C957F2D)) % U(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    odd = np.bincount((mix(features ^ U(0x5851F42D4C957F2D)) % U(cells)).astype(np.int64), minlength=cells) & 1
     return np.packbits(odd.astype(bool)).view(np.uint64)
 
 
+def wide_sketch(features: np.ndarray) -> bytes | None:
+    """A sketch of two to four cells a feature, where that is more than SKETCH: in fewer cells sets with nothing in common differ by too few bits."""
+    cells = 1 << (2 * len(features) - 1).bit_length()
+    return sketch(features, cells).tobytes() if cells > SKETCH else None
+
+
+def folded(words: np.ndarray, cells: int) -> np.ndarray:
+    """A sketch made from a larger one: both numbers of cells are powers of two, so cells with equal remainders become one."""
+    return np.bitwise_xor.reduce(words.reshape(-1, cells // 64), axis=0)
+
+
 def may_be_similar(x: np.ndarray, x_size: np.ndarray, y: np.ndarray, y_size: np.ndarray, t: int) -> np.ndarray:
     """Row by row: False only for sets that can't be linked, by their sizes and sketches."""
     differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
@@ -277,39 +291,64 @@ def _ruled_out(t: int):
     return run
 
 
+def _wide_ruled_out(t: int):
+    """As ``_ruled_out``, for pairs with wide sketches, as wide as the narrower of the two."""
+
+    def run(batches):
+        for batch in batches:
+            may = []
+            for a, b, m, k in zip(*(batch.column(c).to_pylist() for c in ("wide_u", "wide_v", "size_u", "size_v"))):
+                cells = min(len(a), len(b)) * 8
+                x, y = (folded(np.frombuffer(w, np.uint64), cells)[None] for w in (a, b))
+                may.append(bool(may_be_similar(x, np.array([m]), y, np.array([k]), t)[0]))
+            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), batch.column("open"), pa.array(may, pa.bool_())], names=["u", "v", "open", "may"])
+
+    return run
+
+
 def _signed(n: int, t: int):
-    """(sig, node, part) for every signature of the rows (node, part, text)."""
+    """(sig, node) for every signature of a column of texts."""
 
     def run(batches):
         for batch in batches:
-            node, part = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            made = [(np.unique(signatures(x, t) >> U(16)) << U(16)).view(np.int64) for x in sets_of(batch.column(2), n)]  # as the blocks have them
-            lens = [len(x) for x in made]
-            if sum(lens):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(made)), pa.array(np.repeat(node, lens)), pa.array(np.repeat(part, lens))], names=["sig", "node", "part"])
+            sets = [x for x in sets_of(batch.column(0), n) if len(x)]
+            made = [(np.unique(signatures(x, t) >> U(16)) << U(16)).view(np.int64) for x in sets]  # as the blocks have them
+            if made:
+                node = np.repeat(np.array([node_of(x) for x in sets], np.int64), [len(x) for x in made])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(made)), pa.array(node)], names=["sig", "node"])
 
     return run
 
 
 def _open_pairs(t: int, most: int):
     """Pairs (u, v) of different parts that may be linked, from rows sorted by (sig, x, y); side 0 is compared with side 1, side 2 with
-    itself. A node sends ``most`` pairs of a block, half of them those most alike, half those of the least nodes; where it had others, a
-    row has the signature as ``more``."""
+    itself. A part sends ``most`` pairs of a block, half of them (or one) those most alike, half those of the least nodes; where a block
+    had others, a row has the signature as ``more``."""
 
     def compare(rows: list, out: set) -> bool:
         node, part, size = (np.array([r[k] for r in rows]) for k in (1, 2, 3))
         bits = np.frombuffer(b"".join(r[4] for r in rows), dtype=np.uint64).reshape(len(rows), -1)
         side = np.array([r[0] for r in rows])
-        right, more = np.flatnonzero(side != 0), False
+        found = []
         for i in np.flatnonzero(side != 1):
-            j = right[part[right] != part[i]]
+            j = np.flatnonzero(side == 1) if side[i] == 0 else np.arange(i + 1, len(rows))
+            j = j[part[j] != part[i]]
             j = j[may_be_similar(bits[j], size[j], bits[i], size[i], t)]
-            if len(j) > most:
-                differ = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                alike = np.lexsort((node[j], differ / (size[j] + size[i])))[: most // 2]
-                j, more = j[np.union1d(alike, np.argsort(node[j])[: most // 2])], True
-            out.update((min(int(node[i]), k), max(int(node[i]), k)) for k in node[j].tolist())
-        return more
+            if len(j):
+                found.append(np.stack((np.full(len(j), i), j)))
+        if not found:
+            return False
+        i, j = np.concatenate(found, axis=1)
+        u, v = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+        alike = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64) / (size[i] + size[j])
+        sent, own, pair = np.zeros(len(i), bool), np.concatenate((part[i], part[j])), np.tile(np.arange(len(i)), 2)
+        for few, keys in ((max(1, most // 2), (v[pair], u[pair], alike[pair])), (most // 2, (v[pair], u[pair]))):
+            order = np.lexsort((*keys, own))
+            begin = np.flatnonzero(np.append(True, own[order][1:] != own[order][:-1]))
+            rank = np.arange(len(order)) - np.repeat(begin, np.diff(np.append(begin, len(order))))
+            sent[pair[order[rank < few]]] = True
+        out.update(zip(u[sent].tolist(), v[sent].tolist()))
+        return not sent.all()
 
     def run(batches):
         out, held, piece, rows = set(), set(), None, []
@@ -336,22 +375,20 @@ def _open_pairs(t: int, most: int):
     return run
 
 
-def _open_signatures(checked: DataFrame, linked: DataFrame, texts_of, marks: DataFrame, large: DataFrame, n: int, t: int) -> DataFrame:
+def _open_signatures(checked: DataFrame, linked: DataFrame, signed_of, marks: DataFrame, large: DataFrame) -> DataFrame:
     """(sig, node) of the signatures that lie in several parts (components of the checked links).
 
     Such a signature, if it has more than two nodes, holds a refused link between two parts: its nodes reach its least node by links of the tasks and of the bucket, and
     these can't all stay in one part. So the signatures of the nodes on such links tell which ones lie in several parts. ``large`` has the
-    signatures of more than two nodes; the others are settled by the check of their one link."""
+    signatures of more than two nodes; the others are settled by the check of their one link. Every node of a signature found has a link, so ``marks`` has it."""
     nodes = durable(_parted(marks.select("node"), linked))
     end = lambda c: nodes.select(F.col("node").alias(c), F.col("part").alias(f"part_{c}"))
     across = checked.where("not ok and open").join(end("u"), "u").join(end("v"), "v").where("part_u <> part_v")
     ends = durable(across.select(F.explode(F.array("u", "v")).alias("node")).distinct())
-    signed = lambda some: some.mapInArrow(trimmed(_signed(n, t)), "sig long, node long, part long")
-    first = maybe_in(signed(texts_of(nodes.join(ends, "node"))), F.col("sig"), large, F.col("sig"), 1 << 26)
+    first = signed_of(ends, large).join(nodes, "node")
     shared = durable(first.groupBy("sig").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("sig"))
-    nodes = texts_of(nodes)
     # the bitmap is only a first sieve, so that few signatures are shuffled; the join decides
-    return durable(maybe_in(signed(nodes), F.col("sig"), shared, F.col("sig"), 1 << 26).join(shared, "sig").select("sig", "node"))
+    return durable(signed_of(nodes, shared).join(shared, "sig").select("sig", "node").distinct())
 
 
 def _parted(nodes: DataFrame, linked: DataFrame) -> DataFrame:
@@ -385,7 +422,7 @@ def _rooted(docs: DataFrame, n: int, t: int, id_col: str, text_col: str) -> Data
     """One row per row of ``docs``: id, n_shingles, node (its set's name, null without one), root (the least node that links reach)."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    nodes = durable(rows.mapInArrow(_nodes(n), "id long, n_shingles long, node long, sketch binary"))
+    nodes = durable(rows.mapInArrow(_nodes(n), "id long, n_shingles long, node long, sketch binary, wide binary"))
     per_band = (100 - t) / (100 + t) * 2 * BAND * 2
     total = nodes.agg(F.sum(F.col("n_shingles") * per_band + 3)).first()[0] or 0
     buckets = max(shuffle_partitions(spark), math.ceil(total / FLUSH))
@@ -394,7 +431,7 @@ def _rooted(docs: DataFrame, n: int, t: int, id_col: str, text_col: str) -> Data
     large = found.where("sig is not null").select("sig")
     found = durable(found.where("sig is null").groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.max("open").alias("open")))
     wanted = durable(found.select(F.explode(F.array("u", "v")).alias("node")).distinct())
-    known = nodes.join(wanted, "node").groupBy("node").agg(F.min("id").alias("id"), F.max("n_shingles").alias("size"), F.max("sketch").alias("sketch"))
+    known = nodes.join(wanted, "node").groupBy("node").agg(F.min("id").alias("id"), F.max("n_shingles").alias("size"), F.max("sketch").alias("sketch"), F.max("wide").alias("wide"))
     marks = durable(known)  # a node's least id, from which its text is found again
 
     def with_node(batches):
@@ -402,20 +439,34 @@ def _rooted(docs: DataFrame, n: int, t: int, id_col: str, text_col: str) -> Data
             ids = [node_of(s) if len(s) else None for s in sets_of(batch.column(1), n)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.int64())], names=["id", "text", "node"])
 
+    def asked_rows(asked: DataFrame) -> DataFrame:
+        """The rows whose id may be among ``own`` of ``asked``, without a shuffle."""
+        return maybe_in(rows.withColumn("key", F.coalesce("id", F.lit(-1))), F.col("key"), asked.select("own"), F.coalesce("own", F.lit(-1))).select("id", "text")
+
+    def signed_of(some: DataFrame, sigs: DataFrame) -> DataFrame:
+        """(sig, node) of at least the nodes ``some``, with at least those of their signatures that are among ``sigs``; no text is shuffled."""
+        asked = some.join(marks.select("node", F.col("id").alias("own")), "node")
+        made = asked_rows(asked).select("text").mapInArrow(trimmed(_signed(n, t)), "sig long, node long")
+        return maybe_in(made, F.col("sig"), sigs, F.col("sig"), 1 << 26)
+
     def texts_of(some: DataFrame) -> DataFrame:
         """``some`` (node and more) with the text of each node: only texts whose id may be asked for leave the scan, and each is shuffled once."""
         asked = some.join(marks.select("node", F.col("id").alias("own")), "node")
-        own = maybe_in(rows.withColumn("key", F.coalesce("id", F.lit(-1))), F.col("key"), asked.select("own"), F.coalesce("own", F.lit(-1))).select("id", "text")
+        own = asked_rows(asked)
         # merged, not broadcast, and by the node alone, so that repeated rows of a node meet in the same shuffle
         same = F.col("id").between(F.col("own"), F.col("own")) | (F.col("id").isNull() & F.col("own").isNull())
         held = own.mapInArrow(trimmed(with_node), "id long, text string, node long").join(asked.hint("merge"), "node").where(same)
         return durable(held.dropDuplicates(["node"]).select(*some.columns, "text"))
 
     def check(pairs: DataFrame) -> DataFrame:
-        """(u, v, ok): by sizes and sketches, then by the texts of the pairs that are left."""
+        """(u, v, ok): by sizes and sketches, by wide sketches, then by the texts of the pairs that are left."""
         side = lambda df, c, cols: df.select(F.col("node").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in cols])
         sized = pairs.join(side(marks, "v", ("size", "sketch")), "v").join(side(marks, "u", ("size", "sketch")), "u")
         may = durable(sized.mapInArrow(trimmed(_ruled_out(t)), "u long, v long, open boolean, may boolean"))
+        wide = marks.where("wide is not null")
+        both = may.where("may").join(side(wide, "v", ("size", "wide")), "v").join(side(wide, "u", ("size", "wide")), "u")
+        apart = durable(both.mapInArrow(trimmed(_wide_ruled_out(t)), "u long, v long, open boolean, may boolean").where("not may").select("u", "v"))
+        may = durable(may.join(apart.withColumn("apart", F.lit(True)), ["u", "v"], "left").select("u", "v", "open", (F.col("may") & F.col("apart").isNull()).alias("may")))
         asked = may.where("may")
         own = texts_of(asked.select(F.explode(F.array("u", "v")).alias("node")).distinct())
         left = asked.join(side(own, "v", ("text",)), "v").join(side(own, "u", ("text",)), "u").select("u", "v", "open", "text_u", "text_v")
@@ -423,7 +474,7 @@ def _rooted(docs: DataFrame, n: int, t: int, id_col: str, text_col: str) -> Data
 
     checked = check(found)
     roots, most = durable(components(checked.where("ok").select("u", "v"))), FIRST
-    signed = None if checked.where("not ok and open").isEmpty() else _open_signatures(checked, roots, texts_of, marks, large, n, t)
+    signed = None if checked.where("not ok and open").isEmpty() else _open_signatures(checked, roots, signed_of, marks, large)
     while signed is not None:
         pairs = durable(_open_links(signed, roots, marks, t, most))
         new = check(pairs.where("more is null").select("u", "v").distinct().withColumn("open", F.lit(True)).join(checked.select("u", "v"), ["u", "v"], "left_anti"))
