@@ -310,12 +310,21 @@ def _signed(n: int, t: int):
     """(sig, node) for every signature of a column of texts."""
 
     def run(batches):
+        def rows(made: list, nodes: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(made)), pa.array(np.repeat(np.array(nodes, np.int64), [len(x) for x in made]))], names=["sig", "node"])
+
         for batch in batches:
-            sets = [x for x in sets_of(batch.column(0), n) if len(x)]
-            made = [(np.unique(signatures(x, t) >> U(16)) << U(16)).view(np.int64) for x in sets]  # as the blocks have them
-            if made:
-                node = np.repeat(np.array([node_of(x) for x in sets], np.int64), [len(x) for x in made])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(made)), pa.array(node)], names=["sig", "node"])
+            made, nodes, held = [], [], 0
+            for x in sets_of(batch.column(0), n):
+                if len(x):
+                    made.append((np.unique(signatures(x, t) >> U(16)) << U(16)).view(np.int64))  # as the blocks have them
+                    nodes.append(node_of(x))
+                    held += len(made[-1])
+                    if held >= 1 << 16:
+                        yield rows(made, nodes)
+                        made, nodes, held = [], [], 0
+            if held:
+                yield rows(made, nodes)
 
     return run
 
@@ -335,12 +344,11 @@ def _open_pairs(t: int, most: int):
             j = j[part[j] != part[i]]
             j = j[may_be_similar(bits[j], size[j], bits[i], size[i], t)]
             if len(j):
-                found.append(np.stack((np.full(len(j), i), j)))
+                found.append((np.full(len(j), i), j, np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64) / (size[j] + size[i])))
         if not found:
             return False
-        i, j = np.concatenate(found, axis=1)
+        i, j, alike = (np.concatenate(c) for c in zip(*found))
         u, v = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
-        alike = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64) / (size[i] + size[j])
         sent, own, pair = np.zeros(len(i), bool), np.concatenate((part[i], part[j])), np.tile(np.arange(len(i)), 2)
         for few, keys in ((max(1, most // 2), (v[pair], u[pair], alike[pair])), (most // 2, (v[pair], u[pair]))):
             order = np.lexsort((*keys, own))
